@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.operators.ordered import ROWS_PER_CHUNK, Running, null_safe_join, running
+from tidemark.session import durable
 
 
 def exact_sum(value: Column | str, scale: int = 2) -> Column:
@@ -49,6 +50,7 @@ def exact_percentile(
     counts = long.groupBy(*groups, "_v").agg(
         F.when(F.col("_v").isNull(), 0).otherwise(F.count("*")).alias("_n")
     )
+    counts = durable(counts)  # read again for hot keys and for the totals
     ranked = running(counts, groups, ["_v"], {"_upto": Running("sum", F.col("_n"))}, rows_per_chunk)
     totals = counts.groupBy(*groups).agg(F.sum("_n").alias("_total"))
     rank = F.lit(fraction) * (F.col("_total") - 1)
@@ -63,3 +65,27 @@ def exact_percentile(
         return low_value + (high_value - low_value) * part
 
     return located.groupBy(*keys).agg(*[percentile(n).alias(n) for n in values])
+
+
+def group_array(
+    df: DataFrame,
+    keys: Sequence[str],
+    value: str,
+    order: Sequence[str],
+    name: str,
+    rows_per_part: int = 100_000,
+    rows_per_chunk: int = ROWS_PER_CHUNK,
+) -> DataFrame:
+    """Values of a key as arrays in ``order``, at most ``rows_per_part`` in one, numbered by ``part``.
+
+    Most keys have part 0 only; the parts of a large key are built by different tasks.
+    """
+    cells = [*keys, "part"]
+    nth = {"_nth": Running("count", F.lit(1))}
+    # without hot keys the arrays are built where the rows were numbered, with no further shuffle
+    rows = running(df, keys, order, nth, rows_per_chunk).withColumn(
+        "part", F.expr(f"(_nth - 1) div {rows_per_part}")
+    )
+    element = F.struct(F.struct(*order).alias("at"), F.col(value).alias("value"))
+    ordered = F.sort_array(F.collect_list(element))
+    return rows.groupBy(*cells).agg(F.transform(ordered, lambda e: e["value"]).alias(name))

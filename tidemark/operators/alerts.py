@@ -15,7 +15,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F, types as T
 
 from tidemark.operators.ordered import (
-    CHUNK, ROWS_PER_CHUNK, WHOLE, cut_into_chunks, null_safe_join,
+    CHUNK, HOT, ROWS_PER_CHUNK, WHOLE, cut_into_chunks, null_safe_join,
 )
 
 
@@ -72,7 +72,7 @@ def greedy_batches(
         return batched.drop(WHOLE)
     timed = df.withColumn("_at", F.unix_micros(F.col(ts).cast("timestamp")))
     chunked = cut_into_chunks(timed, keys, ["_at", seq], rows_per_chunk)
-    rows, cells = chunked.df, [*keys, CHUNK]
+    rows, cells = chunked.df.drop(HOT), [*keys, CHUNK]
 
     if chunked.split:
         key_fields = [f for f in rows.schema if f.name in cells]

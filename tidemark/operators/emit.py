@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.operators.ordered import ROWS_PER_CHUNK, Running, previous, running
+from tidemark.session import durable
 
 
 def tick_of(ts: Column | str, period: str) -> Column:
@@ -50,6 +51,7 @@ def emit_on_update_batched(
     Rows shrink to one per (key, period) before the running step.
     """
     ticks = _per_tick(df, keys, ts, period, columns).withColumnsRenamed({n: f"_{n}" for n in columns})
+    ticks = durable(ticks)  # read again to look for hot keys
     done = running(ticks, keys, ["tick"], _over_ticks(columns), rows_per_chunk)
     return done.select(*keys, "tick", *columns)
 
@@ -70,7 +72,7 @@ def emit_periodic(
     step = F.expr(f"INTERVAL {period}")
     backwards = changes.withColumn("_back", -F.unix_micros(F.col("tick").cast("timestamp")))
     following = previous(backwards, keys, ["_back"], "tick", "_next", rows_per_chunk=rows_per_chunk)
-    end = changes.agg(F.max("tick")).scalar()
+    end = df.agg(F.max(tick_of(ts, period))).scalar()
     until = F.coalesce(F.col("_next") - step, end)
     return following.select(
         *keys, F.explode(F.sequence("tick", until, step)).alias("tick"), *columns

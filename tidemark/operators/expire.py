@@ -12,7 +12,9 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tidemark.operators.aggregates import group_array
 from tidemark.operators.ordered import ROWS_PER_CHUNK, Running, null_safe_join, running
+from tidemark.session import durable
 
 SLICE = "_slice"
 
@@ -42,6 +44,7 @@ def numbered_fragments(
         F.max("_at").alias("_last"),
         *[e.alias(n) for n, e in (aggregates or {}).items()],
     )
+    fragments = durable(fragments)  # read again to look for hot keys
     # slices are disjoint and ordered: the latest row before a fragment is in an earlier fragment
     seen = {"_before": Running("max", F.col("_last"), exclusive=True)}
     gaps = running(fragments, keys, [SLICE], seen, rows_per_chunk)
@@ -86,19 +89,21 @@ def trace_groups(
     event: Column,
     order: Sequence[str],
     maxspan_ms: int | None = None,
-    events_per_part: int | None = None,
+    events_per_part: int = 100_000,
     rows_per_chunk: int = ROWS_PER_CHUNK,
 ) -> DataFrame:
     """Expired groups with their events as an ordered array ``trace_events``.
 
-    ``events_per_part`` cuts the array of a large group into rows of that many events, numbered by
-    ``part``; without it a group is one row and its array must fit in one.
+    A group of more than ``events_per_part`` events comes as several rows, numbered by ``part``, so
+    that no array grows without bound; ``n`` is the size of the whole group.
     """
     fragments = numbered_fragments(
         df, keys, end, timeout_us,
         {"_start": F.min(start), "_end": F.max(end), "_n": F.count("*")}, rows_per_chunk,
     )
-    groups = fragments.groupBy(*keys, "_group").agg(
+    fragments = durable(fragments)
+    cells = [*keys, "_group"]
+    groups = fragments.groupBy(*cells).agg(
         F.min("_start").alias("start_ts"), F.max("_end").alias("end_ts"), F.sum("_n").alias("n")
     )
     groups = groups.withColumn(
@@ -106,23 +111,11 @@ def trace_groups(
     )
     if maxspan_ms is not None:
         groups = groups.where(F.col("span_ms") > maxspan_ms)
-    placed = null_safe_join(
-        _sliced(df, end, timeout_us), fragments.select(*keys, SLICE, "_group"), [*keys, SLICE], "inner"
+    kept = null_safe_join(fragments.select(*cells, SLICE), groups, cells, "inner")
+    facts = ["start_ts", "end_ts", "span_ms", "n"]
+    placed = null_safe_join(_sliced(df, end, timeout_us), kept, [*keys, SLICE], "inner").select(
+        *cells, *facts, *[c for c in order if c not in cells], event.alias("_event")
     )
-    cells = [*keys, "_group"]
-    if maxspan_ms is not None:
-        placed = null_safe_join(placed, groups.select(*cells), cells, "left_semi")
-    position = F.struct(*order)
-    rows = placed.select(*cells, *[c for c in order if c not in cells], event.alias("_event"))
-    if events_per_part is not None:
-        rows = running(
-            rows, cells, list(order), {"_nth": Running("count", F.lit(1))}, rows_per_chunk
-        ).withColumn("part", F.expr(f"(_nth - 1) div {events_per_part}"))
-        cells = [*cells, "part"]
-    ordered = F.sort_array(F.collect_list(F.struct(position.alias("at"), F.col("_event").alias("e"))))
-    arrays = rows.groupBy(*cells).agg(F.transform(ordered, lambda x: x["e"]).alias("trace_events"))
-    part = ["part"] if events_per_part is not None else []
-    return null_safe_join(arrays, groups, [*keys, "_group"], "inner").select(
-        *keys, *part, "start_ts", "end_ts", "span_ms", "n", "trace_events"
-    )
-
+    arrays = group_array(placed, [*cells, *facts], "_event", order, "trace_events", events_per_part,
+                         rows_per_chunk)
+    return arrays.select(*keys, "part", *facts, "trace_events")

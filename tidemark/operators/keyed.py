@@ -12,11 +12,11 @@ import uuid
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
-from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from tidemark.functions.scalars import shard_of
 from tidemark.operators.latest import latest_by_key
+from tidemark.sources.paths import exists
 
 BUCKET = "_bucket"
 _COMMITS = "version BIGINT, bucket INT, folder STRING"
@@ -59,12 +59,9 @@ class KeyedTable:
         self.bloom_columns = list(bloom_columns)
 
     def _commits(self) -> DataFrame:
-        try:
-            return self.spark.read.schema(_COMMITS).json(f"{self.path}/_commits")
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
+        if not exists(self.spark, f"{self.path}/_commits"):
             return self.spark.createDataFrame([], _COMMITS)
+        return self.spark.read.schema(_COMMITS).json(f"{self.path}/_commits")
 
     def _current(self) -> tuple[int, dict[int, str]]:
         """Newest version and the folder of each bucket; one row per bucket comes to the driver."""
@@ -98,14 +95,12 @@ class KeyedTable:
             .repartitionByRange(BUCKET, *self.keys)
             .sortWithinPartitions(BUCKET, *self.keys)
         )
-        writer = placed.write.partitionBy(BUCKET)
+        seen = Observation()
+        writer = placed.observe(seen, F.collect_set(BUCKET).alias("written")).write.partitionBy(BUCKET)
         for column in self.bloom_columns:
             writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
         writer.parquet(f"{self.path}/{folder}")
-        written = {
-            int(r[0])
-            for r in self.spark.read.parquet(f"{self.path}/{folder}").select(BUCKET).distinct().collect()
-        } if touched else set()
+        written = set(seen.get["written"])
         record = [(version, b, folder if b in written else None) for b in touched]
         self.spark.createDataFrame(record, _COMMITS).coalesce(1).write.mode("append").json(
             f"{self.path}/_commits"

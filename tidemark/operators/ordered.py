@@ -1,10 +1,10 @@
 """Ordered, per-key computation that does not put a hot key into one task.
 
-A window over ``partitionBy(key).orderBy(...)`` sends every row of a key to one task. Here the
-keys above ``rows_per_chunk`` rows are found first (one pre-aggregated count) and cut into
-contiguous chunks of their order; the chunk number joins the partition key and the part of the
-answer that comes from earlier chunks is added back as a carry of one row per chunk. Results do
-not depend on where the cuts fall. Without hot keys the plan is the plain window.
+A window over ``partitionBy(key).orderBy(...)`` sends every row of a key to one task. Here keys of
+more than about ``rows_per_chunk`` rows are found first and cut into contiguous chunks of their
+order; the chunk number joins the partition key, and what earlier chunks contribute is added back as
+a carry of one row per chunk. Results do not depend on where the cuts fall, so those come from small
+samples. Without hot keys the plan is the plain window.
 """
 
 from __future__ import annotations
@@ -18,9 +18,12 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tidemark.session import durable
 
 ROWS_PER_CHUNK = 2_000_000
-MAX_CHUNKS = 4096
+MAX_CHUNKS = 1 << 16
 SAMPLES_PER_CHUNK = 32
+PROBES_PER_CHUNK = 200
+BROADCAST_ENTRIES = 1_000_000
 CHUNK = "_chunk"
+HOT = "_hot"
 WHOLE = "_whole"
 _RATE_SCALE = 1 << 30
 
@@ -29,21 +32,35 @@ def null_safe_join(left: DataFrame, right: DataFrame, keys: Sequence[str], how:
     """Equi-join on ``keys`` where NULL matches NULL; the right copies of the keys are dropped."""
     renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
     condition = reduce(
-        lambda a, b: a & b,
-        [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys],
+        lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys]
     )
     return left.join(renamed, condition, how).drop(*[f"_r_{k}" for k in keys])
 
 
 def hot_keys(df: DataFrame, keys: Sequence[str], threshold: int) -> DataFrame:
-    """Keys with more than ``threshold`` rows: at most rows/threshold of them."""
-    return df.groupBy(*keys).agg(F.count("*").alias("_rows")).where(F.col("_rows") > threshold)
+    """Keys of more than about ``threshold`` rows, with their estimated count in ``_rows``.
+
+    Counted on a sample in which a key at the threshold has some 200 rows, so that a table of many
+    small keys is not shuffled to find that none is large. Small thresholds count every row.
+    """
+    fraction = min(1.0, PROBES_PER_CHUNK / threshold)
+    seen = df.select(*keys)
+    if fraction < 1.0:
+        seen = seen.sample(fraction, seed=1)
+    rows = F.count("*") / F.lit(fraction)
+    return seen.groupBy(*keys).agg(rows.alias("_rows")).where(F.col("_rows") > threshold)
 
 
 @dataclass(frozen=True)
 class Chunked:
+    """Rows with their chunk number; ``split`` tells whether any key has more than one chunk."""
+
     df: DataFrame
     split: bool
+    small: bool = True  # the chunks are few enough for one row of each to be broadcast
+
+    def one_per_chunk(self, df: DataFrame) -> DataFrame:
+        return F.broadcast(df) if self.small else df
 
 
 def cut_into_chunks(
@@ -59,34 +76,36 @@ def cut_into_chunks(
     """
     hot = hot_keys(df, keys, rows_per_chunk)
     if hot.isEmpty():
-        return Chunked(df.withColumn(CHUNK, F.lit(0)), split=False)
+        return Chunked(df.withColumns({CHUNK: F.lit(0), HOT: F.lit(False)}), split=False)
 
     chunks = F.least(F.ceil(F.col("_rows") / rows_per_chunk), F.lit(MAX_CHUNKS)).cast("int")
-    hot = hot.withColumn("_chunks", chunks).withColumn(
+    hot = durable(hot.withColumn("_chunks", chunks)).withColumn(
         "_rate", F.least(F.lit(1.0), F.col("_chunks") * SAMPLES_PER_CHUNK / F.col("_rows"))
     )
     position = F.struct(*order)
     narrow = df.select(*dict.fromkeys([*keys, *order]))
+    if hot.count() <= BROADCAST_ENTRIES:
+        hot = F.broadcast(hot)
     picked = null_safe_join(narrow, hot, keys, "inner").where(
         F.pmod(F.xxhash64(*order), F.lit(_RATE_SCALE)) < F.col("_rate") * _RATE_SCALE
     )
-    samples = F.sort_array(F.collect_list(position))
     cuts = (
         picked.groupBy(*keys)
-        .agg(samples.alias("_s"), F.max("_chunks").alias("_n"))
-        .where(F.col("_n") > 1)
+        .agg(F.sort_array(F.collect_list(position)).alias("_s"), F.max("_chunks").alias("_n"))
         .select(
             *keys,
             F.array_distinct(
                 F.transform(
-                    F.sequence(F.lit(1), F.col("_n") - 1),
+                    F.sequence(F.lit(1), F.greatest(F.col("_n") - 1, F.lit(1))),
                     lambda i: F.get("_s", F.floor(i * F.size("_s") / F.col("_n")).cast("int")),
                 )
             ).alias("_cuts"),
         )
     )
     cuts = durable(cuts)
-    located = null_safe_join(df, cuts, keys, "left")
+    entries = cuts.agg(F.sum(F.size("_cuts") + 1)).first()[0] or 0
+    small = entries <= BROADCAST_ENTRIES
+    located = null_safe_join(df, F.broadcast(cuts) if small else cuts, keys, "left")
     # binary search: number of cut points at or below the row's position
     steps = F.array(*[F.lit(MAX_CHUNKS >> s) for s in range(MAX_CHUNKS.bit_length())])
     search = F.aggregate(
@@ -97,8 +116,9 @@ def cut_into_chunks(
             low + step,
         ).otherwise(low),
     )
-    chunk = F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(search)
-    return Chunked(located.withColumn(CHUNK, chunk).drop("_cuts"), split=True)
+    is_hot = F.col("_cuts").isNotNull()
+    numbered = located.withColumns({CHUNK: F.when(is_hot, search).otherwise(0), HOT: is_hot})
+    return Chunked(numbered.drop("_cuts"), split=True, small=small)
 
 
 @dataclass(frozen=True)
@@ -121,7 +141,7 @@ class Running:
         if self.kind == "max":
             return F.greatest(carry, local)
         both = F.coalesce(carry, F.lit(0)) + F.coalesce(local, F.lit(0))
-        return F.when(carry.isNull() & local.isNull(), F.lit(None)).otherwise(both)
+        return F.when(carry.isNotNull() | local.isNotNull(), both)
 
 
 def running(
@@ -144,21 +164,21 @@ def running(
         return run.aggregate().over(window.rowsBetween(Window.unboundedPreceding, end))
 
     if not chunked.split:
-        return rows.withColumns({n: local(r) for n, r in columns.items()}).drop(CHUNK)
+        return rows.withColumns({n: local(r) for n, r in columns.items()}).drop(CHUNK, HOT)
 
-    totals = rows.groupBy(*cells).agg(
+    totals = rows.where(HOT).groupBy(*cells).agg(
         *[r.aggregate().alias(f"_t_{n}") for n, r in columns.items()]
     )
     # one row per chunk of a key, at most MAX_CHUNKS + 1 rows in a window group
     earlier = Window.partitionBy(*keys).orderBy(CHUNK).rowsBetween(Window.unboundedPreceding, -1)
     carry = totals.select(
         *cells, *[r.merge(F.col(f"_t_{n}")).over(earlier).alias(f"_c_{n}") for n, r in columns.items()]
-    ).where(F.col(CHUNK) > 0)
-    joined = null_safe_join(rows, carry, cells, "left")
-    joined = joined.withColumns({f"_l_{n}": local(r) for n, r in columns.items()})
+    )
+    rows = rows.withColumns({f"_l_{n}": local(r) for n, r in columns.items()})
+    joined = null_safe_join(rows, chunked.one_per_chunk(carry), cells, "left")
     return joined.withColumns(
         {n: r.combine(F.col(f"_c_{n}"), F.col(f"_l_{n}")) for n, r in columns.items()}
-    ).drop(CHUNK, *[f"_{p}_{n}" for n in columns for p in ("c", "l")])
+    ).drop(CHUNK, HOT, *[f"_{p}_{n}" for n in columns for p in ("c", "l")])
 
 
 def previous(
@@ -175,21 +195,18 @@ def previous(
         whole = df.withColumn(WHOLE, F.lit(0))
         return previous(whole, [WHOLE], order, value, name, default, rows_per_chunk).drop(WHOLE)
     chunked = cut_into_chunks(df, keys, order, rows_per_chunk)
-    rows, cells = chunked.df, [*keys, CHUNK]
-    lag = F.lag(value, 1).over(Window.partitionBy(*cells).orderBy(*order))
-    number = F.row_number().over(Window.partitionBy(*cells).orderBy(*order))
-    if not chunked.split:
-        rows = rows.withColumns({"_first": number == 1, name: lag}).drop(CHUNK)
-        filled = F.when(F.col("_first"), F.lit(default)).otherwise(F.col(name))
-        return rows.withColumn(name, filled).drop("_first")
-
-    last = rows.groupBy(*cells).agg(F.max_by(F.struct(value), F.struct(*order)).alias("_last"))
-    by_chunk = Window.partitionBy(*keys).orderBy(CHUNK)
-    carry = last.select(*cells, F.lag("_last").over(by_chunk).alias("_carry")).where(F.col(CHUNK) > 0)
-    joined = null_safe_join(rows, carry, cells, "left").withColumns({"_first": number == 1, name: lag})
-    filled = (
-        F.when(~F.col("_first"), F.col(name))
-        .when(F.col("_carry").isNotNull(), F.col(f"_carry.{value}"))
-        .otherwise(F.lit(default))
-    )
-    return joined.withColumn(name, filled).drop(CHUNK, "_first", "_carry")
+    cells = [*keys, CHUNK]
+    window = Window.partitionBy(*cells).orderBy(*order)
+    # a struct tells "no row before" from "NULL in the row before"
+    rows = chunked.df.withColumn("_lag", F.lag(F.struct(value), 1).over(window))
+    before, extra = F.col("_lag"), ["_lag"]
+    if chunked.split:
+        last = chunked.df.where(HOT).groupBy(*cells).agg(
+            F.max_by(F.struct(value), F.struct(*order)).alias("_last")
+        )
+        by_chunk = Window.partitionBy(*keys).orderBy(CHUNK)
+        carry = last.select(*cells, F.lag("_last").over(by_chunk).alias("_carry"))
+        rows = null_safe_join(rows, chunked.one_per_chunk(carry), cells, "left")
+        before, extra = F.coalesce("_lag", "_carry"), ["_lag", "_carry"]
+    filled = F.when(before.isNull(), F.lit(default)).otherwise(before.getField(value))
+    return rows.withColumn(name, filled).drop(CHUNK, HOT, *extra)

@@ -7,6 +7,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from tidemark.sources.paths import exists, remove
+
 
 def tier_of_age(ts: Column, as_of: Column, rules: Sequence[tuple[str, str]], first: str = "hot") -> Column:
     """Tier name of a time: ``rules`` are (interval text, tier) from young to old."""
@@ -40,25 +42,17 @@ class TieredTable:
     def __init__(self, spark: SparkSession, roots: dict[str, str], day: str, sort: Sequence[str]) -> None:
         self.spark, self.roots, self.day, self.sort = spark, dict(roots), day, list(sort)
 
-    def _exists(self, root: str) -> bool:
-        hadoop = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(root)
-        return hadoop.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).exists(hadoop)
-
-    def _drop(self, path: str) -> None:
-        hadoop = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        hadoop.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(hadoop, True)
-
     def append(self, df: DataFrame) -> None:
         write_layout(df, next(iter(self.roots.values())), [self.day], self.sort)
 
     def read(self, tier: str | None = None) -> DataFrame:
-        roots = [r for name, r in self.roots.items() if tier in (None, name) and self._exists(r)]
+        roots = [r for name, r in self.roots.items() if tier in (None, name) and exists(self.spark, r)]
         frames = [self.spark.read.parquet(root) for root in roots]
         return reduce(lambda a, b: a.unionByName(b), frames)
 
     def days(self, tier: str) -> list[str]:
         """Partition days of a tier; one value per day comes to the driver."""
-        if not self._exists(self.roots[tier]):
+        if not exists(self.spark, self.roots[tier]):
             return []
         rows = self.read(tier).select(F.col(self.day).cast("string")).distinct().collect()
         return sorted(r[0] for r in rows)
@@ -92,4 +86,4 @@ class TieredTable:
                     self.day
                 ).parquet(self.roots[target])
             for day in days:
-                self._drop(f"{self.roots[tier]}/{self.day}={day}")
+                remove(self.spark, f"{self.roots[tier]}/{self.day}={day}")

@@ -63,11 +63,15 @@ def agg_latest(t: Tables) -> DataFrame:
 
 
 @query("agg_group_array", """
-SELECT l_orderkey, string_agg(CAST(l_partkey AS VARCHAR), ',' ORDER BY l_partkey) AS parts
-FROM lineitem GROUP BY l_orderkey""")
+SELECT l_orderkey, (nth - 1) // 4 AS part, string_agg(CAST(l_partkey AS VARCHAR), ',' ORDER BY nth) AS parts
+FROM (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_partkey, l_linenumber, l_suppkey,
+      l_extendedprice) AS nth FROM lineitem)
+GROUP BY 1, 2""")
 def agg_group_array(t: Tables) -> DataFrame:
-    parts = F.array_sort(F.collect_list("l_partkey"))
-    return t.lineitem.groupBy("l_orderkey").agg(F.array_join(parts, ",").alias("parts"))
+    order = ["l_partkey", "l_linenumber", "l_suppkey", "l_extendedprice"]
+    lines = t.lineitem.select("l_orderkey", *order)
+    arrays = A.group_array(lines, ["l_orderkey"], "l_partkey", order, "parts", rows_per_part=4)
+    return arrays.withColumn("parts", F.array_join("parts", ","))
 
 
 @query("agg_ratio", """

@@ -174,7 +174,7 @@ def expire_only_outliers(t: Tables) -> DataFrame:
     )
 
 
-@query("trace_groups", f"{_GROUPS} SELECT * FROM c WHERE span_ms > {_MAXSPAN_MS}")
+@query("trace_groups", f"SELECT *, CAST(0 AS BIGINT) AS part FROM ({_GROUPS} SELECT * FROM c WHERE span_ms > {_MAXSPAN_MS})")
 def trace_groups(t: Tables) -> DataFrame:
     groups = expire.trace_groups(
         _spans(t.events), ["user_id"], "start_time", "end_time", 6 * HOUR_US,

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.session import scratch_path
+from tidemark.sources.paths import remove
 
 Sink = str | Callable[[DataFrame, int], None]
 
@@ -81,8 +82,7 @@ class View:
         self.pause()
         folders = [self.checkpoint] + ([] if callable(self.sink) else [self.sink])
         for folder in folders:
-            path = self.spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-            path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+            remove(self.spark, folder)
 
 
 def run_to_end(df: DataFrame, mode: str = "append", name: str = "run") -> DataFrame:
