@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tidemark.sources.paths import exists, remove
 
@@ -39,21 +39,22 @@ def write_layout(
 class TieredTable:
     """A day-partitioned table whose old days move from one root path to the next."""
 
-    def __init__(self, spark: SparkSession, roots: dict[str, str], day: str, sort: Sequence[str]) -> None:
-        self.spark, self.roots, self.day, self.sort = spark, dict(roots), day, list(sort)
+    def __init__(
+        self, spark: SparkSession, roots: dict[str, str], schema: T.StructType, day: str, sort: Sequence[str]
+    ) -> None:
+        self.spark, self.roots, self.schema = spark, dict(roots), schema
+        self.day, self.sort = day, list(sort)
 
     def append(self, df: DataFrame) -> None:
         write_layout(df, next(iter(self.roots.values())), [self.day], self.sort)
 
     def read(self, tier: str | None = None) -> DataFrame:
         roots = [r for name, r in self.roots.items() if tier in (None, name) and exists(self.spark, r)]
-        frames = [self.spark.read.parquet(root) for root in roots]
-        return reduce(lambda a, b: a.unionByName(b), frames)
+        frames = [self.spark.read.schema(self.schema).parquet(root) for root in roots]
+        return reduce(lambda a, b: a.unionByName(b), frames, self.spark.createDataFrame([], self.schema))
 
     def days(self, tier: str) -> list[str]:
         """Partition days of a tier; one value per day comes to the driver."""
-        if not exists(self.spark, self.roots[tier]):
-            return []
         rows = self.read(tier).select(F.col(self.day).cast("string")).distinct().collect()
         return sorted(r[0] for r in rows)
 

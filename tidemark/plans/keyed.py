@@ -104,8 +104,9 @@ SELECT tier, count(*) AS n, CAST(count(DISTINCT day) AS BIGINT) AS days FROM (
 def tier_move(t: Tables) -> DataFrame:
     path = scratch_path(t.spark, "tiers")
     roots = {name: f"{path}/{name}" for name in ("hot", "warm", "cold")}
-    table = retention.TieredTable(t.spark, roots, "day", ["event_id"])
-    table.append(t.events.select("event_id", F.to_date("ts").alias("day")))
+    daily = t.events.select("event_id", F.to_date("ts").alias("day"))
+    table = retention.TieredTable(t.spark, roots, daily.schema, "day", ["event_id"])
+    table.append(daily)
     table.apply("2024-01-31 00:00:00", AGE_RULES, "20 DAYS")
     held = [
         table.read(tier).groupBy(F.lit(tier).alias("tier"), "day").agg(F.count("*").alias("n"))
