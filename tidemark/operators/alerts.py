@@ -8,11 +8,11 @@ summaries are chained per key, and every chunk is then batched on its own from i
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, Window, functions as F, types as T
 
 from tidemark.operators.ordered import (
     CHUNK, HOT, ROWS_PER_CHUNK, WHOLE, cut_into_chunks, null_safe_join,
@@ -25,14 +25,6 @@ def _next_start(at: np.ndarray, size: int, timeout: int) -> np.ndarray:
     return np.minimum(np.arange(len(at)) + size, by_time)
 
 
-def _starts(following: np.ndarray, entry: int) -> list[int]:
-    starts, row = [], entry
-    while row < len(following):
-        starts.append(row)
-        row = int(following[row])
-    return starts
-
-
 def _summary(at: np.ndarray, size: int, timeout: int) -> tuple[list, list, list, list]:
     """First rows of the chunk and, per entry row, the open batch at its end and batches begun."""
     following = _next_start(at, size, timeout)
@@ -72,62 +64,82 @@ def greedy_batches(
         return batched.drop(WHOLE)
     timed = df.withColumn("_at", F.unix_micros(F.col(ts).cast("timestamp")))
     chunked = cut_into_chunks(timed, keys, ["_at", seq], rows_per_chunk)
-    rows, cells = chunked.df.drop(HOT), [*keys, CHUNK]
-
+    rows, cells = chunked.df, [*keys, CHUNK]
+    entry, base = F.lit(0).cast("long"), F.lit(0).cast("long")
     if chunked.split:
-        key_fields = [f for f in rows.schema if f.name in cells]
-        summary_schema = T.StructType(
-            key_fields
-            + [T.StructField("size", T.LongType())]
-            + [T.StructField(n, T.ArrayType(T.LongType())) for n in ("head", "open", "first", "begun")]
-        )
-        entry_schema = T.StructType(
-            key_fields + [T.StructField("_entry", T.LongType()), T.StructField("_base", T.LongType())]
-        )
-
-        def summarise(pdf: pd.DataFrame) -> pd.DataFrame:
-            pdf = pdf.sort_values(["_at", seq])
-            head, held, first, begun = _summary(pdf["_at"].to_numpy(), size, timeout_us)
-            row = {c: [pdf[c].iloc[0]] for c in cells}
-            return pd.DataFrame(
-                {**row, "size": [len(pdf)], "head": [head], "open": [held], "first": [first],
-                 "begun": [begun]}
-            )[[f.name for f in summary_schema]]
-
-        def chain(pdf: pd.DataFrame) -> pd.DataFrame:
-            pdf = pdf.sort_values(CHUNK)
-            held, first, base = size, 0, 0
-            entries, bases = [], []
-            for chunk in pdf.itertuples():
-                fits = int(np.searchsorted(np.asarray(chunk.head), first + timeout_us, side="right"))
-                entry = min(size - held, fits)
-                entries.append(entry)
-                bases.append(base)
-                if entry == chunk.size:  # the open batch takes the whole chunk
-                    held += entry
+        entered = _chunk_entries(rows.where(HOT), keys, seq, size, timeout_us)
+        rows = null_safe_join(rows, chunked.one_per_chunk(entered), cells, "left")
+        entry, base = F.coalesce("_entry", entry), F.coalesce("_base", base)
+
+    # the window brings a chunk into one task in order and marks its first row
+    nth = F.row_number().over(Window.partitionBy(*cells).orderBy("_at", seq))
+    ordered = rows.select(
+        *df.columns, "_at", CHUNK, nth.alias("_nth"), entry.alias("_entry"), base.alias("_base")
+    ).sortWithinPartitions(*cells, "_at", seq)
+    out = T.StructType([*df.schema, T.StructField("batch", T.LongType())])
+
+    def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        batch, held, first, taken = -1, size, 0, 0
+        for pdf in batches:
+            numbers = []
+            for nth, at, begin, before in zip(
+                *[pdf[c].tolist() for c in ("_nth", "_at", "_entry", "_base")]
+            ):
+                if nth == 1:
+                    batch, held, taken = before - 1, size, begin
+                if taken:
+                    taken -= 1
                 else:
-                    held, first = int(chunk.open[entry]), int(chunk.first[entry])
-                    base += int(chunk.begun[entry])
-            return pdf.assign(_entry=entries, _base=bases)[[f.name for f in entry_schema]]
+                    if held == size or at > first + timeout_us:
+                        batch, held, first = batch + 1, 0, at
+                    held += 1
+                numbers.append(batch)
+            yield pdf.assign(batch=numbers)[[f.name for f in out]]
 
-        summaries = rows.select(*dict.fromkeys([*cells, "_at", seq])).groupBy(*cells).applyInPandas(
-            summarise, summary_schema
-        )
-        entered = summaries.groupBy(*keys).applyInPandas(chain, entry_schema)
-        rows = null_safe_join(rows, entered, cells, "inner")
-    else:
-        rows = rows.withColumns({"_entry": F.lit(0).cast("long"), "_base": F.lit(0).cast("long")})
+    return ordered.mapInPandas(assign, out)
 
-    out = T.StructType(list(df.schema) + [T.StructField("batch", T.LongType())])
 
-    def assign(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values(["_at", seq])
-        following = _next_start(pdf["_at"].to_numpy(), size, timeout_us)
-        starts = _starts(following, int(pdf["_entry"].iloc[0]))
-        begun = np.searchsorted(starts, np.arange(len(pdf)), side="right")
-        return pdf.assign(batch=begun - 1 + pdf["_base"].iloc[0])[[f.name for f in out]]
+def _chunk_entries(
+    rows: DataFrame, keys: Sequence[str], seq: str, size: int, timeout_us: int
+) -> DataFrame:
+    """Per chunk of a hot key: the row at which its first new batch starts, and that batch's number."""
+    cells = [*keys, CHUNK]
+    key_fields = [f for f in rows.schema if f.name in cells]
+    summary_schema = T.StructType([
+        *key_fields, T.StructField("size", T.LongType()),
+        *[T.StructField(n, T.ArrayType(T.LongType())) for n in ("head", "open", "first", "begun")],
+    ])
+    entry_schema = T.StructType(
+        [*key_fields, T.StructField("_entry", T.LongType()), T.StructField("_base", T.LongType())]
+    )
 
-    return rows.groupBy(*cells).applyInPandas(assign, out)
+    def summarise(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(["_at", seq])
+        head, held, first, begun = _summary(pdf["_at"].to_numpy(), size, timeout_us)
+        row = {c: [pdf[c].iloc[0]] for c in cells}
+        return pd.DataFrame(
+            {**row, "size": [len(pdf)], "head": [head], "open": [held], "first": [first], "begun": [begun]}
+        )[[f.name for f in summary_schema]]
+
+    def chain(pdf: pd.DataFrame) -> pd.DataFrame:
+        pdf = pdf.sort_values(CHUNK)
+        held, first, begun = size, 0, 0
+        entries, bases = [], []
+        for chunk in pdf.itertuples():
+            fits = int(np.searchsorted(np.asarray(chunk.head), first + timeout_us, side="right"))
+            entry = min(size - held, fits)
+            entries.append(entry)
+            bases.append(begun)
+            if entry == chunk.size:  # the open batch takes the whole chunk
+                held += entry
+            else:
+                held, first = int(chunk.open[entry]), int(chunk.first[entry])
+                begun += int(chunk.begun[entry])
+        return pdf.assign(_entry=entries, _base=bases)[[f.name for f in entry_schema]]
+
+    narrow = rows.select(*dict.fromkeys([*cells, "_at", seq]))
+    summaries = narrow.groupBy(*cells).applyInPandas(summarise, summary_schema)
+    return summaries.groupBy(*keys).applyInPandas(chain, entry_schema)
 
 
 def alert_batches(

@@ -103,21 +103,25 @@ def cut_into_chunks(
         )
     )
     cuts = durable(cuts)
-    entries = cuts.agg(F.sum(F.size("_cuts") + 1)).first()[0] or 0
-    small = entries <= BROADCAST_ENTRIES
+    size = F.size("_cuts")
+    entries, longest = cuts.agg(F.sum(size + 1), F.max(size)).first()
+    small = (entries or 0) <= BROADCAST_ENTRIES
     located = null_safe_join(df, F.broadcast(cuts) if small else cuts, keys, "left")
     # binary search: number of cut points at or below the row's position
-    steps = F.array(*[F.lit(MAX_CHUNKS >> s) for s in range(MAX_CHUNKS.bit_length())])
-    search = F.aggregate(
-        steps,
-        F.lit(0),
-        lambda low, step: F.when(
-            (low + step <= F.size("_cuts")) & (F.get(F.col("_cuts"), low + step - 1) <= position),
-            low + step,
-        ).otherwise(low),
-    )
+    steps = F.array(*[F.lit(1 << s) for s in reversed(range((longest or 1).bit_length()))])
+
+    def search(at: Column) -> Column:
+        return F.aggregate(
+            steps,
+            F.lit(0),
+            lambda low, step: F.when(
+                (low + step <= size) & (F.get(F.col("_cuts"), low + step - 1) <= at), low + step
+            ).otherwise(low),
+        )
+
+    found = F.transform(F.array(position), search)[0]  # binds the position once per row
     is_hot = F.col("_cuts").isNotNull()
-    numbered = located.withColumns({CHUNK: F.when(is_hot, search).otherwise(0), HOT: is_hot})
+    numbered = located.withColumns({CHUNK: F.when(is_hot, found).otherwise(0), HOT: is_hot})
     return Chunked(numbered.drop("_cuts"), split=True, small=small)
 
 
