@@ -85,7 +85,8 @@ class KeyedTable:
     def _hash(self) -> Column:
         return shard_of(F.struct(*self.keys), self.buckets).cast("int")
 
-    def _commit(self, rows: DataFrame, touched: Sequence[int], version: int) -> None:
+    def _commit(self, rows: DataFrame, touched: Sequence[int] | None, version: int) -> None:
+        """Write rows as the new content of the touched buckets; None stands for those written."""
         folder = f"v={version}-{uuid.uuid4().hex}"
         # range partitioning by (bucket, key): few files per bucket, keys sorted and clustered in
         # files for min/max pruning, and a large bucket spread over several tasks
@@ -101,7 +102,10 @@ class KeyedTable:
             writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
         writer.parquet(f"{self.path}/{folder}")
         written = set(seen.get["written"])
-        record = [(version, b, folder if b in written else None) for b in touched]
+        buckets = sorted(written) if touched is None else touched
+        record = [(version, b, folder if b in written else None) for b in buckets]
+        if not record:
+            return
         self.spark.createDataFrame(record, _COMMITS).coalesce(1).write.mode("append").json(
             f"{self.path}/_commits"
         )
@@ -113,12 +117,14 @@ class KeyedTable:
         """Merge rows; only the buckets the delta falls into are read and rewritten."""
         missing = {f.name: F.lit(None).cast(f.dataType) for f in self.schema if f.name not in delta.columns}
         full = delta.withColumns(missing).select(*self.schema.fieldNames()) if missing else delta
-        touched = self._touched(full)
-        if not touched:
-            return
         version, folders = self._current()
+        if not folders:
+            self._commit(latest_by_key(full, self.keys, self.order), None, version + 1)
+            return
+        touched = self._touched(full)
         base = self._files({b: folders[b] for b in touched if b in folders})
-        self._commit(upsert(base, full, self.keys, self.order), touched, version + 1)
+        if touched:
+            self._commit(upsert(base, full, self.keys, self.order), touched, version + 1)
 
     def delete(self, predicate: Column) -> None:
         """Delete the rows a predicate selects; buckets without such rows are left alone."""

@@ -45,6 +45,11 @@ def write_orc(df: DataFrame, path: str, compression: str = "zstd") -> None:
     df.write.option("compression", compression).orc(path)
 
 
+def discard(df: DataFrame) -> None:
+    """Run a query and throw its rows away."""
+    df.write.format("noop").mode("overwrite").save()
+
+
 def sql_literal(field: T.StructField) -> Column:
     value = F.col(field.name)
     text = value.cast("string")

@@ -6,13 +6,13 @@ row per task and micro-batch.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Mapping, Sequence
+from collections.abc import Callable, Iterator, Sequence
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from tidemark.operators.latest import full_latest_join
+from tidemark.sources.paths import exists
 
 
 def on_update(df: DataFrame, keys: Sequence[str], aggregates: Sequence[Column]) -> DataFrame:
@@ -28,32 +28,27 @@ def periodic(df: DataFrame, keys: Sequence[str], aggregates: Sequence[Column]) -
     return df.groupBy(*keys).agg(*aggregates)
 
 
-def rate_writer(
-    write: Callable[[DataFrame, int], None], total: str, seconds: int, load_previous: Callable[[], int],
-    save: Callable[[int], None],
-) -> Callable[[DataFrame, int], None]:
-    """``foreachBatch`` for a one-row total: adds the previous emission ``prev`` and the rate ``eps``."""
+def rate_writer(root: str, total: str, seconds: int) -> Callable[[DataFrame, int], None]:
+    """``foreachBatch`` for a one-row total: writes it with the previous emission ``prev`` and ``eps``.
+
+    Each emission has its own folder under ``root``, named by batch, from which the next one takes
+    ``prev``; a replayed batch writes the same row again.
+    """
 
     def on_batch(batch: DataFrame, batch_id: int) -> None:
-        row = batch.agg(F.max(total)).first()
-        if row[0] is None:
-            return
-        before = load_previous()
-        session = batch.sparkSession
-        emitted = session.createDataFrame(
-            [(row[0], before, (row[0] - before) // seconds)], f"{total} BIGINT, prev BIGINT, eps BIGINT"
+        spark, before = batch.sparkSession, f"{root}/batch_id={batch_id - 1}"
+        prev = F.lit(0).cast("bigint")
+        if exists(spark, before):
+            prev = spark.read.parquet(before).select(F.col(total)).scalar()
+        emitted = batch.select(F.col(total), F.coalesce(prev, F.lit(0)).alias("prev"))
+        rate = F.expr(f"({total} - prev) div {seconds}").alias("eps")
+        emitted.select(total, "prev", rate).coalesce(1).write.mode("overwrite").parquet(
+            f"{root}/batch_id={batch_id}"
         )
-        write(emitted, batch_id)
-        save(row[0])
 
     return on_batch
 
 
-def latest_join_stream(sides: Mapping[str, DataFrame], key: str, seq: str) -> DataFrame:
-    """Use output mode ``update``: the joined latest row of each key that changed."""
-    return full_latest_join(sides, key, seq)
-
-
 def expire_stream(
     df: DataFrame, keys: Sequence[str], start: str, end: str, timeout: str,
     aggregates: Sequence[Column] = (), maxspan_ms: int | None = None, lateness: str = "0 seconds",

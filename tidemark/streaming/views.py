@@ -11,7 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.session import scratch_path
 from tidemark.sources.paths import remove
 
-Sink = str | Callable[[DataFrame, int], None]
+Sink = str | Callable[[DataFrame, int], None] | None
 
 
 def stream_table(
@@ -32,7 +32,7 @@ def trigger_of(every: str | None) -> dict:
 
 @dataclass
 class View:
-    """A named continuous query. ``sink`` is a Parquet path or a ``foreachBatch`` function."""
+    """A continuous query. ``sink`` is a Parquet path, a ``foreachBatch`` function or None to discard."""
 
     spark: SparkSession
     name: str | None
@@ -53,6 +53,8 @@ class View:
             writer = writer.queryName(self.name)
         if callable(self.sink):
             self.query = writer.foreachBatch(self.sink).start()
+        elif self.sink is None:
+            self.query = writer.format("noop").start()
         else:
             self.query = writer.format("parquet").option("path", self.sink).start()
         return self
@@ -80,7 +82,7 @@ class View:
     def drop(self) -> None:
         """Stop and delete the checkpoint and a file target."""
         self.pause()
-        folders = [self.checkpoint] + ([] if callable(self.sink) else [self.sink])
+        folders = [self.checkpoint] + ([self.sink] if isinstance(self.sink, str) else [])
         for folder in folders:
             remove(self.spark, folder)
 
