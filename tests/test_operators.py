@@ -46,6 +46,8 @@ def test_json_golden(spark):
     assert [(p.key, p.raw) for p in pairs] == [("key1", '"value1"'), ("key2", '"value2"')]
     assert one(spark, J.json_to_map(text)) == {"key1": "value1", "key2": "value2"}
     assert one(spark, J.json_pairs_raw(F.lit("{broken"))) is None
+    odd = one(spark, J.json_pairs_raw(F.lit('{"z":1.5,"a\\"b":null,"m":{"x": [1, 2]}}')))
+    assert [(p.key, p.raw) for p in odd] == [("z", "1.5"), ('a"b', "null"), ("m", '{"x":[1,2]}')]
     assert one(spark, J.json_path(F.lit('{"a": "x"}'), "a", "int")) is None
 
 
@@ -63,6 +65,8 @@ def test_text_and_sizes(spark):
     assert one(spark, S.to_time(F.lit("2024.01.02 03:04:05.123456"))) == dt.datetime(2024, 1, 2, 3, 4, 5, 123456)
     assert [one(spark, S.readable_size(F.lit(n))) for n in (0, 1023, 1024, 5 << 20, 3 << 40)] == [
         "0.00 B", "1023.00 B", "1.00 KiB", "5.00 MiB", "3.00 TiB"]
+    assert one(spark, S.to_time(F.lit("2024.01.02 03:04:05.12"))) == dt.datetime(2024, 1, 2, 3, 4, 5, 120000)
+    assert one(spark, S.to_time(F.lit("2024.13.02 03:04:05.1"))) is None
     assert one(spark, S.readable_size(F.lit(None).cast("long"))) is None
 
 
@@ -171,6 +175,10 @@ def test_keyed_table_ttl_and_compaction(spark, folder):
     assert keyed.unexpired(table.read(), "created_at", "10 SECONDS", as_of).count() == 7
     table.compact("10 SECONDS", "created_at", as_of)
     assert table.read().count() == 7
+    folders = lambda: [n for n in os.listdir(f"{folder}/t") if n.startswith("v=")]
+    assert len(folders()) == 2
+    table.vacuum()
+    assert len(folders()) == 1 and table.read().count() == 7
 
 
 @settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])

@@ -25,18 +25,11 @@ def json_columns(raw: Column | str, fields: Mapping[str, str]) -> Column:
 
 def json_pairs_raw(raw: Column | str) -> Column:
     """``[(key, value text)]`` in source order; text values keep their quotes."""
-    text = _col(raw)
-
-    def pair(document: Column, key: Column) -> Column:
-        path = F.concat(F.lit('$["'), key, F.lit('"]'))
-        value = F.to_json(F.try_variant_get(document, path, "variant"))
-        return F.struct(key.alias("key"), value.alias("raw"))
-
-    # the outer array of one binds the parsed document, so that it is parsed once and not per key
-    bound = F.array(F.try_parse_json(text))
+    parsed = F.from_json(_col(raw), "map<string,variant>")  # entries stay in source order
     return F.transform(
-        bound, lambda document: F.transform(F.json_object_keys(text), lambda key: pair(document, key))
-    )[0]
+        F.map_entries(parsed),
+        lambda entry: F.struct(entry["key"].alias("key"), F.to_json(entry["value"]).alias("raw")),
+    )
 
 
 def json_to_map(raw: Column | str) -> Column:

@@ -6,9 +6,8 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-# Record header time as it appears in log lines, with its parse pattern.
+# Fixed value: record header time as it appears in log lines.
 LOG_TIME_PATTERN = r"^(\d{4}\.\d{2}\.\d{2} \d{2}:\d{2}:\d{2}\.\d+)"
-LOG_TIME_FORMAT = "yyyy.MM.dd HH:mm:ss.[SSSSSS][SSS][S]"
 
 # Unit names of readable sizes.
 SIZE_UNITS = ("B", "KiB", "MiB", "GiB", "TiB")
@@ -28,9 +27,10 @@ def to_number(text: Column | str) -> Column:
     return _col(text).try_cast("bigint")
 
 
-def to_time(text: Column | str, pattern: str = LOG_TIME_FORMAT) -> Column:
-    """Text to time without zone; text that is no time gives NULL."""
-    return F.try_to_timestamp(_col(text), F.lit(pattern)).cast("timestamp_ntz")
+def to_time(text: Column | str) -> Column:
+    """Text to time without zone, the date written with dots or dashes; other text gives NULL."""
+    dashed = F.regexp_replace(_col(text), r"^(\d{4})\.(\d{2})\.(\d{2}) ", "$1-$2-$3 ")
+    return dashed.try_cast("timestamp_ntz")
 
 
 def contains_text(text: Column | str, part: str) -> Column:

@@ -101,7 +101,6 @@ def trace_groups(
         df, keys, end, timeout_us,
         {"_start": F.min(start), "_end": F.max(end), "_n": F.count("*")}, rows_per_chunk,
     )
-    fragments = durable(fragments)
     cells = [*keys, "_group"]
     groups = fragments.groupBy(*cells).agg(
         F.min("_start").alias("start_ts"), F.max("_end").alias("end_ts"), F.sum("_n").alias("n")

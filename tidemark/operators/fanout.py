@@ -9,6 +9,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from tidemark.functions.scalars import is_bot
+from tidemark.operators.lookup import broadcast_if_small
 
 # Frame layout (magic byte, then a 4-byte big-endian schema id) and routing limits.
 FRAME_MAGIC = "00"
@@ -81,10 +82,11 @@ def route_target(
 ) -> DataFrame:
     """Add ``full_name``, ``target`` and ``reason`` by schema id.
 
-    The registry has one row per schema id. Names outside the map fall back to the full name, with
+    The registry has one row per schema id, while one id may be on most of the frames, so a registry
+    counted as small is broadcast and the frames stay where they are. Names outside the map fall back to the full name, with
     ``.`` turned into ``_`` for tables and unchanged for topics.
     """
-    known = registry.select(F.col("schema_id").alias("_id"), "full_name")
+    known = broadcast_if_small(registry.select(F.col("schema_id").alias("_id"), "full_name"))
     joined = frames.join(known, frames["schema_id"] == known["_id"], "left").drop("_id")
     fallback = F.col("full_name") if for_topic else F.translate("full_name", ".", "_")
     target = fallback

@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 
 from tidemark.functions.scalars import shard_of
 from tidemark.operators.latest import latest_by_key
-from tidemark.sources.paths import exists
+from tidemark.sources.paths import exists, remove
 
 BUCKET = "_bucket"
 _COMMITS = "version BIGINT, bucket INT, folder STRING"
@@ -144,6 +144,13 @@ class KeyedTable:
             rows = unexpired(rows, ts, ttl, as_of)
         self._commit(rows, sorted(folders), version + 1)
 
+    def vacuum(self) -> None:
+        """Remove the folders no bucket points to; run it when no reader holds an older version."""
+        live = set(self._current()[1].values())
+        for row in self._commits().where("folder IS NOT NULL").select("folder").distinct().collect():
+            if row.folder not in live:
+                remove(self.spark, f"{self.path}/{row.folder}")
+
     def sink(self):
         """A ``foreachBatch`` function; replaying a batch gives the same table."""
         return lambda batch, _batch_id: self.upsert(batch)

@@ -12,10 +12,21 @@ from pyspark.sql import DataFrame, functions as F
 from tidemark.operators.latest import latest_by_key
 
 
+BROADCAST_ROWS = 500_000
+
+
+def broadcast_if_small(dim: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
+    """Hint a broadcast after counting no more than ``most`` rows; a larger frame gets no hint."""
+    return F.broadcast(dim) if dim.limit(most + 1).count() <= most else dim
+
+
 def lookup_join(
     probe: DataFrame, dim: DataFrame, probe_key: str, dim_key: str, how: str = "inner"
 ) -> DataFrame:
-    """Join a stream or table with a dimension that has one row per key."""
+    """Join a stream or table with a dimension that has one row per key.
+
+    Pass ``broadcast_if_small(dim)`` for a computed dimension whose size Catalyst cannot tell.
+    """
     return probe.join(dim, probe[probe_key] == dim[dim_key], how)
 
 

@@ -187,7 +187,5 @@ def json_typed_rows(t: Tables) -> DataFrame:
         F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("event_time"),
     )
     types = {"device": "string", "region": "string", "temperature": "float", "event_time": "timestamp_ntz"}
-    raw = J.json_message(made)
-    return raw.select(
-        F.lit(1).alias("node"), *[J.json_path("raw", c, ty).alias(c) for c, ty in types.items()]
-    )
+    typed = J.json_message(made).select(J.json_columns("raw", types).alias("r"))
+    return typed.select(F.lit(1).alias("node"), "r.*")
