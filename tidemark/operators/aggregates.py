@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tidemark.operators.lookup import broadcast_if_small
 from tidemark.operators.ordered import ROWS_PER_CHUNK, Running, null_safe_join, running
 from tidemark.session import durable
 
@@ -52,7 +53,7 @@ def exact_percentile(
     )
     counts = durable(counts)  # read again for hot keys and for the totals
     ranked = running(counts, groups, ["_v"], {"_upto": Running("sum", F.col("_n"))}, rows_per_chunk)
-    totals = counts.groupBy(*groups).agg(F.sum("_n").alias("_total"))
+    totals = broadcast_if_small(counts.groupBy(*groups).agg(F.sum("_n").alias("_total")))
     rank = F.lit(fraction) * (F.col("_total") - 1)
     low, high = F.floor(rank), F.ceil(rank)
     located = null_safe_join(ranked, totals, groups, "inner")

@@ -13,6 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.operators.aggregates import group_array
+from tidemark.operators.lookup import broadcast_if_small
 from tidemark.operators.ordered import ROWS_PER_CHUNK, Running, null_safe_join, running
 from tidemark.session import durable
 
@@ -110,7 +111,9 @@ def trace_groups(
     )
     if maxspan_ms is not None:
         groups = groups.where(F.col("span_ms") > maxspan_ms)
-    kept = null_safe_join(fragments.select(*cells, SLICE), groups, cells, "inner")
+    # when only a few groups are wanted, all other rows are dropped before any shuffle
+    kept = durable(null_safe_join(fragments.select(*cells, SLICE), groups, cells, "inner"))
+    kept = broadcast_if_small(kept)
     facts = ["start_ts", "end_ts", "span_ms", "n"]
     placed = null_safe_join(_sliced(df, end, timeout_us), kept, [*keys, SLICE], "inner").select(
         *cells, *facts, *[c for c in order if c not in cells], event.alias("_event")

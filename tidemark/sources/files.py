@@ -134,6 +134,8 @@ def write_arrow(df: DataFrame, path: str) -> None:
         if writer is not None:
             writer.close()
             sink.close()
+            if system.get_file_info(done).is_file:
+                system.delete_file(done)
             system.move(attempt, done)
         yield pa.RecordBatch.from_pydict({"n": pa.array([count], pa.int64())})
 

@@ -28,21 +28,23 @@ _SCHEMA = T.StructType([T.StructField("file", T.StringType()), T.StructField("ra
 
 def _lines(source, start: int) -> Iterator[tuple[int, bytes]]:
     """(offset, line) from the first line that begins at or after ``start``."""
-    offset, rest = max(start - 1, 0), b""
+    offset = max(start - 1, 0)
     skip = start > 0  # the line in progress belongs to the range before
     if skip:
         source.seek(offset)
+    parts: list[bytes] = []
     while block := source.read(_BLOCK):
-        lines = (rest + block).split(b"\n")
-        rest = lines.pop()
-        for line in lines:
+        head, *others = block.split(b"\n")
+        parts.append(head)
+        for following in others:
+            line, parts = b"".join(parts), [following]
             if skip:
                 skip = False
             else:
                 yield offset, line
             offset += len(line) + 1
-    if rest and not skip:
-        yield offset, rest
+    if not skip and (line := b"".join(parts)):
+        yield offset, line
 
 
 def _records(source, start: int, end: int, header: re.Pattern[bytes]) -> Iterator[str]:
