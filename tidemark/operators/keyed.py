@@ -12,6 +12,7 @@ import uuid
 from collections.abc import Sequence
 from functools import reduce
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
 from tidemark.functions.scalars import shard_of
@@ -106,7 +107,10 @@ class KeyedTable:
         record = [(version, b, folder if b in written else None) for b in buckets]
         if not record:
             return
-        self.spark.createDataFrame(record, _COMMITS).coalesce(1).write.mode("append").json(
+        names = ("version", "bucket", "folder")
+        types = pa.schema([("version", pa.int64()), ("bucket", pa.int32()), ("folder", pa.string())])
+        commit = pa.Table.from_pylist([dict(zip(names, r)) for r in record], types)
+        self.spark.createDataFrame(commit).coalesce(1).write.mode("append").json(
             f"{self.path}/_commits"
         )
 

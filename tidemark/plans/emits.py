@@ -11,7 +11,7 @@ from tidemark.operators.latest import latest_by_key
 from tidemark.operators.ordered import Running
 from tidemark.plans.registry import Tables, query
 from tidemark.session import scratch_path
-from tidemark.streaming.emit import on_update
+from tidemark.streaming.emit import expire_stream, on_update
 from tidemark.streaming.views import View, run_to_end, stream_table
 
 HOUR_US = 3_600_000_000
@@ -166,6 +166,24 @@ def expire_all(t: Tables) -> DataFrame:
     return expire.expire_groups(_spans(t.events), ["user_id"], "start_time", "end_time", 6 * HOUR_US)
 
 
+@query("expire_all_stream", f"{_GROUPS} SELECT user_id, start_ts, end_ts, span_ms, n FROM c")
+def expire_all_stream(t: Tables) -> DataFrame:
+    path = scratch_path(t.spark, "spans")
+    times = {c: F.col(c).cast("timestamp") for c in ("start_time", "end_time")}
+    spans = _spans(t.events).withColumns(times).select("user_id", "start_time", "end_time")
+    spans.write.parquet(path)
+    # the last groups only expire when something later arrives
+    later = spans.agg(F.max("end_time").alias("end_time")).select(
+        F.lit(None).cast("bigint").alias("user_id"),
+        *[(F.col("end_time") + F.expr("INTERVAL 30 DAYS")).alias(c) for c in times],
+    )
+    later.write.mode("append").parquet(path)
+    stream = stream_table(t.spark, path, spans.schema)
+    log = run_to_end(expire_stream(stream, ["user_id"], "start_time", "end_time", "6 hours"))
+    plain = [F.col(c).cast("timestamp_ntz").alias(c) for c in ("start_ts", "end_ts")]
+    return log.where("user_id IS NOT NULL").select("user_id", *plain, "span_ms", "n")
+
+
 @query("expire_only_outliers", f"""
 {_GROUPS} SELECT user_id, start_ts, end_ts, span_ms, n FROM c WHERE span_ms > {_MAXSPAN_MS}""")
 def expire_only_outliers(t: Tables) -> DataFrame:
