@@ -109,6 +109,18 @@ def test_two_tier_lookup_asks_only_for_missing_keys(spark):
     assert lookup.two_tier_lookup(probe, cache, many, "pid", "id").count() == 3 and len(asked) == 1
 
 
+@pytest.mark.parametrize("how", ["inner", "left"])
+def test_lookup_with_hot_probe_keys(spark, how):
+    key = F.when(F.col("id") % 3 == 0, F.lit(7)).when(F.col("id") % 3 == 1, F.col("id"))
+    probe = spark.range(3000).select("id", key.alias("k"))
+    dim = spark.range(0, 2000).selectExpr("id AS d", "concat('v', id) AS v")
+    got = lookup.lookup_join(probe, dim, "k", "d", how, split_hot=100)
+    want = lookup.lookup_join(probe, dim, "k", "d", how)
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(map(tuple, want.collect()), key=repr)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "Union" in plan and "strategy=broadcast" in plan
+
+
 def test_refreshing_lookup(spark):
     now, loads = [0.0], []
 

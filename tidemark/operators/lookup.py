@@ -10,6 +10,8 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import DataFrame, functions as F
 
 from tidemark.operators.latest import latest_by_key
+from tidemark.operators.ordered import hot_keys
+from tidemark.session import durable
 
 
 BROADCAST_ROWS = 500_000
@@ -21,12 +23,32 @@ def broadcast_if_small(dim: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
 
 
 def lookup_join(
-    probe: DataFrame, dim: DataFrame, probe_key: str, dim_key: str, how: str = "inner"
+    probe: DataFrame,
+    dim: DataFrame,
+    probe_key: str,
+    dim_key: str,
+    how: str = "inner",
+    split_hot: int | None = None,
 ) -> DataFrame:
     """Join a stream or table with a dimension that has one row per key.
 
-    Pass ``broadcast_if_small(dim)`` for a computed dimension whose size Catalyst cannot tell.
+    Pass ``broadcast_if_small(dim)`` for a computed dimension whose size Catalyst cannot tell. For a
+    dimension too large for that, ``split_hot`` names the rows from which a probe key counts as hot:
+    such rows stay where they are and meet the few dimension rows of their keys by broadcast, and only
+    the others are shuffled.
     """
+    if split_hot is not None and not probe.isStreaming:
+        hot = durable(hot_keys(probe.where(F.col(probe_key).isNotNull()), [probe_key], split_hot))
+        hot = hot.select(F.col(probe_key).alias("_hot"))
+        if 0 < hot.count() <= BROADCAST_ROWS:
+            flags = F.broadcast(hot)
+            marked = probe.join(flags, probe[probe_key] == flags["_hot"], "left")
+            few = F.broadcast(dim.join(flags, dim[dim_key] == flags["_hot"], "left_semi"))
+            often = marked.where("_hot IS NOT NULL").drop("_hot")
+            seldom = marked.where("_hot IS NULL").drop("_hot")
+            return lookup_join(often, few, probe_key, dim_key, how).unionByName(
+                lookup_join(seldom, dim, probe_key, dim_key, how)
+            )
     return probe.join(dim, probe[probe_key] == dim[dim_key], how)
 
 
