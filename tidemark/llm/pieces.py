@@ -14,7 +14,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql.types import BinaryType, StringType, StructField
 
-from tidemark.llm.rows import Recent, map_rows, texts_of, worker_store
+from tidemark.llm.rows import Recent, map_rows, ship, texts_of, worker_store
 
 SPACE = "▁"
 BEGIN, END = 1, 2
@@ -239,13 +239,13 @@ def encode_texts(df: DataFrame, model_path: str, text: str = "text", keep: list[
     rows too; an input column named ``ids`` or ``decoded`` is replaced. An empty table gives an empty one.
     A very long text costs memory in proportion to itself: words are encoded one by one and cached.
     """
-    vocabulary = df.sparkSession.sparkContext.broadcast(_pieces(model_path))  # fixed size: the model's
+    vocabulary = ship(df.sparkSession, _pieces(model_path))
     name = model_path
 
     def start():
         store = worker_store("pieces")
         if store.get("name") != name:
-            store["encoder"] = Encoder(vocabulary.value)
+            store["encoder"] = Encoder(vocabulary())
             store["name"] = name
         encoder = store["encoder"]
 

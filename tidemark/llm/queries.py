@@ -5,10 +5,20 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm.chat import format_turns, read_back
+from tidemark.llm.html import extract_text
+from tidemark.llm.language import fit as fit_languages
+from tidemark.llm.language import predict as predict_language
+from tidemark.llm.packing import pack
 from tidemark.llm.pieces import encode_texts
+from tidemark.llm.pii import KINDS, find_personal_data
+from tidemark.llm.pii import fit as fit_personal_data
+from tidemark.llm.rows import crc_bucket
+from tidemark.llm.toxicity import fit as fit_toxicity
+from tidemark.llm.toxicity import score as score_toxicity
 from tidemark.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -18,6 +28,68 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return configure(spark).read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pieces of all documents in sequences of at most 2048 tokens."""
+    pieces = pack(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+
+
+CONFLICT = "</s>[INST] ok [/INST]"
+
+
+def chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of all conversations, and of one full of control strings, read back from their formatted form."""
+    turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    extra = spark.range(1).select(F.explode(F.array(*[
+        F.struct(F.lit(-7).cast("long").alias("conv_id"), F.lit(k).cast("long").alias("turn"),
+                 F.lit(role).alias("role"), F.lit(CONFLICT).alias("text"))
+        for k, role in enumerate(("user", "assistant"))])).alias("t")).select("t.*")
+    return read_back(format_turns(turns.unionByName(extra), keep=["conv_id", "turn"]))
+
+
+def html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of all pages."""
+    return extract_text(table(spark, sf_dir, "pages"), keep=["page_id", "url"])
+
+
+def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in all texts: counts and digest of the spans found by rule, and all spans."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = find_personal_data(documents, fit_personal_data(documents), keep=["doc_id"])
+
+    def listed(spans: Column) -> Column:
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s.kind, s.start, s.end)), ",")
+
+    base = F.filter("spans", lambda s: s.base)
+    return found.select(
+        "doc_id",
+        *[F.size(F.filter(base, lambda s, kind=kind: s.kind == kind)).cast("long").alias(f"n_{kind}") for kind in KINDS],
+        F.sha2(F.encode(listed(base), "UTF-8"), 256).alias("base_sha256"),
+        listed(F.col("spans")).alias("spans"),
+    )
+
+
+def language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of all texts; a quarter of the documents, by the crc32 of their id, is never learned from."""
+    documents = table(spark, sf_dir, "documents").select(
+        "doc_id", "text", "lang", F.coalesce(crc_bucket("doc_id", 4) == 2, F.lit(False)).alias("held_out"))
+    model = fit_languages(documents.where(~F.col("held_out")))
+    return predict_language(documents, model, keep=["doc_id", "held_out"])
+
+
+TOXIC_FROM = 0.7
+
+
+def toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all texts; a third of the documents, by the crc32 of their id, is never learned from."""
+    held_out = F.coalesce(crc_bucket("doc_id", 3) == 1, F.lit(False))
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("held_out", held_out)
+    labels = table(spark, sf_dir, "labels").select("doc_id", "toxic").where(~held_out)
+    tagger = fit_toxicity(documents.where(~F.col("held_out")).join(labels, "doc_id"))
+    scored = score_toxicity(documents, tagger, keep=["doc_id", "held_out"])
+    return scored.select("doc_id", "held_out", "score", (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"))
+
+
 def sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Ids of every text and the text they decode to, as digests."""
     documents = table(spark, sf_dir, "documents")
@@ -31,6 +103,12 @@ def sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op2_packing": packing,
+    "op4_chat": chat,
+    "op5_html": html,
+    "op6_personal_data": personal_data,
+    "op7_language": language,
     "op9_sentencepiece": sentencepiece,
+    "op10_toxicity": toxicity,
 }
 ORACLES: dict[str, str] = {}

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import pickle
 import sys
 import types
 from collections.abc import Callable, Iterable, Iterator, Sequence
 from typing import Any
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark import cloudpickle
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
@@ -44,6 +46,15 @@ def texts_of(column: pa.Array) -> list[str]:
     return ["" if text is None else text for text in column.to_pylist()]
 
 
+def ship(spark: SparkSession, value: Any) -> Callable[[], Any]:
+    """Broadcast a model, of a size that does not grow with the data; call the result inside a task to get it.
+
+    The value is pickled with its classes, so that executors need no copy of the package.
+    """
+    sent = spark.sparkContext.broadcast(cloudpickle.dumps(value))
+    return lambda: pickle.loads(sent.value)
+
+
 def worker_store(name: str) -> dict[str, Any]:
     """A dictionary that lives as long as the Python worker, over all tasks it runs.
 
