@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.chat import format_turns, read_back
+from tidemark.llm.darts import near_duplicates
 from tidemark.llm.html import extract_text
 from tidemark.llm.language import fit as fit_languages
 from tidemark.llm.language import predict as predict_language
@@ -19,6 +20,7 @@ from tidemark.llm.pii import fit as fit_personal_data
 from tidemark.llm.rows import crc_bucket
 from tidemark.llm.toxicity import fit as fit_toxicity
 from tidemark.llm.toxicity import score as score_toxicity
+from tidemark.llm.vectors import nearest_vectors, similar_vectors
 from tidemark.session import configure
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -47,6 +49,21 @@ def chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_back(format_turns(turns.unionByName(extra), keep=["conv_id", "turn"]))
 
 
+def near_duplicate_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class of near-duplicates of each document."""
+    return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Links and components of all vectors at a cosine of 0.9 or more."""
+    return similar_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
+def nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest vectors of every fiftieth one."""
+    return nearest_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), F.col("vec_id") % 50 == 0)
+
+
 def html(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Main text of all pages."""
     return extract_text(table(spark, sf_dir, "pages"), keep=["page_id", "url"])
@@ -103,11 +120,14 @@ def sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Query] = {
+    "op1_near_vectors": near_vectors,
     "op2_packing": packing,
+    "op3_nearest": nearest,
     "op4_chat": chat,
     "op5_html": html,
     "op6_personal_data": personal_data,
     "op7_language": language,
+    "op8_near_duplicates": near_duplicate_documents,
     "op9_sentencepiece": sentencepiece,
     "op10_toxicity": toxicity,
 }

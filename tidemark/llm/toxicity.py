@@ -27,7 +27,8 @@ from tidemark.llm.rows import Recent, map_rows, ship, texts_of, unit_hash, worke
 # most so many signs (words and word beginnings) that tell toxic documents apart
 PER_LABEL = {1: 2000, 0: 6000}
 FIT_SENTENCES, FIT_SIGNS = 30_000, 20_000
-SURE = 1e-6  # chance at which a sign may fall on toxic documents alone by accident
+SURE = 14.0  # log likelihood ratio from which a sign's share of toxic documents is no accident
+OFTENER = 15  # times as often as in clean documents
 SLOTS = 1 << 16
 LONGEST_CHAIN = 4096
 LEAST = 0.05  # smaller marginals do not count towards a document
@@ -39,14 +40,14 @@ ENDS = frozenset(".!?\n")
 
 
 def signs(word: str) -> list[str]:
-    """What a labelled token is told by: the word, and its first four and five letters."""
-    return [word, *(f"{word[:n]}*" for n in (4, 5) if len(word) > n)]
+    """What a labelled token is told by: the word, and its first four to seven letters."""
+    return [word, *(f"{word[:n]}*" for n in (4, 5, 6, 7) if len(word) > n)]
 
 
 def token_features(word: str) -> list[int]:
     """Hashed features of a token: the word, its beginnings and ends, and its shape."""
     low = word.lower()
-    made = [low, *(f"{low[:n]}*" for n in (3, 4, 5) if len(low) > n), *(f"*{low[-n:]}" for n in (3, 4) if len(low) > n)]
+    made = [low, *(f"{low[:n]}*" for n in (3, 4, 5, 6, 7) if len(low) > n), *(f"*{low[-n:]}" for n in (3, 4) if len(low) > n)]
     shape = ("A" if word.isupper() else "a" if word.islower() else "x" if word.isalpha() else "0") + str(min(len(word), 9))
     return [zlib.crc32(f.encode("utf-8", "surrogatepass")) & (SLOTS - 1) for f in (*made, f"#{shape}")]
 
@@ -239,8 +240,8 @@ def fit(labelled: DataFrame, text: str = "text", label: str = "toxic", key: str
     """Label tokens by what sets toxic documents apart, fit the field to them, and the readout to documents.
 
     All on a sample by a hash of the key, of about ``PER_LABEL`` documents of each label. A sign is taken
-    for toxic if toxic documents alone have it, more often than chance (``SURE``) explains; the tokens
-    with such a sign in toxic documents are the labelled ones. Without toxic documents nothing is toxic.
+    for toxic if toxic documents have it ``OFTENER`` and more often than chance explains (``SURE``); the
+    tokens with such a sign in toxic documents are the labelled ones. Without toxic documents nothing is toxic.
     """
     spark = labelled.sparkSession
     rows = labelled.select(key, text, F.col(label).cast("int").alias("label")).where(F.col("label").isin(0, 1))
@@ -263,10 +264,11 @@ def fit(labelled: DataFrame, text: str = "text", label: str = "toxic", key: str
 
     counted = sample.mapInArrow(count_signs, StructType(
         [StructField("sign", StringType()), StructField("clean", LongType()), StructField("toxic", LongType())]))
-    share = toxic / (toxic + clean)
+    share, has, lacks = toxic / (toxic + clean), F.col("toxic"), F.col("clean")
+    ratio = (has * F.log(has / (share * (has + lacks)))
+             + F.when(lacks > 0, lacks * F.log(lacks / ((1 - share) * (has + lacks)))).otherwise(0))
     telling = (counted.groupBy("sign").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-               .where((F.col("toxic") * -np.log(share) >= -np.log(SURE))
-                      & (F.col("clean") * toxic * 50 <= F.col("toxic") * clean))
+               .where((has > 0) & (lacks * toxic * OFTENER <= has * clean) & (ratio >= SURE))
                .orderBy(F.desc("toxic"), "sign").limit(FIT_SIGNS))
     # a word beginning needs no place of its own where the words say the same; both may teach
     known = ship(spark, frozenset(r[0] for r in telling.select("sign").collect()))
