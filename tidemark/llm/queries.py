@@ -75,12 +75,15 @@ def personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = find_personal_data(documents, fit_personal_data(documents), keep=["doc_id"])
 
     def listed(spans: Column) -> Column:
-        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s.kind, s.start, s.end)), ",")
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
 
-    base = F.filter("spans", lambda s: s.base)
+    def count(kind: str) -> Column:
+        return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    base = F.filter("spans", lambda s: s["base"])
     return found.select(
         "doc_id",
-        *[F.size(F.filter(base, lambda s, kind=kind: s.kind == kind)).cast("long").alias(f"n_{kind}") for kind in KINDS],
+        *map(count, KINDS),
         F.sha2(F.encode(listed(base), "UTF-8"), 256).alias("base_sha256"),
         listed(F.col("spans")).alias("spans"),
     )
