@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import json
 import os
 import re
+import sys
+from array import array
 from collections import deque
-from collections.abc import Iterable, Iterator, Sequence
+from collections.abc import Iterator, Sequence
 from functools import lru_cache
-from itertools import accumulate
 
 import numpy as np
 import pyarrow as pa
@@ -16,21 +18,25 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import BinaryType, LongType, StructField, StructType
 
-from tidemark.llm.rows import Recent, worker_store
+from tidemark.llm.rows import worker_store
 
 WIDTH = 2048
 END_ID = 1
 # price of a cut, in tokens of padding: at a document's end, at a sentence's end, elsewhere
-AT_DOCUMENT, AT_SENTENCE, ELSEWHERE = 0, 8, 24
-STRIDE = 96  # in a stretch without a sentence's end, so many tokens apart may be cut
+AT_DOCUMENT, AT_SENTENCE, ELSEWHERE = 0, 4, 16
+STRIDE = 48  # in a stretch without a sentence's end, so many tokens apart may be cut
 NO_PADDING_FROM = 256  # sequences of a smaller power of two are padded as any other
 AHEAD, HELD_BACK = 96, 8  # windows decided together, and of those the last ones decided anew
 
-# where a space may begin a stretch of its own: the tokenizer's word pattern takes a single space
-# between two other characters to the word that follows
-LONELY = re.compile(r"(?<=\S) (?=\S)")
-BESIDE_SPACE = re.compile(r" \s|\s ")
-SENTENCE = re.compile(r"[.!?][\"')\]]*$")
+# Where a sentence ends and the text can be cut without changing its tokens: the tokenizer's pattern
+# takes a single space between two other characters to what follows, and a lone line break by itself.
+SENTENCE_END = re.compile(r"[.!?](?= \S)|(?<=\S)\n(?=\S)")
+LONG_WORD = re.compile(r"\S{1024}")
+
+# The word pattern of byte-level tokenizers, and the characters that stand for bytes in
+# their vocabularies (printable ones for themselves, the others from U+0100 on).
+PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 
 PIECE = StructType([
     StructField("doc_id", LongType()), StructField("start", LongType()), StructField("length", LongType()),
@@ -39,57 +45,62 @@ PIECE = StructType([
 ])
 
 
+def byte_ranks(definition: str) -> dict[bytes, int] | None:
+    """Token bytes and ids of a byte-level vocabulary whose ids follow its merges; None for any other."""
+    parts = json.loads(definition)
+    model, words = parts["model"], parts.get("pre_tokenizer") or {}
+    if (model["type"] != "BPE" or words.get("type") != "ByteLevel" or words.get("add_prefix_space")
+            or not words.get("use_regex", True) or parts.get("normalizer") or model.get("ignore_merges")):
+        return None
+    rest = (b for b in range(256) if b not in PRINTABLE)
+    byte_of = {chr(b): b for b in PRINTABLE} | {chr(256 + k): b for k, b in enumerate(rest)}
+    special = {t["content"] for t in parts.get("added_tokens", ())}
+    vocabulary = {t: i for t, i in model["vocab"].items() if t not in special}
+    merges = ["".join(m.split(" ") if isinstance(m, str) else m) for m in model["merges"]]
+    ids = [vocabulary.get(m) for m in merges]
+    if None in ids or ids != sorted(ids) or not all(c in byte_of for t in vocabulary for c in t):
+        return None
+    return {bytes(byte_of[c] for c in t): i for t, i in vocabulary.items()}
+
+
 class Tokens:
-    """Token ids of texts, with the places where sentences end. Words are tokenized once and cached."""
+    """Token ids of texts, with the places where sentences end.
 
-    def __init__(self, definition: str, cached: int = 1 << 19) -> None:
+    A byte-level vocabulary is encoded by ranks, which is faster and gives the same ids; texts with a
+    special token's name, and words so long that ranks would take quadratic time, by the tokenizer itself.
+    """
+
+    def __init__(self, definition: str) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_str(definition)
-        self.words = Recent(cached)  # of a word after a space
-        self.ends = Recent(cached)  # of those with a sentence's end: tokens up to there
-
-    def _plain(self, texts: list[str]) -> list[list[int]]:
-        return [e.ids for e in self.tokenizer.encode_batch(texts, add_special_tokens=False)]
-
-    def _learn(self, words: Iterable[str]) -> dict[str, bytes]:
-        words = list(words)
-        learned = {}
-        for word, ids in zip(words, self._plain([" " + w for w in words])):
-            learned[word] = packed = np.array(ids, dtype="<u4").tobytes()
-            end = 0
-            if SENTENCE.search(word):
-                end = len(ids)
-            elif "\n" in word:
-                end = len(self._plain([" " + word[:word.rindex("\n") + 1]])[0])
-            if len(word) <= 64:
-                self.words.put(word, packed)
-                if end:
-                    self.ends.put(word, end)
-        return learned
+        self.special = [t["content"] for t in json.loads(definition).get("added_tokens", ())]
+        ranks = byte_ranks(definition)
+        self.fast = None
+        if ranks is not None:
+            from tiktoken import Encoding
+
+            self.fast = Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+
+    def _slow(self, text: str) -> list[int]:
+        return self.tokenizer.encode(text, add_special_tokens=False).ids
 
     def encode(self, text: str) -> tuple[bytes, list[int]]:
         """Ids of the text and the token offsets at which a sentence ends."""
         if not text:
             return b"", []
-        words = LONELY.split(text) if BESIDE_SPACE.search(text) else text.split(" ")
-        first = np.array(self._plain([words[0]])[0], dtype="<u4").tobytes()
-        rest = words[1:]
-        ids = list(map(self.words.get, rest))
-        if None in ids:
-            unknown = {w for w, i in zip(rest, ids) if i is None}
-            known = {w: i for w in unknown if (i := self.words.find(w)) is not None}
-            learned = known | self._learn(unknown - known.keys())
-            ids = [learned[w] if i is None else i for w, i in zip(rest, ids)]
-        ends = self.ends
-        marks = [(k, w) for k, w in enumerate(rest) if w in ends or w in ends.old]
-        if marks:
-            sizes = list(accumulate(map(len, ids), initial=len(first)))
-            cuts = [sizes[k] // 4 + ends.find(w) for k, w in marks]
-        else:
-            cuts = []
-        return first + b"".join(ids), cuts
+        fast = None if any(name in text for name in self.special) else self.fast
+        ids, cuts, begin = array("I"), [], 0
+        for end in [*(match.end() for match in SENTENCE_END.finditer(text)), len(text)]:
+            part = text[begin:end]
+            slow = fast is None or end - begin > 1024 and LONG_WORD.search(part)
+            ids.extend(self._slow(part) if slow else fast(part))
+            cuts.append(len(ids))
+            begin = end
+        if sys.byteorder == "big":
+            ids.byteswap()
+        return ids.tobytes(), cuts
 
 
 def best_cuts(places: Sequence[int], prices: Sequence[int], width: int = WIDTH,
