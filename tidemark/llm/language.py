@@ -16,8 +16,8 @@ from tidemark.llm.boosting import sigmoid
 from tidemark.llm.rows import map_rows, sample_by_class
 
 UNKNOWN = "und"
-PER_LANGUAGE = 800  # fitted on about so many documents of each language
-LONGEST = 4096  # slots of counted letter groups
+PER_LANGUAGE = 600  # fitted on about so many documents of each language
+SLOTS = 2048  # slots of counted letter groups
 
 # Families of common languages; any other language is a family of its own.
 FAMILIES = {
@@ -38,16 +38,16 @@ LETTER = re.compile(r"[^\W\d_]")
 def letter_groups(text: str) -> np.ndarray:
     """Square roots of hashed counts of the groups of one to three bytes of the lower-case text, of length one."""
     raw = np.frombuffer(text.lower().encode("utf-8", "surrogatepass"), dtype=np.uint8).astype(np.uint32)
-    counts = np.zeros(LONGEST)
+    counts = np.zeros(SLOTS)
     # by stretches, so that a very long text needs little memory; they overlap by two bytes
     for begin in range(0, len(raw), 1 << 20):
         part = raw[max(begin - 2, 0):begin + (1 << 20)]
         skip = min(begin, 2)
         counts[:256] += np.bincount(part[skip:], minlength=256)
         pairs = part[:-1] << 8 | part[1:]
-        counts += np.bincount((pairs[max(skip - 1, 0):] * np.uint32(2654435761)) >> np.uint32(20), minlength=LONGEST)
+        counts += np.bincount((pairs[max(skip - 1, 0):] * np.uint32(2654435761)) >> np.uint32(21), minlength=SLOTS)
         triples = pairs[:-1] << 8 | part[2:]
-        counts += np.bincount((triples * np.uint32(2246822519)) >> np.uint32(20), minlength=LONGEST)
+        counts += np.bincount((triples * np.uint32(2246822519)) >> np.uint32(21), minlength=SLOTS)
     counts = np.sqrt(counts)
     norm = np.sqrt(counts @ counts)
     return counts / norm if norm else counts
@@ -96,7 +96,7 @@ class Languages:
         self.languages: list[str] = []
         self.families: list[str] = []
         self.members: dict[str, list[str]] = {}
-        self.family_weights = np.zeros((LONGEST + 1, 0))
+        self.family_weights = np.zeros((SLOTS + 1, 0))
         self.pairs: dict[tuple[str, str], np.ndarray] = {}
 
     def fit(self, x: np.ndarray, labels: list[str]) -> Languages:
@@ -150,7 +150,7 @@ def fit(labelled: DataFrame, text: str = "text", label: str = "lang", key: str =
     """Fit on about ``PER_LANGUAGE`` rows of each label, chosen by a hash of the key.
 
     Rows without a label, and texts without a letter, teach nothing. Letter groups are counted where the
-    texts are, over whole texts; the driver gets ``LONGEST`` numbers for each chosen row.
+    texts are, over whole texts; the driver gets ``SLOTS`` numbers for each chosen row.
     """
     chosen = sample_by_class(labelled, key, label, PER_LANGUAGE).select(text, label)
 
@@ -165,7 +165,7 @@ def fit(labelled: DataFrame, text: str = "text", label: str = "lang", key: str =
                              ).orderBy(F.xxhash64("x"), "label").collect()
     if not rows:
         return Languages()
-    x = np.stack([np.frombuffer(r.x, dtype="<f2") for r in rows]).astype(float)
+    x = np.stack([np.frombuffer(r.x, dtype="<f2") for r in rows]).astype(np.float32)
     return Languages().fit(x, [r.label for r in rows])
 
 
