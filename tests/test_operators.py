@@ -225,6 +225,39 @@ def test_tiered_table_is_safe_to_repeat(spark, folder):
     assert {t: len(table.days(t)) for t in roots} == {"hot": 0, "warm": 3, "cold": 5}
 
 
+def test_late_rows_join_a_moved_day(spark, folder):
+    roots = {n: f"{folder}/{n}" for n in ("hot", "warm", "cold")}
+    table = retention.TieredTable(spark, roots, T._parse_datatype_string("id BIGINT, day DATE"), "day", ["id"])
+    rules = [("3 DAYS", "warm"), ("7 DAYS", "cold")]
+
+    def add(*ids):
+        table.append(spark.createDataFrame([(i,) for i in ids], "id BIGINT").selectExpr("id", "DATE'2024-01-01' AS day"))
+
+    def ids(tier=None):
+        return sorted(r.id for r in table.read(tier).collect())
+
+    add(1, 2, 3)
+    table.apply("2024-01-11 00:00:00", rules)
+    add(4)
+    assert ids() == [1, 2, 3, 4]
+    table.apply("2024-01-11 00:00:00", rules)
+    assert ids("cold") == [1, 2, 3, 4] and ids("hot") == []
+    add(5, 6)
+    # a move cut short after its copy: nothing is seen twice, and the rerun ends it
+    table._copy("hot", "cold", table._files("hot", "2024-01-01"))
+    assert ids() == [1, 2, 3, 4, 5, 6] and ids("hot") == []
+    add(7)
+    assert ids() == [1, 2, 3, 4, 5, 6, 7]
+    table.apply("2024-01-11 00:00:00", rules)
+    assert ids("cold") == [1, 2, 3, 4, 5, 6, 7] and table.days("hot") == []
+    # by way of the tier between
+    table.append(spark.range(8, 10).selectExpr("id", "DATE'2024-01-06' AS day"))
+    table.apply("2024-01-11 00:00:00", rules)
+    assert ids("warm") == [8, 9]
+    table.apply("2024-01-14 00:00:00", rules)
+    assert ids("cold") == [1, 2, 3, 4, 5, 6, 7, 8, 9] and ids() == ids("cold")
+
+
 def test_alert_payload(spark):
     rows = spark.createDataFrame([("exp", 1, "Online", 1), ("exp", 2, "Offline", 2)],
                                  "cluster STRING, node INT, node_state STRING, seq INT")

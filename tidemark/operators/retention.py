@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
+import re
 from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from tidemark.sources.paths import exists, remove
+from tidemark.sources.paths import files_below, folders, remove
 
 
 def tier_of_age(ts: Column, as_of: Column, rules: Sequence[tuple[str, str]], first: str = "hot") -> Column:
@@ -36,33 +38,71 @@ def write_layout(
     ).partitionBy(*partition).parquet(path)
 
 
+MOVED_FROM = "moved_from"
+
+
 class TieredTable:
-    """A day-partitioned table whose old days move from one root path to the next."""
+    """A day-partitioned table whose old days move from one root path to the next.
+
+    A moved file becomes a folder of its own in the target day, named by the file it came from. A rerun
+    after a crash replaces that folder, rows that arrive late for a moved day come from other files and
+    join it, and readers leave out a file whose copy is already in a later tier. So no row is lost and
+    none is seen twice, whenever a move is cut short.
+    """
 
     def __init__(
         self, spark: SparkSession, roots: dict[str, str], schema: T.StructType, day: str, sort: Sequence[str]
     ) -> None:
-        self.spark, self.roots, self.schema = spark, dict(roots), schema
+        self.spark, self.roots, self.schema = spark, {n: r.rstrip("/") for n, r in roots.items()}, schema
         self.day, self.sort = day, list(sort)
 
     def append(self, df: DataFrame) -> None:
         write_layout(df, next(iter(self.roots.values())), [self.day], self.sort)
 
     def read(self, tier: str | None = None) -> DataFrame:
-        roots = [r for name, r in self.roots.items() if tier in (None, name) and exists(self.spark, r)]
-        frames = [self.spark.read.schema(self.schema).parquet(root) for root in roots]
-        return reduce(lambda a, b: a.unionByName(b), frames, self.spark.createDataFrame([], self.schema))
+        frames = [self._read(name) for name in self.roots if tier in (None, name)]
+        return reduce(lambda a, b: a.unionByName(b), frames)
+
+    def _read(self, tier: str) -> DataFrame:
+        if not self.days(tier):
+            return self.spark.createDataFrame([], self.schema)
+        rows = self.spark.read.schema(self.schema).parquet(self.roots[tier])
+        copied = self._copied(tier)
+        if copied:
+            rows = rows.where(~self._origin(F.col("_metadata.file_path")).isin(copied))
+        return rows.select(*self.schema.fieldNames())
 
     def days(self, tier: str) -> list[str]:
-        """Partition days of a tier; one value per day comes to the driver."""
-        rows = self.read(tier).select(F.col(self.day).cast("string")).distinct().collect()
-        return sorted(r[0] for r in rows)
+        """Partition days of a tier, from its folder names."""
+        names = folders(self.spark, self.roots[tier])
+        return [n.partition("=")[2] for n in names if n.startswith(f"{self.day}=")]
+
+    def _files(self, tier: str, day: str) -> list[str]:
+        return files_below(self.spark, f"{self.roots[tier]}/{self.day}={day}")
+
+    def _origin(self, path: Column) -> Column:
+        """Name of a file's copy: a digest of its place below the root."""
+        return F.md5(F.regexp_extract(path, f"/({self.day}=[^/]*/.*)$", 1))
+
+    def _digests(self, paths: Sequence[str]) -> dict[str, str]:
+        places = {p: re.search(f"/({self.day}=[^/]*/.*)$", p).group(1) for p in paths}
+        return {hashlib.md5(place.encode()).hexdigest(): path for path, place in places.items()}
+
+    def _copied(self, tier: str) -> list[str]:
+        """Digests of the tier's files that a later tier holds a copy of; mostly none."""
+        names, found = list(self.roots), []
+        for later in names[names.index(tier) + 1:]:
+            for day in set(self.days(tier)) & set(self.days(later)):
+                held = folders(self.spark, f"{self.roots[later]}/{self.day}={day}")
+                known = {n.partition("=")[2] for n in held if n.startswith(f"{MOVED_FROM}=")}
+                found += [d for d in self._digests(self._files(tier, day)) if d in known]
+        return found
 
     def apply(self, as_of: str, rules: Sequence[tuple[str, str]], delete_after: str | None = None) -> None:
         """Move the days that outgrew their tier and delete those past ``delete_after``.
 
-        Days with the same way to go are copied by one job before their old folders are removed; a
-        rerun overwrites the same target days.
+        Days with the same way to go are copied by one job; then exactly the files that were copied are
+        removed, so that rows appended meanwhile stay for the next time.
         """
         names = list(self.roots)
         held = [(tier, day) for tier in names for day in self.days(tier)]
@@ -79,12 +119,24 @@ class TieredTable:
             if target == "" or names.index(target) > names.index(tier):
                 moves.setdefault((tier, target), []).append(day)
         for (tier, target), days in moves.items():
+            files = {day: self._files(tier, day) for day in days}
             if target:
-                moving = self.read(tier).where(F.col(self.day).cast("string").isin(days))
-                moving.repartitionByRange(self.day, *self.sort).sortWithinPartitions(
-                    self.day, *self.sort
-                ).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-                    self.day
-                ).parquet(self.roots[target])
-            for day in days:
+                self._copy(tier, target, [f for day in days for f in files[day]])
+            self._clear(tier, files)
+
+    def _copy(self, tier: str, target: str, files: Sequence[str]) -> None:
+        if not files:
+            return
+        rows = self.spark.read.schema(self.schema).option("basePath", self.roots[tier]).parquet(*files)
+        rows = rows.select(*self.schema.fieldNames(), self._origin(F.col("_metadata.file_path")).alias(MOVED_FROM))
+        keys = [self.day, MOVED_FROM]
+        rows.repartitionByRange(*keys, *self.sort).sortWithinPartitions(*keys, *self.sort).write.mode(
+            "overwrite"
+        ).option("partitionOverwriteMode", "dynamic").partitionBy(*keys).parquet(self.roots[target])
+
+    def _clear(self, tier: str, files: dict[str, list[str]]) -> None:
+        for day, paths in files.items():
+            for path in paths:
+                remove(self.spark, path)
+            if not self._files(tier, day):
                 remove(self.spark, f"{self.roots[tier]}/{self.day}={day}")

@@ -1,4 +1,4 @@
-"""Existence and removal of paths on whatever file system Spark is configured for."""
+"""Existence, listing and removal of paths on whatever file system Spark is configured for."""
 
 from __future__ import annotations
 
@@ -18,3 +18,24 @@ def exists(spark: SparkSession, path: str) -> bool:
 def remove(spark: SparkSession, path: str) -> None:
     system, location = _locate(spark, path)
     system.delete(location, True)
+
+
+def folders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders right below a path; none if it does not exist."""
+    system, location = _locate(spark, path)
+    if not system.exists(location):
+        return []
+    return sorted(s.getPath().getName() for s in system.listStatus(location) if s.isDirectory())
+
+
+def files_below(spark: SparkSession, path: str) -> list[str]:
+    """All data files below a path, at any depth; none if it does not exist."""
+    system, location = _locate(spark, path)
+    if not system.exists(location):
+        return []
+    found, listed = [], system.listFiles(location, True)
+    while listed.hasNext():
+        file = listed.next().getPath()
+        if not file.getName().startswith(("_", ".")):
+            found.append(file.toString())
+    return sorted(found)
