@@ -29,6 +29,39 @@ def test_null_arithmetic(spark):
     S.register_sql_functions(spark)
     assert tuple(spark.sql("SELECT null_greatest3(NULL, -5, -2), null_least(3, 1), null_plus(NULL, NULL)").first()) == (
         -2.0, 1.0, None)
+    S.register_sql_functions(spark, "BIGINT", "_long")
+    S.register_sql_functions(spark, "TIMESTAMP_NTZ", "_time")
+    S.register_sql_functions(spark, "STRING", "_text")
+    assert spark.sql("SELECT null_plus_long(9007199254740993, NULL)").first()[0] == 9007199254740993
+    assert spark.sql("SELECT null_least_text('b', 'a')").first()[0] == "a"
+    assert str(spark.sql("SELECT null_greatest_time(TIMESTAMP_NTZ'2024-01-02', NULL)").first()[0]) == "2024-01-02 00:00:00"
+
+
+def test_sql_inserts_replay(spark):
+    from tidemark.sinks.files import sql_inserts
+    rows = spark.sql("""SELECT * FROM VALUES
+        (1, 'it''s \\\\ a\\nb', array(1, NULL), X'00FF', double('NaN'), map('k', 1.5D), named_struct('x', 'q'), DATE'2024-01-02',
+         TIMESTAMP_NTZ'2024-01-02 03:04:05.678', 1.25BD, true),
+        (2, NULL, NULL, NULL, double('-Infinity'), NULL, NULL, NULL, NULL, NULL, NULL),
+        (3, '', array(), X'', 1e300D, map(), named_struct('x', CAST(NULL AS STRING)), NULL, NULL, 0.10BD, false)
+        AS t(i, s, a, b, d, m, n, day, ts, c, f)""")
+    rows.createOrReplaceTempView("insert_source")
+    spark.sql("CREATE OR REPLACE TEMP VIEW insert_empty AS SELECT * FROM insert_source WHERE false")
+    texts = [r.statement for r in sql_inserts(rows, "t").collect()]
+    types = dict(rows.dtypes)
+    back = []
+    for text in texts:
+        values = text[text.index("VALUES (") + 7:-1]
+        row = spark.sql(f"SELECT * FROM VALUES {values} AS t({', '.join(rows.columns)})")
+        back.append(tuple(row.selectExpr(*[f"CAST({c} AS {types[c]}) {c}" for c in rows.columns]).first()))
+    assert repr(back) == repr([tuple(r) for r in rows.collect()])
+
+
+def test_arrow_rewrite_leaves_no_old_part(spark, folder):
+    rows = spark.range(10)
+    files.write_arrow(rows.repartition(4), f"{folder}/a")
+    files.write_arrow(rows.coalesce(1), f"{folder}/a")
+    assert files.read_arrow(spark, f"{folder}/a/*.arrow", rows.schema).count() == 10
 
 
 def test_vectorised_function_surface(spark):
@@ -178,6 +211,24 @@ def test_keyed_table(spark, folder):
     assert table.read().count() == 100
 
 
+def test_a_change_writes_only_its_own_rows(spark, folder):
+    table = keyed.KeyedTable(spark, f"{folder}/t", T._parse_datatype_string("id BIGINT, x BIGINT"), ["id"], buckets=4, most_deltas=3)
+    table.upsert(spark.range(4000).selectExpr("id", "0L x"))
+    first = set(os.listdir(f"{folder}/t"))
+    for change in range(1, 7):
+        table.upsert(spark.range(40).selectExpr("id * 100 AS id", f"CAST({change} AS BIGINT) x"))
+        if change == 1:  # spread over all buckets, yet the base stays as it is
+            new, = (n for n in set(os.listdir(f"{folder}/t")) - first if n.startswith("v="))
+            assert spark.read.parquet(f"{folder}/t/{new}").count() == 40
+    assert table.read().groupBy("x").count().collect() and table.read().where("x = 6").count() == 40
+    assert table.read().count() == 4000
+    assert max(map(len, table._current()[1].values())) <= 4  # many deltas are merged into the base
+    table.vacuum()
+    assert table.read().where("x = 6").count() == 40 and table.read().count() == 4000
+    table.upsert(spark.createDataFrame([(100,)], "id BIGINT"))
+    assert table.read().where("id = 100").first().x is None
+
+
 def test_keyed_table_ttl_and_compaction(spark, folder):
     table = keyed.KeyedTable(spark, f"{folder}/t", T._parse_datatype_string(TX), ["id"], ["seq"], 2)
     rows = spark.range(10).selectExpr("concat('k', id) id", "id value",

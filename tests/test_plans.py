@@ -48,7 +48,7 @@ def test_stateless_queries_do_not_shuffle(spark):
 
 
 @pytest.mark.parametrize("name", ["join_lookup", "join_two_tier", "route_target", "rename_chain", "expire_all",
-                                  "trace_groups", "agg_p90", "emit_periodic_keyed", "late_rows"])
+                                  "trace_groups", "agg_p90", "emit_periodic_keyed"])
 def test_no_cross_joins(spark, name):
     text = plan(spark, name)
     assert "CartesianProduct" not in text and "BroadcastNestedLoopJoin" not in text

@@ -83,13 +83,11 @@ def is_bot(agent: Column | str) -> Column:
 
 
 def null_plus(left: Column, right: Column) -> Column:
-    both = F.coalesce(left, F.lit(0)) + F.coalesce(right, F.lit(0))
-    return F.when(left.isNotNull() | right.isNotNull(), both)
+    return F.coalesce(left + right, left, right)
 
 
 def null_minus(left: Column, right: Column) -> Column:
-    both = F.coalesce(left, F.lit(0)) - F.coalesce(right, F.lit(0))
-    return F.when(left.isNotNull() | right.isNotNull(), both)
+    return F.coalesce(left - right, left, -right)
 
 
 def null_least(*values: Column) -> Column:
@@ -104,22 +102,25 @@ def nullable_add(left: Column, right: Column) -> Column:
     return null_plus(left, right)
 
 
-# Names and bodies of the SQL functions registered for use in query text.
+# Names of the SQL functions for use in query text.
 SQL_FUNCTIONS = {
-    "null_plus(lhs DOUBLE, rhs DOUBLE)":
-        "IF(lhs IS NULL AND rhs IS NULL, NULL, coalesce(lhs, 0) + coalesce(rhs, 0))",
-    "null_minus(lhs DOUBLE, rhs DOUBLE)":
-        "IF(lhs IS NULL AND rhs IS NULL, NULL, coalesce(lhs, 0) - coalesce(rhs, 0))",
-    "null_least(lhs DOUBLE, rhs DOUBLE)": "least(lhs, rhs)",
-    "null_greatest(lhs DOUBLE, rhs DOUBLE)": "greatest(lhs, rhs)",
-    "null_least3(p1 DOUBLE, p2 DOUBLE, p3 DOUBLE)": "least(p1, p2, p3)",
-    "null_greatest3(p1 DOUBLE, p2 DOUBLE, p3 DOUBLE)": "greatest(p1, p2, p3)",
+    "null_plus": (2, "coalesce(a + b, a, b)"), "null_minus": (2, "coalesce(a - b, a, -b)"),
+    "null_least": (2, "least(a, b)"), "null_greatest": (2, "greatest(a, b)"),
+    "null_least3": (3, "least(a, b, c)"), "null_greatest3": (3, "greatest(a, b, c)"),
 }
 
 
-def register_sql_functions(spark: SparkSession) -> None:
-    for signature, body in SQL_FUNCTIONS.items():
-        spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {signature} RETURNS DOUBLE RETURN {body}")
+def register_sql_functions(spark: SparkSession, dtype: str = "DOUBLE", suffix: str = "") -> None:
+    """Register the NULL-tolerant functions for one type, under their names and ``suffix``.
+
+    SQL functions have typed parameters: register them once for each type that query text needs, such as
+    ``register_sql_functions(spark, "BIGINT", "_long")``. The Column forms above take any type.
+    """
+    numeric = dtype.upper().partition("(")[0] not in ("STRING", "DATE", "TIMESTAMP", "TIMESTAMP_NTZ", "BINARY", "BOOLEAN")
+    for name, (count, body) in SQL_FUNCTIONS.items():
+        if numeric or "least" in name or "greatest" in name:  # least and greatest compare any type
+            parameters = ", ".join(f"{p} {dtype}" for p in "abc"[:count])
+            spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {name}{suffix}({parameters}) RETURNS {dtype} RETURN {body}")
 
 
 def with_defaults(df: DataFrame, defaults: Mapping[str, Column]) -> DataFrame:

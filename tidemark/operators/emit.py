@@ -89,16 +89,3 @@ def emission_rate(
     """Difference to the previous emission, as ``prev`` and whole events per second ``eps``."""
     with_prev = previous(emissions, [], [order], total, "prev", 0, rows_per_chunk)
     return with_prev.withColumn("eps", F.expr(f"({total} - prev) div {seconds}"))
-
-
-def late_rows(
-    df: DataFrame,
-    ts: str,
-    arrival: Sequence[str],
-    delay: str,
-    rows_per_chunk: int = ROWS_PER_CHUNK,
-) -> DataFrame:
-    """Rows that arrive when the watermark, ``delay`` behind the newest time, has passed them."""
-    seen = running(df, [], arrival, {"_seen": Running("max", F.col(ts), exclusive=True)}, rows_per_chunk)
-    late = F.col(ts) < F.col("_seen") - F.expr(f"INTERVAL {delay}")
-    return seen.withColumn("late", late).where("late").drop("_seen")

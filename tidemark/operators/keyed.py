@@ -1,9 +1,9 @@
 """Mutable keyed tables on Parquet: upsert, versions, delete, expiry, compaction.
 
 The operators are plain frame functions. ``KeyedTable`` keeps the result on shared storage: rows are
-hashed into buckets, a change rewrites the touched buckets into a new folder, and a commit record
-names the folder that now holds each bucket. Readers take the newest record of a bucket, so a
-half-written change is never seen. One writer at a time.
+hashed into buckets. A change only writes its own rows, as a delta of the buckets they fall into; readers
+merge a bucket's base with its later deltas, and a bucket with many deltas is rewritten. A commit record
+names each folder that counts, so a half-written change is never seen. One writer at a time.
 """
 
 from __future__ import annotations
@@ -17,10 +17,11 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions
 
 from tidemark.functions.scalars import shard_of
 from tidemark.operators.latest import latest_by_key
-from tidemark.sources.paths import exists, remove
+from tidemark.sources.paths import exists, files_below, remove
 
 BUCKET = "_bucket"
-_COMMITS = "version BIGINT, bucket INT, folder STRING"
+ARRIVAL = "_arrival"  # number of the change that brought a row; decides among rows of equal order
+_COMMITS = "version BIGINT, bucket INT, folder STRING, delta BOOLEAN"
 
 
 def upsert(base: DataFrame, delta: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -43,7 +44,12 @@ def unexpired(df: DataFrame, ts: str, ttl: str, as_of: Column) -> DataFrame:
 
 
 class KeyedTable:
-    """A keyed table under ``path``. ``order`` decides which version of a key wins."""
+    """A keyed table under ``path``.
+
+    ``order`` decides which version of a key wins, and the later change where it is equal or not given.
+    A change that lacks columns makes them NULL; one that lacks an order column takes the stored row's
+    place in that order, so it wins as the later one.
+    """
 
     def __init__(
         self,
@@ -51,48 +57,64 @@ class KeyedTable:
         path: str,
         schema: T.StructType,
         keys: Sequence[str],
-        order: Sequence[str],
+        order: Sequence[str] = (),
         buckets: int = 64,
         bloom_columns: Sequence[str] = (),
+        most_deltas: int = 8,
     ) -> None:
         self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
         self.keys, self.order, self.buckets = list(keys), list(order), buckets
-        self.bloom_columns = list(bloom_columns)
+        self.bloom_columns, self.most_deltas = list(bloom_columns), most_deltas
+        self.stored = T.StructType([*schema.fields, T.StructField(ARRIVAL, T.LongType())])
 
     def _commits(self) -> DataFrame:
         if not exists(self.spark, f"{self.path}/_commits"):
             return self.spark.createDataFrame([], _COMMITS)
         return self.spark.read.schema(_COMMITS).json(f"{self.path}/_commits")
 
-    def _current(self) -> tuple[int, dict[int, str]]:
-        """Newest version and the folder of each bucket; one row per bucket comes to the driver."""
-        rows = (
-            self._commits()
-            .groupBy("bucket")
-            .agg(F.max("version").alias("v"), F.max_by("folder", "version").alias("folder"))
-            .collect()
-        )
-        return max((r.v for r in rows), default=0), {r.bucket: r.folder for r in rows}
-
-    def _files(self, folders: dict[int, str]) -> DataFrame:
-        paths = [f"{self.path}/{folder}/{BUCKET}={b}" for b, folder in sorted(folders.items()) if folder]
+    def _current(self) -> tuple[int, dict[int, list[str]]]:
+        """Newest version, and of each bucket its base folder and later deltas in order; a row for each
+        folder and bucket that counts comes to the driver."""
+        commits = self._commits().distinct()
+        bases = commits.where("NOT delta").groupBy("bucket").agg(F.max("version").alias("base"))
+        counted = commits.join(bases, "bucket", "left").where("base IS NULL OR version >= base")
+        held: dict[int, list[str]] = {}
+        version = commits.agg(F.max("version")).first()[0] or 0
+        for row in counted.orderBy("version").collect():
+            if row.folder:
+                held.setdefault(row.bucket, []).append(row.folder)
+            else:
+                held.setdefault(row.bucket, [])
+        return version, held
+
+    def _files(self, held: dict[int, list[str]]) -> DataFrame:
+        paths = [f"{self.path}/{folder}/{BUCKET}={b}" for b, folders in sorted(held.items()) for folder in folders]
         if not paths:
-            return self.spark.createDataFrame([], self.schema)
-        return self.spark.read.schema(self.schema).parquet(*paths)
+            return self.spark.createDataFrame([], self.stored)
+        return self.spark.read.schema(self.stored).parquet(*paths)
+
+    def _merged(self, held: dict[int, list[str]]) -> DataFrame:
+        """Rows as they stand, with their arrival; buckets without deltas are only read."""
+        alone = {b: folders for b, folders in held.items() if len(folders) < 2}
+        mixed = {b: folders for b, folders in held.items() if len(folders) > 1}
+        rows = self._files(alone)
+        if mixed:
+            rows = rows.unionByName(latest_by_key(self._files(mixed), self.keys, [*self.order, ARRIVAL]))
+        return rows
 
     def read(self) -> DataFrame:
-        return self._files(self._current()[1])
+        return self._merged(self._current()[1]).drop(ARRIVAL)
 
     def _hash(self) -> Column:
         return shard_of(F.struct(*self.keys), self.buckets).cast("int")
 
-    def _commit(self, rows: DataFrame, touched: Sequence[int] | None, version: int) -> None:
-        """Write rows as the new content of the touched buckets; None stands for those written."""
+    def _write(self, rows: DataFrame, version: int) -> tuple[str, set[int]]:
+        """Write rows with their arrival into a new folder; its name and the buckets that got rows."""
         folder = f"v={version}-{uuid.uuid4().hex}"
         # range partitioning by (bucket, key): few files per bucket, keys sorted and clustered in
         # files for min/max pruning, and a large bucket spread over several tasks
         placed = (
-            rows.select(*self.schema.fieldNames())
+            rows.select(*self.stored.fieldNames())
             .withColumn(BUCKET, self._hash())
             .repartitionByRange(BUCKET, *self.keys)
             .sortWithinPartitions(BUCKET, *self.keys)
@@ -102,58 +124,76 @@ class KeyedTable:
         for column in self.bloom_columns:
             writer = writer.option(f"parquet.bloom.filter.enabled#{column}", "true")
         writer.parquet(f"{self.path}/{folder}")
-        written = set(seen.get["written"])
-        buckets = sorted(written) if touched is None else touched
-        record = [(version, b, folder if b in written else None) for b in buckets]
-        if not record:
+        return folder, set(seen.get["written"])
+
+    def _record(self, records: list[tuple[int, int, str | None, bool]]) -> None:
+        if not records:
             return
-        names = ("version", "bucket", "folder")
-        types = pa.schema([("version", pa.int64()), ("bucket", pa.int32()), ("folder", pa.string())])
-        commit = pa.Table.from_pylist([dict(zip(names, r)) for r in record], types)
-        self.spark.createDataFrame(commit).coalesce(1).write.mode("append").json(
-            f"{self.path}/_commits"
-        )
+        names = ("version", "bucket", "folder", "delta")
+        types = pa.schema([("version", pa.int64()), ("bucket", pa.int32()), ("folder", pa.string()), ("delta", pa.bool_())])
+        commit = pa.Table.from_pylist([dict(zip(names, r)) for r in records], types)
+        self.spark.createDataFrame(commit).coalesce(1).write.mode("append").json(f"{self.path}/_commits")
 
-    def _touched(self, df: DataFrame) -> list[int]:
-        return [r[0] for r in df.select(self._hash().alias("b")).distinct().collect()]
+    def _rewrite(self, rows: DataFrame, buckets: Sequence[int], version: int) -> None:
+        """Make rows the whole content of the buckets."""
+        folder, written = self._write(rows, version)
+        self._record([(version, b, folder if b in written else None, False) for b in buckets])
 
     def upsert(self, delta: DataFrame) -> None:
-        """Merge rows; only the buckets the delta falls into are read and rewritten."""
-        missing = {f.name: F.lit(None).cast(f.dataType) for f in self.schema if f.name not in delta.columns}
-        full = delta.withColumns(missing).select(*self.schema.fieldNames()) if missing else delta
-        version, folders = self._current()
-        if not folders:
-            self._commit(latest_by_key(full, self.keys, self.order), None, version + 1)
-            return
-        touched = self._touched(full)
-        base = self._files({b: folders[b] for b in touched if b in folders})
-        if touched:
-            self._commit(upsert(base, full, self.keys, self.order), touched, version + 1)
+        """Merge rows. The change is computed once and only its own rows are written; the table is read
+        only where the change lacks an order column."""
+        version, held = self._current()
+        version += 1
+        missing = [f for f in self.schema if f.name not in delta.columns]
+        full = delta.withColumns({f.name: F.lit(None).cast(f.dataType) for f in missing}) if missing else delta
+        full = full.select(*self.schema.fieldNames())
+        unordered = [c for c in self.order if c in {f.name for f in missing}]
+        if unordered and held:
+            stored = self._merged(held).select(*self.keys, *[F.col(c).alias(f"_stored_{c}") for c in unordered])
+            full = full.drop(*unordered).join(stored, self.keys, "left").withColumnsRenamed(
+                {f"_stored_{c}": c for c in unordered})
+        rows = full.withColumn(ARRIVAL, F.lit(version).cast("bigint"))
+        folder, written = self._write(latest_by_key(rows, self.keys, [*self.order, ARRIVAL]), version)
+        self._record([(version, b, folder, b in held) for b in sorted(written)])
+        full_ones = {b: folders for b, folders in held.items() if b in written and len(folders) >= self.most_deltas}
+        if full_ones:
+            self.compact(buckets=sorted(full_ones))
 
     def delete(self, predicate: Column) -> None:
         """Delete the rows a predicate selects; buckets without such rows are left alone."""
-        table = self.read()
-        touched = self._touched(table.where(predicate))
-        if not touched:
-            return
-        version, folders = self._current()
-        kept = delete_where(self._files({b: folders[b] for b in touched}), predicate)
-        self._commit(kept, touched, version + 1)
-
-    def compact(self, ttl: str | None = None, ts: str | None = None, as_of: Column | None = None) -> None:
-        """Rewrite every bucket, dropping expired rows when a ``ttl`` is given."""
-        version, folders = self._current()
-        rows = self._files(folders)
+        version, held = self._current()
+        touched = [r[0] for r in self._merged(held).where(predicate).select(self._hash().alias("b")).distinct().collect()]
+        if touched:
+            kept = delete_where(self._merged({b: held[b] for b in touched}), predicate)
+            self._rewrite(kept, touched, version + 1)
+
+    def compact(self, ttl: str | None = None, ts: str | None = None, as_of: Column | None = None,
+                buckets: Sequence[int] | None = None) -> None:
+        """Rewrite the buckets (all by default) as one base each, without expired rows when a ``ttl`` is given."""
+        version, held = self._current()
+        chosen = {b: folders for b, folders in held.items() if buckets is None or b in buckets}
+        rows = self._merged(chosen)
         if ttl is not None:
             rows = unexpired(rows, ts, ttl, as_of)
-        self._commit(rows, sorted(folders), version + 1)
+        self._rewrite(rows, sorted(chosen), version + 1)
 
     def vacuum(self) -> None:
-        """Remove the folders no bucket points to; run it when no reader holds an older version."""
-        live = set(self._current()[1].values())
-        for row in self._commits().where("folder IS NOT NULL").select("folder").distinct().collect():
-            if row.folder not in live:
-                remove(self.spark, f"{self.path}/{row.folder}")
+        """Remove the folders that do not count any more, and their commit records; run it when no reader
+        holds an older version."""
+        version, held = self._current()
+        commits = self._commits()
+        old = files_below(self.spark, f"{self.path}/_commits")
+        live = {folder for folders in held.values() for folder in folders}
+        dead = [r.folder for r in commits.where("folder IS NOT NULL").select("folder").distinct().collect()
+                if r.folder not in live]
+        numbers = {r.folder: r.version for r in commits.where("folder IS NOT NULL").select("folder", "version").distinct().collect()}
+        # what counts is written anew before the old records go; a record that is there twice counts once
+        self._record([(numbers[folder], b, folder, k > 0) for b, folders in held.items() for k, folder in enumerate(folders)]
+                     + [(version, b, None, False) for b, folders in held.items() if not folders])
+        for path in old:
+            remove(self.spark, path)
+        for folder in dead:
+            remove(self.spark, f"{self.path}/{folder}")
 
     def sink(self):
         """A ``foreachBatch`` function; replaying a batch gives the same table."""

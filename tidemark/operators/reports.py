@@ -124,14 +124,14 @@ def file_list(table: DataFrame) -> DataFrame:
     ).groupBy("file").agg(F.max("size").alias("size"), F.count("*").alias("rows"))
 
 
-def parts_per_partition(table: DataFrame, column: str, top: int = 20) -> DataFrame:
-    """Files, rows and size per partition folder, the fullest ``top`` first."""
+def parts_per_partition(table: DataFrame, column: str, top: int = 20, order: str = "parts") -> DataFrame:
+    """Files, rows and size per partition folder: the ``top`` ones with most ``parts`` or ``rows``."""
     folder = F.regexp_extract("file", rf"/{column}=([^/]+)/", 1)
     return (
         file_list(table).groupBy(folder.alias("partition"))
         .agg(F.count("*").alias("parts"), F.sum("rows").alias("rows"),
              readable_size(F.sum("size")).alias("size"))
-        .orderBy(F.desc("parts"), F.desc("rows"), "partition")
+        .orderBy(F.desc(order), F.desc("rows"), "partition")
         .limit(top)
     )
 

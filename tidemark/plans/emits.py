@@ -250,14 +250,3 @@ def dedup_latest(t: Tables) -> DataFrame:
     rows = t.events.select("event_id", "event_type", "value", F.lit(0).alias("batch_id"))
     replayed = rows.where("event_id % 10 = 0").withColumn("batch_id", F.lit(1))
     return latest_by_key(rows.unionByName(replayed), ["event_id"], ["batch_id"]).drop("batch_id")
-
-
-@query("late_rows", """
-WITH a AS (SELECT event_id, ts, CASE WHEN event_id % 50 = 0 THEN event_id + 500 ELSE event_id END AS arrival FROM events),
-b AS (SELECT *, max(ts) OVER (ORDER BY arrival, event_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS seen FROM a)
-SELECT event_id, ts, ts < seen - INTERVAL 1 HOUR AND seen IS NOT NULL AS late FROM b
-WHERE ts < seen - INTERVAL 1 HOUR""")
-def late_rows(t: Tables) -> DataFrame:
-    held = F.when(F.col("event_id") % 50 == 0, F.col("event_id") + 500).otherwise(F.col("event_id"))
-    arrived = t.events.select("event_id", "ts", held.alias("arrival"))
-    return emit.late_rows(arrived, "ts", ["arrival", "event_id"], "1 hour").drop("arrival")

@@ -14,7 +14,7 @@ from tidemark.streaming.views import snapshot_into
 @query("sink_append", "SELECT event_type, count(*) AS n FROM events GROUP BY event_type")
 def sink_append(t: Tables) -> DataFrame:
     path = scratch_path(t.spark, "append")
-    bad = F.col("event_type") == "error"
+    bad = F.col("event_type").eqNullSafe("error")
     t.events.where(bad).write.mode("append").parquet(path)
     t.events.where(~bad).write.mode("append").parquet(path)
     return t.spark.read.parquet(path).groupBy("event_type").agg(F.count("*").alias("n"))

@@ -8,11 +8,11 @@ from tidemark.plans.logs import ORACLE_RECORD, SPARK_RECORD
 from tidemark.plans.registry import Tables, query
 from tidemark.session import scratch_path
 from tidemark.sinks import files as out
-from tidemark.sources import files, generate, kafka, logs
+from tidemark.sources import files, kafka, logs
 from tidemark.streaming.views import run_to_end, stream_table
 
-EVENT_COLUMNS = ("event_id", "ts", "user_id", "event_type", "value")
-EVENT_SCHEMA = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE"
+EVENT_COLUMNS = ("event_id", "ts", "user_id", "event_type", "value", "props")
+EVENT_SCHEMA = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
 PLAIN_EVENTS = f"SELECT {', '.join(EVENT_COLUMNS)} FROM events"
 
 
@@ -76,29 +76,15 @@ def src_json_table(t: Tables) -> DataFrame:
     return files.read_ndjson(t.spark, path, EVENT_SCHEMA)
 
 
-_WIDTH, _MODULO = 50, 300
-
-
-@query("gen_keyed_rows", "SELECT 'pid_' || (event_id % 300) AS id, 'p' || (event_id % 300) AS name, "
-       + ", ".join(f"'d{i}_' || (event_id * {i} % 300) AS d{i}" for i in range(1, 51)) + " FROM events")
-def gen_keyed_rows(t: Tables) -> DataFrame:
-    return generate.generate_rows(t.spark, t.events.count(), generate.wide_columns(_WIDTH, _MODULO))
-
-
-@query("gen_numbers", "SELECT event_id AS number FROM events")
-def gen_numbers(t: Tables) -> DataFrame:
-    return generate.numbers(t.spark, t.events.count())
-
-
 @query("scan_snapshot", PLAIN_EVENTS)
 def scan_snapshot(t: Tables) -> DataFrame:
     return t.events.select(*EVENT_COLUMNS)
 
 
-@query("scan_stream", "SELECT event_id, event_type, value FROM events")
+@query("scan_stream", PLAIN_EVENTS)
 def scan_stream(t: Tables) -> DataFrame:
     stream = stream_table(t.spark, t.file("events"), t.events.schema)
-    return run_to_end(stream.select("event_id", "event_type", "value")).drop("batch_id")
+    return run_to_end(stream.select(*EVENT_COLUMNS)).drop("batch_id")
 
 
 @query("scan_time_bound", "SELECT event_id, ts FROM events WHERE ts < TIMESTAMP '2024-01-10 00:00:00'")
@@ -106,22 +92,40 @@ def scan_time_bound(t: Tables) -> DataFrame:
     return t.events.where(F.col("ts") < F.lit("2024-01-10").cast("timestamp_ntz")).select("event_id", "ts")
 
 
-def _round_trip_text(t: Tables, sep: str, header: bool) -> DataFrame:
+# the events' own columns and text that delimited files find hard: breaks, quotes, backslashes, empty, NULL
+_HARD_SQL = """
+SELECT *, CASE event_id % 6 WHEN 0 THEN 'two' || chr(10) || 'lines' WHEN 1 THEN 'a "quote", and a comma' || chr(9)
+  WHEN 2 THEN 'back\\n\\slash' || chr(13) WHEN 3 THEN '' WHEN 4 THEN NULL ELSE ' spaces ' END AS note FROM (""" + PLAIN_EVENTS + ")"
+
+
+def _hard_events(t: Tables) -> DataFrame:
+    kind = F.col("event_id") % 6
+    note = (F.when(kind == 0, "two\nlines").when(kind == 1, 'a "quote", and a comma\t').when(kind == 2, "back\\n\\slash\r")
+            .when(kind == 3, "").when(kind == 5, " spaces "))
+    return t.events.select(*EVENT_COLUMNS, note.alias("note"))
+
+
+def _round_trip_text(t: Tables, sep: str, header: bool, compression: str = "none") -> DataFrame:
     path = scratch_path(t.spark, "text")
-    out.write_csv(t.events.select(*EVENT_COLUMNS), path, header, sep)
-    return files.read_csv(t.spark, path, EVENT_SCHEMA, header, sep)
+    out.write_csv(_hard_events(t), path, header, sep, compression)
+    return files.read_csv(t.spark, path, f"{EVENT_SCHEMA}, note STRING", header, sep, escapes=True)
 
 
-@query("fmt_csv", PLAIN_EVENTS)
+@query("fmt_csv", _HARD_SQL)
 def fmt_csv(t: Tables) -> DataFrame:
     return _round_trip_text(t, ",", header=True)
 
 
-@query("fmt_tsv", PLAIN_EVENTS)
+@query("fmt_tsv", _HARD_SQL)
 def fmt_tsv(t: Tables) -> DataFrame:
     return _round_trip_text(t, "\t", header=False)
 
 
+@query("fmt_csv_gzip", _HARD_SQL)
+def fmt_csv_gzip(t: Tables) -> DataFrame:
+    return _round_trip_text(t, ",", header=False, compression="gzip")
+
+
 @query("fmt_ndjson", "SELECT event_id, ts, props FROM events")
 def fmt_ndjson(t: Tables) -> DataFrame:
     path = scratch_path(t.spark, "ndjson")

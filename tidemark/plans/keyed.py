@@ -46,6 +46,32 @@ def keyed_versioned(t: Tables) -> DataFrame:
     return latest_by_key(rows, ["o_orderkey"], ["ver", "seq"]).select("o_orderkey", "o_totalprice", "ver")
 
 
+@query("keyed_arrival", """
+SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 10 = 0 THEN o_totalprice - 5 ELSE o_totalprice END AS o_totalprice
+FROM orders""")
+def keyed_arrival(t: Tables) -> DataFrame:
+    """Without a version column the row that came last wins, also one with smaller values."""
+    rows = t.orders.select("o_orderkey", "o_custkey", "o_totalprice")
+    table = keyed.KeyedTable(t.spark, scratch_path(t.spark, "keyed"), rows.schema, ["o_orderkey"], buckets=8)
+    table.upsert(rows)
+    for change in (100, -5):
+        table.upsert(rows.where("o_orderkey % 10 = 0").withColumn("o_totalprice", F.col("o_totalprice") + change))
+    return table.read()
+
+
+@query("keyed_partial", """
+SELECT o_orderkey, CASE WHEN o_orderkey % 7 = 0 THEN NULL ELSE o_custkey END AS o_custkey,
+       CASE WHEN o_orderkey % 7 = 0 THEN o_totalprice + 2 ELSE o_totalprice END AS o_totalprice, 3 AS ver
+FROM orders""")
+def keyed_partial(t: Tables) -> DataFrame:
+    """A change that lacks columns, the version too, replaces the row and leaves the others NULL."""
+    rows = t.orders.select("o_orderkey", "o_custkey", "o_totalprice", F.lit(3).alias("ver"))
+    table = keyed.KeyedTable(t.spark, scratch_path(t.spark, "keyed"), rows.schema, ["o_orderkey"], ["ver"], buckets=8)
+    table.upsert(rows)
+    table.upsert(t.orders.where("o_orderkey % 7 = 0").select("o_orderkey", (F.col("o_totalprice") + 2).alias("o_totalprice")))
+    return table.read()
+
+
 @query("keyed_delete", f"""
 {_VERSIONS} SELECT o_orderkey, o_custkey, o_totalprice, ver FROM k WHERE rn = 1
 AND NOT (o_orderkey BETWEEN 1000 AND 1015) AND o_custkey <> 18""")

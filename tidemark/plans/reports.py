@@ -52,9 +52,9 @@ def _by_day(t: Tables) -> DataFrame:
 
 @query("rep_parts", """
 SELECT CAST(CAST(ts AS DATE) AS VARCHAR) AS "partition", count(*) AS "rows", true AS has_parts
-FROM events GROUP BY 1""")
+FROM events GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 20""")
 def rep_parts(t: Tables) -> DataFrame:
-    report = R.parts_per_partition(_by_day(t), "day", top=10_000)
+    report = R.parts_per_partition(_by_day(t), "day", order="rows")
     return report.select("partition", "rows", (F.col("parts") >= 1).alias("has_parts"))
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -40,11 +41,14 @@ def build_session(name: str = "tidemark", master: str | None = None, **conf: str
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors see, with its scheme: ``spark.checkpoint.dir``, or a private one
-    when that is unset."""
+    """The folder all executors see, with its scheme: ``spark.checkpoint.dir``. Only where all runs in one
+    process on one machine may it be unset; then it is a private one. A cluster without it is an error,
+    as each executor would write to a disk of its own."""
     context = spark.sparkContext
     if context.getCheckpointDir() is None:
         configured = context.getConf().get("spark.checkpoint.dir", None)
+        if configured is None and not re.fullmatch(r"local(\[[^\]]*\])?", context.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         context.setCheckpointDir(configured or tempfile.mkdtemp(prefix="tidemark-"))
     return context.getCheckpointDir().rstrip("/")
 

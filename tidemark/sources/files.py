@@ -6,7 +6,9 @@ from collections.abc import Iterator
 from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+
+from tidemark.sources.paths import remove
 
 CORRUPT = "_corrupt_record"
 TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss[.SSSSSS][.SSS]"
@@ -18,19 +20,34 @@ class TooManyBadRows(RuntimeError):
 
 def _text_options(header: bool, sep: str) -> dict[str, str]:
     return {
-        "header": str(header).lower(), "sep": sep, "mode": "PERMISSIVE",
+        "header": str(header).lower(), "sep": sep, "mode": "PERMISSIVE", "escape": '"', "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false",
         "timestampNTZFormat": TIMESTAMP_FORMAT, "timestampFormat": TIMESTAMP_FORMAT,
     }
 
 
+def unescape_breaks(text: Column) -> Column:
+    """Undo the backslash escapes of ``write_csv``; a pair of backslashes is set aside while the rest is undone."""
+    mark = "\x00"
+    text = F.replace(text, F.lit("\\\\"), F.lit(mark))
+    text = F.replace(F.replace(text, F.lit("\\n"), F.lit("\n")), F.lit("\\r"), F.lit("\r"))
+    return F.replace(text, F.lit(mark), F.lit("\\"))
+
+
 def read_csv(spark: SparkSession, path: str, schema: str | T.StructType, header: bool = False,
-             sep: str = ",") -> DataFrame:
-    return spark.read.schema(schema).options(**_text_options(header, sep)).csv(path)
+             sep: str = ",", escapes: bool = False, multiline: bool = False) -> DataFrame:
+    """Delimited text. ``escapes`` undoes the backslash escapes and NULL marks of ``write_csv``; ``multiline`` takes line
+    breaks within quotes from other writers, at the price of one task for each file."""
+    reader = spark.read.schema(schema).options(**_text_options(header, sep), multiLine=str(multiline).lower())
+    if not escapes:
+        return reader.csv(path)
+    rows = reader.options(nullValue="\\N", emptyValue="").csv(path)
+    return rows.select([unescape_breaks(F.col(f"`{f.name}`")).alias(f.name) if isinstance(f.dataType, T.StringType)
+                        else F.col(f"`{f.name}`") for f in rows.schema])
 
 
 def read_tsv(spark: SparkSession, path: str, schema: str | T.StructType,
-             header: bool = False) -> DataFrame:
-    return read_csv(spark, path, schema, header, "\t")
+             header: bool = False, escapes: bool = False) -> DataFrame:
+    return read_csv(spark, path, schema, header, "\t", escapes)
 
 
 def read_ndjson(spark: SparkSession, path: str, schema: str | T.StructType) -> DataFrame:
@@ -116,9 +133,12 @@ def read_arrow(spark: SparkSession, path: str, schema: T.StructType) -> DataFram
 
 
 def write_arrow(df: DataFrame, path: str) -> None:
-    """One Arrow IPC file per task; a rerun task replaces its own file."""
+    """One Arrow IPC file per task; a rerun task replaces its own file. What lies under the path goes first,
+    so that a later write with fewer tasks leaves no older part behind."""
     from pyspark import TaskContext
 
+    remove(df.sparkSession, path)
+
     def store(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
         system, inner = open_path(path)
