@@ -37,6 +37,34 @@ def test_null_arithmetic(spark):
     assert str(spark.sql("SELECT null_greatest_time(TIMESTAMP_NTZ'2024-01-02', NULL)").first()[0]) == "2024-01-02 00:00:00"
 
 
+def test_key_lists_are_typed(spark):
+    from datetime import date, datetime
+    from decimal import Decimal
+    assert lookup.sql_key(date(2024, 1, 1)) == "DATE '2024-01-01'"
+    assert lookup.sql_key(datetime(2024, 1, 1, 2)) == "TIMESTAMP '2024-01-01 02:00:00'"
+    assert lookup.sql_key("it's") == "'it''s'" and lookup.sql_key(Decimal("1.50")) == "1.50"
+    assert lookup.sql_key("a\\b") is None and lookup.sql_key(1.5) is None and lookup.sql_key(b"x") is None
+    remote = spark.sql("SELECT * FROM VALUES (DATE'2024-01-01', 1), (DATE'2024-01-02', 2) AS t(d, x)")
+    fetch = lookup.fetch_by_key_list(lambda where: remote.where(where), "d", remote)
+    assert [r.x for r in fetch(remote.select("d").where("x = 2")).collect()] == [2]
+
+
+def test_dead_letters_keep_the_message(spark):
+    raws = ['{"event_type":"order","order_id":"a","amount":5}', '{"event_type":"order","order_id":"b","amount":"much"}',
+            '{broken', None, '{"event_type":"other"}']
+    rows = spark.createDataFrame([(k, r) for k, r in enumerate(raws)], "key INT, raw STRING")
+    decoded = X.json_envelope(rows, {"event_type": "string", "order_id": "string", "amount": "double", "customer_id": "string"})
+    dead = {r.key: (r.raw, r.reason) for r in X.unrouted(decoded).collect()}
+    assert dead == {1: (raws[1], X.UNREADABLE), 2: (raws[2], X.UNREADABLE), 3: (None, X.UNREADABLE),
+                    4: (raws[4], X.UNKNOWN_EVENT)}
+    seen = {}
+    run = X.Fanout(lambda df: X.json_envelope(df, {"event_type": "string", "order_id": "string", "amount": "double",
+                                                   "customer_id": "string"}),
+                   {"orders": X.orders_of}, lambda frame, name, batch: seen.setdefault(name, frame.collect()), X.unrouted)
+    run(rows, 0)
+    assert [r.order_id for r in seen["orders"]] == ["a"] and len(seen["dead_letters"]) == 4
+
+
 def test_sql_inserts_replay(spark):
     from tidemark.sinks.files import sql_inserts
     rows = spark.sql("""SELECT * FROM VALUES

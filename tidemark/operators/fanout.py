@@ -22,6 +22,7 @@ BAD_MAGIC = "bad magic byte"
 BAD_INDEX = "bad message index"
 UNKNOWN_SCHEMA = "unknown schema id"
 UNKNOWN_EVENT = "unknown event type"
+UNREADABLE = "unreadable message"
 
 
 def frame_header(df: DataFrame, value: str = "value") -> DataFrame:
@@ -174,14 +175,37 @@ EVENT_TYPES = ("order", "device", "click")
 
 
 def unrouted(envelope: DataFrame) -> DataFrame:
+    """Rows for no target, with the reason: unreadable ones, and those of an unknown type. All columns
+    stay, the original message among them where the envelope has it."""
     known = F.coalesce(F.col("event_type").isin(*EVENT_TYPES), F.lit(False))
-    return envelope.where(~known).withColumn("reason", F.lit(UNKNOWN_EVENT))
+    reason = F.when(~known, UNKNOWN_EVENT)
+    if "reason" in envelope.columns:
+        reason = F.coalesce(F.col("reason"), reason)
+    return envelope.withColumn("reason", reason).where(F.col("reason").isNotNull())
+
+
+def json_envelope(messages: DataFrame, fields: Mapping[str, str], raw: str = "raw") -> DataFrame:
+    """The fields of JSON messages, beside the untouched message and the ``reason`` it cannot be used.
+
+    A message that is no JSON object, and one with a field that does not fit its type, is unreadable as a
+    whole: no row is made of its other fields. Columns of the source, such as a message key, stay.
+    """
+    schema = ", ".join([f"`{name}` {dtype}" for name, dtype in fields.items()] + ["`_unfit` STRING"])
+    parsed = F.from_json(F.col(raw), schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_unfit"})
+    decoded = messages.withColumn("_e", parsed)
+    unfit = F.col("_e").isNull() | F.col("_e._unfit").isNotNull()
+    return decoded.select(
+        *messages.columns, *[F.col(f"_e.`{name}`").alias(name) for name in fields],
+        F.when(unfit, UNREADABLE).alias("reason"),
+    )
 
 
 @dataclass
 class Fanout:
     """A ``foreachBatch`` function that decodes once and writes every target.
 
+    Rows that decoding gave a ``reason`` go to the dead letters alone. The decoded batch is kept in
+    memory and on disk only while several frames are written from it.
     A failed write raises, so the batch is replayed and targets must tolerate repeats (a keyed table,
     or a folder named by batch id). With ``isolate`` one target's failure does not stop the others,
     and is raised after them. ``dry_run`` counts without writing.
@@ -196,8 +220,11 @@ class Fanout:
     counts: dict[str, int] = field(default_factory=dict)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        decoded = self.decode(batch).persist()
-        frames = {name: make(decoded) for name, make in self.targets.items()}
+        decoded = self.decode(batch)
+        if len(self.targets) + (self.dead_letters is not None) > 1:
+            decoded = decoded.persist()
+        good = decoded.where(F.col("reason").isNull()).drop("reason") if "reason" in decoded.columns else decoded
+        frames = {name: make(good) for name, make in self.targets.items()}
         if self.dead_letters is not None:
             frames["dead_letters"] = self.dead_letters(decoded)
         failures: list[Exception] = []

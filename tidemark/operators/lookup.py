@@ -6,6 +6,8 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable, Sequence
+from datetime import date, datetime
+from decimal import Decimal
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -13,13 +15,25 @@ from tidemark.operators.latest import latest_by_key
 from tidemark.operators.ordered import hot_keys
 from tidemark.session import durable
 
+BROADCAST_BYTES = 64 << 20
+BROADCAST_ROWS = 500_000  # of hot keys, which are a key wide
 
-BROADCAST_ROWS = 500_000
 
+def measured_bytes(df: DataFrame) -> int:
+    """About how many bytes the rows take, by one aggregate over them: fixed widths, and texts measured."""
+    wide = [f.name for f in df.schema if f.dataType.simpleString() in ("string", "binary")]
+    other = [f.name for f in df.schema if f.dataType.simpleString().startswith(("array", "map", "struct", "variant"))]
+    each = F.lit(16 * len(df.columns))
+    for name in wide:
+        each = each + F.coalesce(F.octet_length(F.col(f"`{name}`")), F.lit(0))
+    for name in other:
+        each = each + F.coalesce(F.octet_length(F.to_json(F.struct(F.col(f"`{name}`")))), F.lit(0))
+    return df.agg(F.sum(each.cast("bigint"))).first()[0] or 0
 
-def broadcast_if_small(dim: DataFrame, most: int = BROADCAST_ROWS) -> DataFrame:
-    """Hint a broadcast after counting no more than ``most`` rows; a larger frame gets no hint."""
-    return F.broadcast(dim) if dim.limit(most + 1).count() <= most else dim
+
+def broadcast_if_small(dim: DataFrame, most: int = BROADCAST_BYTES) -> DataFrame:
+    """Hint a broadcast if the rows measure no more than ``most`` bytes; a larger frame gets no hint."""
+    return F.broadcast(dim) if measured_bytes(dim) <= most else dim
 
 
 def lookup_join(
@@ -95,22 +109,39 @@ def fetch_from_table(table: DataFrame, key: str) -> Callable[[DataFrame], DataFr
     return lambda missing: table.join(missing, key, "left_semi")
 
 
+def sql_key(value: object) -> str | None:
+    """A key as SQL text that any dialect reads the same; None where there is no such text."""
+    if isinstance(value, bool):
+        return str(value).upper()
+    if isinstance(value, (int, Decimal)):
+        return str(value)
+    if isinstance(value, datetime):
+        return f"TIMESTAMP '{value.isoformat(sep=' ')}'" if value.tzinfo is None else None
+    if isinstance(value, date):
+        return f"DATE '{value.isoformat()}'"
+    if isinstance(value, str) and "\\" not in value and "\0" not in value:
+        return "'" + value.replace("'", "''") + "'"
+    return None
+
+
 def fetch_by_key_list(
     read: Callable[[str], DataFrame], key: str, fallback: DataFrame, most: int = 1000
 ) -> Callable[[DataFrame], DataFrame]:
     """Push a short list of missing keys into the remote query; past ``most`` keys, semi-join.
 
-    ``read`` takes a SQL predicate. At most ``most`` + 1 keys come to the driver.
+    ``read`` takes a SQL predicate. At most ``most`` + 1 keys come to the driver. Keys that have no
+    literal of one meaning in every dialect (doubles, binary, times with a zone, texts with a backslash)
+    go by the semi-join as well, so both ways give the same rows.
     """
 
     def fetch(missing: DataFrame) -> DataFrame:
         keys = [row[0] for row in missing.limit(most + 1).collect()]
-        if len(keys) > most:
+        texts = [sql_key(k) for k in keys]
+        if len(keys) > most or None in texts:
             return fallback.join(missing, key, "left_semi")
         if not keys:
             return fallback.limit(0)
-        quoted = ["'" + k.replace("'", "''") + "'" if isinstance(k, str) else str(k) for k in keys]
-        return read(f"{key} IN ({', '.join(quoted)})")
+        return read(f"{key} IN ({', '.join(texts)})")
 
     return fetch
 

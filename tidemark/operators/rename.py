@@ -19,7 +19,8 @@ def rename_chain(names: DataFrame, changes: DataFrame, max_names: int = 6) -> Da
     """Add ``history``: the name followed by its older names, ``max_names`` entries at most.
 
     ``max_names`` - 1 joins with the deduplicated edges; edges have one row per path, so a step never
-    multiplies rows, and a cycle ends at the limit.
+    multiplies rows, and a cycle ends at the limit. A finished chain looks for a name of its own that no
+    path can have, so that the many finished ones do not meet under one NULL key.
     """
     edges = rename_edges(changes).where(F.col("old_path").isNotNull())
     chain = names.select(
@@ -31,7 +32,8 @@ def rename_chain(names: DataFrame, changes: DataFrame, max_names: int = 6) -> Da
     )
     for _ in range(max_names - 1):
         step = edges.select(F.col("path").alias("_from"), F.col("old_path").alias("_old"))
-        chain = chain.join(step, F.col("_at") == F.col("_from"), "left").select(
+        sought = F.coalesce("_at", F.concat(F.lit("\0"), F.xxhash64("path").cast("string")))
+        chain = chain.join(step, sought == F.col("_from"), "left").select(
             "path",
             F.when(F.col("_old").isNull(), F.col("history"))
             .otherwise(F.concat("history", F.array("_old")))

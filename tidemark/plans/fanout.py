@@ -122,7 +122,7 @@ def _envelope(events: DataFrame) -> DataFrame:
     number = F.col("event_id").cast("string")
     agent = F.when(F.col("user_id") % 4 == 0, "Googlebot/2.1").otherwise("Safari/17.0")
     return events.select(
-        kind.alias("event_type"),
+        "event_id", kind.alias("event_type"),
         F.when(order, F.concat(F.lit("o-"), number)).alias("order_id"),
         F.when(order, F.col("value") * 10).alias("amount"),
         F.when(order, F.concat(F.lit("cust-"), F.col("user_id"))).alias("customer_id"),
@@ -134,46 +134,65 @@ def _envelope(events: DataFrame) -> DataFrame:
     )
 
 
+def _messages(events: DataFrame) -> DataFrame:
+    """Events as JSON texts with their ids; every 90th is cut short, every 130th order has a text for its amount."""
+    raw = J.json_encode(*_envelope(events).columns)
+    texts = _envelope(events).select(F.col("event_id"), raw.alias("raw"))
+    whole = F.regexp_replace("raw", r'"amount":[-0-9.E]+', '"amount":"much"')
+    spoiled = F.when(F.col("event_id") % 90 == 0, F.expr("left(raw, 20)")).when(
+        F.col("event_id") % 130 == 0, whole).otherwise(F.col("raw"))
+    return texts.select(F.col("event_id").alias("message_id"), spoiled.alias("raw"))
+
+
+_UNFIT = "event_id % 90 = 0 OR (event_id % 130 = 0 AND event_type = 'purchase')"
+
+
 def _fan_out(t: Tables, target: str) -> DataFrame:
     path = scratch_path(t.spark, "fanout")
-    raw = J.json_message(_envelope(t.events))
-    fields = {f.name: f.dataType.simpleString() for f in _envelope(t.events).schema}
+    fields = {f.name: f.dataType.simpleString() for f in _envelope(t.events).schema if f.name != "event_id"}
     run = X.Fanout(
-        decode=lambda batch: batch.select(J.json_columns("raw", fields).alias("e")).select("e.*"),
-        targets=X.EVENT_TARGETS,
+        decode=lambda batch: X.json_envelope(batch, fields),
+        targets={name: make for name, make in X.EVENT_TARGETS.items() if name == target},
         write=X.write_batch_folders(path),
-        dead_letters=X.unrouted,
+        dead_letters=X.unrouted if target == "dead_letters" else None,
     )
-    run(raw, 0)
+    run(_messages(t.events), 0)
     return t.spark.read.parquet(f"{path}/{target}").drop("batch")
 
 
 @query("fanout_orders", """
 SELECT 'o-' || event_id AS order_id, value * 10 AS amount, 'cust-' || user_id AS customer_id,
-  CASE WHEN value * 10 > 500 THEN 'hot' ELSE 'warm' END AS tier FROM events WHERE event_type = 'purchase'""")
+  CASE WHEN value * 10 > 500 THEN 'hot' ELSE 'warm' END AS tier FROM events WHERE event_type = 'purchase'
+  AND NOT (""" + _UNFIT + ")")
 def fanout_orders(t: Tables) -> DataFrame:
     return _fan_out(t, "orders")
 
 
 @query("fanout_devices", """
 SELECT 'dev-' || user_id AS device_id, value AS temperature,
-  CASE WHEN value > 80 THEN 'alert' ELSE 'ok' END AS status FROM events WHERE event_type = 'error'""")
+  CASE WHEN value > 80 THEN 'alert' ELSE 'ok' END AS status FROM events WHERE event_type = 'error'
+  AND NOT (""" + _UNFIT + ")")
 def fanout_devices(t: Tables) -> DataFrame:
     return _fan_out(t, "devices")
 
 
 @query("fanout_clicks", """
 SELECT 's-' || event_id AS session_id, '/page/' || (event_id % 4) AS url FROM events
-WHERE event_type = 'click' AND user_id % 4 <> 0""")
+WHERE event_type = 'click' AND user_id % 4 <> 0 AND NOT (""" + _UNFIT + ")")
 def fanout_clicks(t: Tables) -> DataFrame:
     return _fan_out(t, "clicks")
 
 
-@query("fanout_dead_letters", """
-SELECT event_type, 'unknown event type' AS reason, count(*) AS n FROM events
-WHERE event_type IN ('view', 'signup') GROUP BY event_type""")
+@query("fanout_dead_letters", f"""
+SELECT event_id AS message_id, CASE WHEN {_UNFIT} THEN 'unreadable message' ELSE 'unknown event type' END AS reason,
+  CASE WHEN event_id % 90 = 0 THEN 20 END AS cut_length, event_id % 90 <> 0 AND event_id % 130 = 0
+  AND event_type = 'purchase' AS has_bad_amount
+FROM events WHERE event_type IN ('view', 'signup') OR {_UNFIT}""")
 def fanout_dead_letters(t: Tables) -> DataFrame:
-    return _fan_out(t, "dead_letters").groupBy("event_type", "reason").agg(F.count("*").alias("n"))
+    """Messages for no target, with their original text."""
+    return _fan_out(t, "dead_letters").select(
+        "message_id", "reason", F.when(F.col("message_id") % 90 == 0, F.length("raw")).alias("cut_length"),
+        F.contains("raw", F.lit('"amount":"much"')).alias("has_bad_amount"))
 
 
 @query("json_typed_rows", """
