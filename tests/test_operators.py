@@ -107,8 +107,12 @@ def test_json_golden(spark):
     assert [(p.key, p.raw) for p in pairs] == [("key1", '"value1"'), ("key2", '"value2"')]
     assert one(spark, J.json_to_map(text)) == {"key1": "value1", "key2": "value2"}
     assert one(spark, J.json_pairs_raw(F.lit("{broken"))) is None
-    odd = one(spark, J.json_pairs_raw(F.lit('{"z":1.5,"a\\"b":null,"m":{"x": [1, 2]}}')))
-    assert [(p.key, p.raw) for p in odd] == [("z", "1.5"), ('a"b', "null"), ("m", '{"x":[1,2]}')]
+    odd = one(spark, J.json_pairs_raw(F.lit(' {"z":1.50,"a\\"b":null , "m":{"x": [1, 2]},"e":1e2, "z":"\\u00e9"} ')))
+    assert [(p.key, p.raw) for p in odd] == [
+        ("z", "1.50"), ('a"b', "null"), ("m", '{"x": [1, 2]}'), ("e", "1e2"), ("z", '"\\u00e9"')]
+    for broken in ("[1]", '{"a":1', '{"a" 1}', '{"a":1,}', '{"a":1} x', ""):
+        assert one(spark, J.json_pairs_raw(F.lit(broken))) is None
+    assert one(spark, J.json_pairs_raw(F.lit("{}"))) == []
     assert one(spark, J.json_path(F.lit('{"a": "x"}'), "a", "int")) is None
 
 

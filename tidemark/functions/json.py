@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Mapping
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 
@@ -23,13 +25,55 @@ def json_columns(raw: Column | str, fields: Mapping[str, str]) -> Column:
     return F.from_json(_col(raw), schema, {"mode": "PERMISSIVE"})
 
 
+def _raw_pairs(text: str | None) -> list[dict] | None:
+    """Keys of a JSON object and the text of their values as it stands; None for anything else."""
+    if text is None:
+        return None
+    read, blank = json.JSONDecoder().raw_decode, " \t\r\n"
+    pairs, at, size = [], 0, len(text)
+
+    def skip(at: int) -> int:
+        while at < size and text[at] in blank:
+            at += 1
+        return at
+
+    try:
+        at = skip(at)
+        if text[at] != "{":
+            return None
+        at = skip(at + 1)
+        while text[at] != "}":
+            key, at = read(text, at)
+            at = skip(at)
+            if not isinstance(key, str) or text[at] != ":":
+                return None
+            begin = skip(at + 1)
+            _, at = read(text, begin)
+            pairs.append({"key": key, "raw": text[begin:at]})
+            at = skip(at)
+            if text[at] == ",":
+                at = skip(at + 1)
+                if text[at] == "}":
+                    return None
+            elif text[at] != "}":
+                return None
+        return pairs if skip(at + 1) == size else None
+    except (ValueError, IndexError, RecursionError):
+        return None
+
+
 def json_pairs_raw(raw: Column | str) -> Column:
-    """``[(key, value text)]`` in source order; text values keep their quotes."""
-    parsed = F.from_json(_col(raw), "map<string,variant>")  # entries stay in source order
-    return F.transform(
-        F.map_entries(parsed),
-        lambda entry: F.struct(entry["key"].alias("key"), F.to_json(entry["value"]).alias("raw")),
-    )
+    """``[(key, value text)]`` in source order. A value's text is cut from the source as it stands: numbers
+    keep their digits, texts their quotes, nested values their blanks. NULL for a broken text.
+
+    Spark's own JSON functions write values anew, so the text is cut in Python, in Arrow batches.
+    """
+
+    @F.arrow_udf("array<struct<key: string, raw: string>>")
+    def pairs(texts: pa.Array) -> pa.Array:
+        return pa.array(map(_raw_pairs, texts.to_pylist()), pa.list_(pa.struct([("key", pa.string()), ("raw", pa.string())])))
+
+    return pairs(_col(raw).cast("string"))
 
 
 def json_to_map(raw: Column | str) -> Column:

@@ -169,13 +169,15 @@ def fn_date_diff_ms(t: Tables) -> DataFrame:
 
 
 _PAIRS = "'{\"key1\":\"' || event_type || '\",\"key2\":' || event_id || '}'"
+_RAW_PAIRS = "'{\"key1\":\"' || event_type || '\", \"key2\" : ' || event_id || '.50, \"key3\": {\"a\": [1e2, ' || user_id || ']}}'"
 
 
 @query("json_pairs_raw", """
 SELECT event_id, 'key1' AS key, '"' || event_type || '"' AS raw FROM events
-UNION ALL SELECT event_id, 'key2', CAST(event_id AS VARCHAR) FROM events""")
+UNION ALL SELECT event_id, 'key2', event_id || '.50' FROM events
+UNION ALL SELECT event_id, 'key3', '{"a": [1e2, ' || user_id || ']}' FROM events""")
 def json_pairs_raw(t: Tables) -> DataFrame:
-    pairs = t.events.select("event_id", F.explode(J.json_pairs_raw(F.expr(_PAIRS))).alias("p"))
+    pairs = t.events.select("event_id", F.explode(J.json_pairs_raw(F.expr(_RAW_PAIRS))).alias("p"))
     return pairs.select("event_id", "p.key", "p.raw")
 
 

@@ -11,11 +11,11 @@ import urllib.request
 from base64 import b64encode
 from collections.abc import Callable, Iterator, Mapping
 from dataclasses import dataclass
-from itertools import islice
 
-from pyspark.sql import Row, SparkSession
+import pyarrow as pa
+from pyspark.sql import SparkSession
 from pyspark.sql.datasource import (
-    DataSource, DataSourceStreamWriter, DataSourceWriter, WriterCommitMessage,
+    DataSource, DataSourceArrowWriter, DataSourceStreamArrowWriter, WriterCommitMessage,
 )
 
 BATCH_ROWS = 10_000
@@ -39,29 +39,37 @@ class SinkFunctions:
     batch_rows: int = BATCH_ROWS
 
 
-def _send(functions: SinkFunctions, config: dict, names: list[str], rows: Iterator[Row]) -> Written:
+def _send(functions: SinkFunctions, config: dict, batches: Iterator[pa.RecordBatch]) -> Written:
     state, total = functions.init(config), 0
     try:
-        while batch := list(islice(rows, functions.batch_rows)):
-            functions.write(state, {n: [r[i] for r in batch] for i, n in enumerate(names)})
-            total += len(batch)
+        for batch in batches:
+            for begin in range(0, batch.num_rows, functions.batch_rows):
+                part = batch.slice(begin, functions.batch_rows)
+                functions.write(state, part.to_pydict())
+                total += part.num_rows
     finally:
         functions.deinit(state)
     return Written(total)
 
 
 def register_sink(spark: SparkSession, name: str, functions: SinkFunctions) -> None:
-    """Make ``format(name)`` available for writes; ``option("config", json)`` reaches ``init``."""
+    """Make ``format(name)`` available for writes; ``option("config", json)`` reaches ``init``. Rows come
+    from the JVM as Arrow batches and reach ``write`` column by column."""
 
-    class Writer(DataSourceWriter):
-        def __init__(self, options, schema):
+    class Writer(DataSourceArrowWriter):
+        def __init__(self, options):
             self.config = json.loads(options.get("config", "{}"))
-            self.names = schema.fieldNames()
 
-        def write(self, rows: Iterator[Row]) -> Written:
-            return _send(functions, self.config, self.names, rows)
+        def write(self, batches: Iterator[pa.RecordBatch]) -> Written:
+            return _send(functions, self.config, batches)
+
+    class StreamWriter(DataSourceStreamArrowWriter):
+        def __init__(self, options):
+            self.config = json.loads(options.get("config", "{}"))
+
+        def write(self, batches: Iterator[pa.RecordBatch]) -> Written:
+            return _send(functions, self.config, batches)
 
-    class StreamWriter(Writer, DataSourceStreamWriter):
         def commit(self, messages, batchId: int) -> None:
             pass
 
@@ -73,11 +81,11 @@ def register_sink(spark: SparkSession, name: str, functions: SinkFunctions) -> N
         def name(cls) -> str:
             return name
 
-        def writer(self, schema, overwrite: bool) -> DataSourceWriter:
-            return Writer(self.options, schema)
+        def writer(self, schema, overwrite: bool) -> DataSourceArrowWriter:
+            return Writer(self.options)
 
-        def streamWriter(self, schema, overwrite: bool) -> DataSourceStreamWriter:
-            return StreamWriter(self.options, schema)
+        def streamWriter(self, schema, overwrite: bool) -> DataSourceStreamArrowWriter:
+            return StreamWriter(self.options)
 
     spark.dataSource.register(Sink)
 

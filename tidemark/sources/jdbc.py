@@ -29,8 +29,13 @@ def jdbc_options(
     return options
 
 
-def read_jdbc(spark: SparkSession, options: Mapping[str, str]) -> DataFrame:
-    """The remote schema is taken as is; filters and column lists are pushed into the query."""
+def read_jdbc(spark: SparkSession, options: Mapping[str, str], one_task: bool = False) -> DataFrame:
+    """The remote schema is taken as is; filters and column lists are pushed into the query.
+
+    Without a partition column and its bounds the whole table is read by one task; that has to be asked for.
+    """
+    if "partitionColumn" not in options and not one_task:
+        raise ValueError("give a partition column with bounds, or one_task=True for a table known to be small")
     return spark.read.format("jdbc").options(**options).load()
 
 
