@@ -40,8 +40,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents with a toxicity score of ``TOXIC_FROM`` or more. Learns from two thirds of the labelled ones."""
     labels = spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet").select("doc_id", "toxic")
-    labels = labels.where(crc_bucket("doc_id", 3) != 1).groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
-    tagger = toxicity.fit(docs.select("doc_id", "text").join(labels, "doc_id"))
+    tagger = toxicity.fit(docs, labels.where(crc_bucket("doc_id", 3) != 1))
     return toxicity.score(_carried(docs), tagger, keep=["row"]).where(F.col("score") < TOXIC_FROM).select(_row(docs))
 
 

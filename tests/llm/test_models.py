@@ -8,9 +8,10 @@ from pyspark.sql import functions as F
 
 import corpus_pipeline
 from tests.llm.cases import LONG, SMALL, no_documents, odd_documents
+from tests.oracle import connect, difference
 from tidemark.llm import darts, language, toxicity, vectors
 from tidemark.llm.components import connected
-from tidemark.llm.queries import QUERIES
+from tidemark.llm.queries import ORACLES, QUERIES
 
 # -- language
 
@@ -18,9 +19,8 @@ from tidemark.llm.queries import QUERIES
 def test_letter_groups_of_long_texts_are_counted_whole():
     text = "añb " * 400_000
     whole = language.letter_groups(text)
-    old = language.letter_groups.__globals__
     assert whole.shape == (language.SLOTS,) and abs(np.sqrt(whole @ whole) - 1) < 1e-9
-    assert np.abs(whole - language.letter_groups("añb " * 4000)).max() < 1e-2 and old
+    assert np.abs(whole - language.letter_groups("añb " * 4000)).max() < 1e-2
 
 
 def test_languages_of_held_out_documents(spark):
@@ -105,7 +105,8 @@ def test_toxic_words_are_located(spark):
     bad = ["you are a zorbix fool today", "what a zorbix thing it is"]
     good = ["you are a nice person today", "what a fine thing it is"]
     rows = [(k, (bad if k % 3 == 0 else good)[k % 2] + f". number {k}", int(k % 3 == 0)) for k in range(300)]
-    tagger = toxicity.fit(spark.createDataFrame(rows, "doc_id long, text string, toxic int"))
+    labelled = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    tagger = toxicity.fit(labelled.drop("toxic"), labelled.drop("text"))
     text = "Hello there. This Zorbix here! and all"
     row = toxicity.score(spark.createDataFrame([(1, text)], "doc_id long, text string"), tagger).first()
     assert any(text[s.start:s.end] == "Zorbix" for s in row.toxic_spans) and row.score > 0.7
@@ -113,8 +114,8 @@ def test_toxic_words_are_located(spark):
 
 def test_toxicity_takes_odd_rows(spark):
     odd = odd_documents(spark)
-    for tagger in (toxicity.Tagger(), toxicity.fit(odd.withColumn("toxic", F.lit(None).cast("int"))),
-                   toxicity.fit(no_documents(spark).withColumn("toxic", F.lit(1)))):
+    for tagger in (toxicity.Tagger(), toxicity.fit(odd, odd.withColumn("toxic", F.lit(None).cast("int"))),
+                   toxicity.fit(no_documents(spark), odd.withColumn("toxic", (F.col("doc_id") % 2).cast("int")))):
         found = toxicity.score(odd, tagger).collect()
         assert len(found) == 10 and all(0 <= r.score < 0.7 for r in found)
     assert toxicity.score(no_documents(spark), toxicity.Tagger()).count() == 0
@@ -189,6 +190,24 @@ def test_classes_equal_brute_force(spark):
     assert found == classes_by_brute_force(rows)
 
 
+def test_crowded_buckets_equal_brute_force(spark, monkeypatch):
+    monkeypatch.setattr(darts, "CROWD", 5)
+    monkeypatch.setattr(darts, "BLOCK", 8)
+    monkeypatch.setattr(darts, "COLUMNS", 50)
+    rng = np.random.default_rng(9)
+    words = [f"w{k}" for k in range(2000)]
+    rows = []
+    for _ in range(3):
+        base = list(rng.choice(words, 90))
+        for _ in range(40):
+            copy = list(base)
+            for _ in range(int(rng.integers(0, 6))):
+                copy[int(rng.integers(0, 90))] = str(rng.choice(words))
+            rows.append((len(rows), " ".join(copy)))
+    found = {r.doc_id: r.class_id for r in darts.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found == classes_by_brute_force(rows)
+
+
 def test_classes_of_documents_equal_brute_force(spark):
     documents = spark.read.parquet(f"{SMALL}/documents.parquet")
     found = {r.doc_id: r.class_id for r in darts.near_duplicates(documents).collect()}
@@ -352,3 +371,9 @@ def test_stages_take_odd_rows(spark):
 def test_every_query_runs(spark, name):
     frame = QUERIES[name](spark, SMALL)
     assert frame.count() > 10
+
+
+@pytest.mark.parametrize("name", list(ORACLES))
+def test_queries_equal_their_sql(spark, name):
+    found = QUERIES[name](spark, SMALL).toArrow()
+    assert difference(found, connect(SMALL).execute(ORACLES[name]).to_arrow_table()) is None

@@ -105,7 +105,7 @@ def toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     held_out = F.coalesce(crc_bucket("doc_id", 3) == 1, F.lit(False))
     documents = table(spark, sf_dir, "documents").select("doc_id", "text").withColumn("held_out", held_out)
     labels = table(spark, sf_dir, "labels").select("doc_id", "toxic").where(~held_out)
-    tagger = fit_toxicity(documents.where(~F.col("held_out")).join(labels, "doc_id"))
+    tagger = fit_toxicity(documents, labels)
     scored = score_toxicity(documents, tagger, keep=["doc_id", "held_out"])
     return scored.select("doc_id", "held_out", "score", (F.col("score") >= TOXIC_FROM).cast("int").alias("predicted"))
 
@@ -134,4 +134,48 @@ QUERIES: dict[str, Query] = {
     "op9_sentencepiece": sentencepiece,
     "op10_toxicity": toxicity,
 }
-ORACLES: dict[str, str] = {}
+_VECTORS = """
+WITH RECURSIVE v AS (SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings),
+good AS (SELECT * FROM v WHERE e IS NOT NULL AND len(list_filter(e, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+  AND len(list_filter(e, lambda x: x <> 0)) > 0),
+links AS (SELECT a.vec_id AS a, b.vec_id AS b FROM good a JOIN good b
+  ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) AND list_cosine_similarity(a.e, b.e) >= 0.9),
+reach AS (SELECT vec_id AS a, vec_id AS b FROM v UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a),
+c AS (SELECT a, min(b) AS component_id FROM reach GROUP BY a),
+n AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT v.vec_id, coalesce(n.n, 0) AS n_links, component_id, v.vec_id = component_id AS kept
+FROM v JOIN c ON c.a = v.vec_id LEFT JOIN n ON n.a = v.vec_id"""
+
+_CHAT = rf"""
+WITH t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL VALUES (-7, 0, 'user', '{CONFLICT}'), (-7, 1, 'assistant', '{CONFLICT}')),
+f AS (SELECT *, CASE role WHEN 'user' THEN 15 WHEN 'system' THEN 15 WHEN 'assistant' THEN 7 ELSE 14 + length(role) END
+  + length(text) + CASE WHEN role = 'user' AND contains(text, ' [/INST]') OR role = 'assistant' AND contains(text, '</s>')
+    OR role = 'system' AND contains(text, '<</SYS>>')
+  THEN len(regexp_extract_all(text, '[\[<|]\\*(?:/?INST\]|</?SYS>>|/?s>|\||end\|>)')) ELSE 0 END AS size FROM t)
+SELECT conv_id, count(*) AS n_turns,
+  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn)) AS turns_sha256,
+  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+  sha256(coalesce(string_agg(text, '' ORDER BY turn) FILTER (role = 'assistant'), '')) AS loss_sha256,
+  CAST(sum(size) AS BIGINT) AS formatted_chars
+FROM f GROUP BY conv_id"""
+
+_NEAR_DUPLICATES = r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{L}\p{N}_]+') AS w FROM documents),
+s AS (SELECT doc_id, array_to_string(w[i:i + 4], ' ') AS g FROM w, unnest(range(1, greatest(len(w) - 4, 1) + 1)) AS u(i)
+  WHERE len(w) > 0),
+c AS (SELECT doc_id, g, row_number() OVER (PARTITION BY doc_id, g) AS k FROM s),
+n AS (SELECT doc_id, count(*) AS n FROM c GROUP BY doc_id),
+p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS m FROM c a JOIN c b
+  ON a.g = b.g AND a.k = b.k AND a.doc_id <> b.doc_id GROUP BY 1, 2),
+links AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE m >= 0.8 * (x.n + y.n - m)),
+reach AS (SELECT doc_id AS a, doc_id AS b FROM documents UNION SELECT r.a, l.b FROM reach r JOIN links l ON r.b = l.a)
+SELECT a AS doc_id, min(b) AS class_id, a = min(b) AS kept FROM reach GROUP BY a"""
+
+# the others have no SQL form: tokenizers, trees, fitted models; the tests compare them with libraries,
+# brute force and held-out rows
+ORACLES: dict[str, str] = {
+    "op1_near_vectors": _VECTORS,
+    "op4_chat": _CHAT,
+    "op8_near_duplicates": _NEAR_DUPLICATES,
+}

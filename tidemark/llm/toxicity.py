@@ -22,6 +22,7 @@ from pyspark.sql.types import (
 
 from tidemark.llm.boosting import sigmoid
 from tidemark.llm.rows import Recent, map_rows, ship, texts_of, unit_hash, worker_store
+from tidemark.session import durable
 
 # fitted on about so many documents of each label, on at most so many sentences of theirs, and on at
 # most so many signs (words and word beginnings) that tell toxic documents apart
@@ -236,20 +237,24 @@ def _slices(texts: list[str]) -> Iterator[list[str]]:
 SENTENCES = StructType([StructField("words", ArrayType(StringType())), StructField("labels", ArrayType(IntegerType()))])
 
 
-def fit(labelled: DataFrame, text: str = "text", label: str = "toxic", key: str = "doc_id") -> Tagger:
+def fit(documents: DataFrame, labels: DataFrame, text: str = "text", label: str = "toxic", key: str = "doc_id") -> Tagger:
     """Label tokens by what sets toxic documents apart, fit the field to them, and the readout to documents.
 
-    All on a sample by a hash of the key, of about ``PER_LABEL`` documents of each label. A sign is taken
-    for toxic if toxic documents have it ``OFTENER`` and more often than chance explains (``SURE``); the
-    tokens with such a sign in toxic documents are the labelled ones. Without toxic documents nothing is toxic.
+    All on a sample by a hash of the key, of about ``PER_LABEL`` documents of each label; a document with
+    two labels is toxic. A sign is taken for toxic if toxic documents have it ``OFTENER`` and more often
+    than chance explains (``SURE``); the tokens with such a sign in toxic documents are the labelled ones.
+    Without toxic documents nothing is toxic.
     """
-    spark = labelled.sparkSession
-    rows = labelled.select(key, text, F.col(label).cast("int").alias("label")).where(F.col("label").isin(0, 1))
-    sizes = {r[0]: r[1] for r in rows.groupBy("label").count().collect()}
+    spark = documents.sparkSession
+    marks = labels.select(key, F.col(label).cast("int").alias("label")).where(F.col("label").isin(0, 1) & F.col(key).isNotNull())
+    marks = marks.groupBy(key).agg(F.max("label").alias("label"))
+    sizes = {r[0]: r[1] for r in marks.groupBy("label").count().collect()}
     if not sizes.get(1) or not sizes.get(0):
         return Tagger()
     chance = F.when(F.col("label") == 1, PER_LABEL[1] / sizes[1]).otherwise(PER_LABEL[0] / sizes[0])
-    sample = rows.where(unit_hash(key) < chance).select(text, "label")
+    # the chosen keys are few at any size of the tables, so the texts need no shuffle
+    chosen = F.broadcast(marks.where(unit_hash(key) < chance).limit(2 * sum(PER_LABEL.values())))
+    sample = durable(documents.select(key, text).join(chosen, key).select(text, "label"))
     toxic, clean = min(PER_LABEL[1], sizes[1]), min(PER_LABEL[0], sizes[0])
 
     def count_signs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -302,6 +307,8 @@ def fit(labelled: DataFrame, text: str = "text", label: str = "toxic", key: str
     seen = sample.mapInArrow(read, StructType([
         StructField("total", DoubleType()), StructField("top", DoubleType()), StructField("label", IntegerType())])
     ).orderBy("total", "top", "label").collect()
+    if not seen:
+        return tagger
     x = np.array([[r.total, r.top, 1.0] for r in seen])
     y = np.array([r.label for r in seen], dtype=float)
     weights = np.array([0.0, 1.0, -1.0])
