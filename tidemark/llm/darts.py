@@ -21,15 +21,19 @@ from pyspark.sql.types import (
     StructField,
     StructType,
 )
+from zstandard import ZstdCompressor, ZstdDecompressor
 
 from tidemark.llm.components import connected
 from tidemark.llm.rows import map_rows, texts_of
+from tidemark.llm.vectors import join_labels
 from tidemark.session import durable
 
 WORDS = 5
 SIMILARITY = 0.8
 BANDS, ROWS = 32, 6  # a pair of similarity 0.8 shares no band with a chance of 6 in 100,000
-STAR_ROUNDS = 2
+CROWD = 64  # a bucket of more texts is compared in blocks, never as pairs
+BLOCK = 2048  # texts in one side of such a comparison
+COLUMNS = 4096  # shingles multiplied at a time
 
 WORD = re.compile(r"\w+")
 EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -124,49 +128,84 @@ def band_keys(signature: np.ndarray, bands: int, rows: int) -> np.ndarray:
 
 
 SKETCH = [
-    StructField("content", BinaryType()), StructField("size", IntegerType()),
-    StructField("bands", ArrayType(LongType())), StructField("cells", BinaryType()),
+    StructField("content", BinaryType()), StructField("size", IntegerType()), StructField("buckets", ArrayType(LongType())),
 ]
+ORDERS = 4  # orders among which the leaders of buckets are chosen; a bucket's last bits tell which
 
 
 def sketches(df: DataFrame, text: str = "text", keep: list[str] | None = None, bands: int = BANDS,
              rows: int = ROWS) -> DataFrame:
-    """Append of each text a digest of its words, the number of its cells, its band keys and its cells
-    (sorted 32-bit values); nulls for a text without a word."""
+    """Append of each text a digest of its words, the number of its cells and the buckets of its bands;
+    nulls for a text without a word."""
 
     def start():
         def work(column: pa.Array) -> list[pa.Array]:
-            contents, sizes, keys, packed = [], [], [], []
+            contents, sizes, keys = [], [], []
+            order = np.arange(bands, dtype=np.int64) % ORDERS
             for one in texts_of(column):
                 runs = shingles(one)
                 if not len(runs):
-                    for made in (contents, sizes, keys, packed):
+                    for made in (contents, sizes, keys):
                         made.append(None)
                     continue
                 own = cells(runs)
-                short = np.unique((own >> np.uint64(32)).astype("<u4"))
                 contents.append(xxhash.xxh3_128_digest(runs.tobytes()))
-                sizes.append(len(short))
-                keys.append(band_keys(sketch(own, bands * rows), bands, rows).view(np.int64))
-                packed.append(short.tobytes())
-            return [pa.array(contents, pa.binary()), pa.array(sizes, pa.int32()),
-                    pa.array(keys, pa.list_(pa.int64())), pa.array(packed, pa.binary())]
+                sizes.append(len(np.unique(own >> np.uint64(32))))
+                found = band_keys(sketch(own, bands * rows), bands, rows).view(np.int64)
+                keys.append(found // ORDERS * ORDERS + order)
+            return [pa.array(contents, pa.binary()), pa.array(sizes, pa.int32()), pa.array(keys, pa.list_(pa.int64()))]
 
         return work
 
     return map_rows(df, [text], SKETCH, start, keep)
 
 
-def similar(pairs: DataFrame, known: DataFrame, least: float) -> DataFrame:
+def packed_texts(df: DataFrame) -> DataFrame:
+    """``doc_id`` and the compressed text, which is what is shuffled."""
+
+    def start():
+        pack = ZstdCompressor(level=1).compress
+
+        def work(column: pa.Array) -> list[pa.Array]:
+            return [pa.array([pack(t.encode("utf-8", "surrogatepass")) for t in texts_of(column)], pa.binary())]
+
+        return work
+
+    return map_rows(df, ["text"], [StructField("packed", BinaryType())], start, keep=["doc_id"])
+
+
+def with_cells(packed: DataFrame) -> DataFrame:
+    """Replace the compressed text by its cells, as sorted 32-bit values."""
+
+    def start():
+        unpack = ZstdDecompressor().decompress
+
+        def work(column: pa.Array) -> list[pa.Array]:
+            made = []
+            for one in column.to_pylist():
+                own = cells(shingles(unpack(one).decode("utf-8", "surrogatepass")))
+                made.append(np.unique((own >> np.uint64(32)).astype("<u4")).tobytes())
+            return [pa.array(made, pa.binary())]
+
+        return work
+
+    return map_rows(packed, ["packed"], [StructField("cells", BinaryType())], start, keep=["doc_id"])
+
+
+def similar(pairs: DataFrame, sizes: DataFrame, celled: DataFrame, least: float) -> DataFrame:
     """Of the pairs ``a``, ``b`` those whose cells are similar enough, counted exactly."""
-    sizes = known.select(F.col("doc_id").alias("b"), F.col("size").alias("size_b"))
-    pairs = pairs.join(known.select(F.col("doc_id").alias("a"), F.col("size").alias("size_a")), "a").join(sizes, "b")
+    for side in ("a", "b"):
+        pairs = pairs.join(sizes.select(F.col("doc_id").alias(side), F.col("size").alias(f"size_{side}")), side)
     # two sets of very different sizes cannot be similar; cells are fetched for the rest alone
     pairs = pairs.where(F.least("size_a", "size_b") >= F.lit(least - 1e-9) * F.greatest("size_a", "size_b"))
-    pairs = durable(pairs.select("a", "b"))
-    # the many copies of a text stay in place, only the other side's cells travel with the pair
-    with_b = pairs.join(known.select(F.col("doc_id").alias("b"), F.col("cells").alias("cells_b")), "b")
-    with_both = with_b.join(known.select(F.col("doc_id").alias("a"), F.col("cells").alias("cells_a")), "a")
+    pairs = durable(pairs.select("a", "b").distinct())
+
+    def cells_of(side: str) -> DataFrame:
+        wanted = pairs.select(F.col(side).alias("doc_id")).distinct()
+        return celled.join(wanted, "doc_id", "left_semi").select(F.col("doc_id").alias(side), F.col("cells").alias(f"cells_{side}"))
+
+    # the leaders' cells stay in place, only the other side's travel with the pair
+    with_both = pairs.join(cells_of("b"), "b").join(cells_of("a"), "a")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -177,8 +216,58 @@ def similar(pairs: DataFrame, known: DataFrame, least: float) -> DataFrame:
                 kept.append(common >= least * (len(x) + len(y) - common) - 1e-9)
             yield batch.select([0, 1]).filter(pa.array(kept, pa.bool_()))
 
-    schema = StructType([StructField("a", LongType()), StructField("b", LongType())])
-    return with_both.select("a", "b", "cells_a", "cells_b").mapInArrow(run, schema)
+    return with_both.select("a", "b", "cells_a", "cells_b").mapInArrow(run, LINK)
+
+
+def common_cells(owners: np.ndarray, values: np.ndarray, rows: int) -> np.ndarray:
+    """How many values each two rows have in common, counted by products of their incidence."""
+    order = np.argsort(values, kind="stable")
+    owners, values = owners[order], values[order]
+    new = np.concatenate([[True], values[1:] != values[:-1]]) if len(values) else np.zeros(0, dtype=bool)
+    column = np.cumsum(new) - 1
+    often = np.bincount(column)[column] > 1 if len(column) else new  # a value of one row alone is common to none
+    owners, column = owners[often], column[often]
+    column = np.unique(column, return_inverse=True)[1]
+    common = np.zeros((rows, rows), dtype=np.float32)  # exact for counts below 2 ** 24
+    for begin in range(0, int(column.max(initial=-1)) + 1, COLUMNS):
+        low, high = np.searchsorted(column, [begin, begin + COLUMNS])
+        incidence = np.zeros((rows, COLUMNS), dtype=np.float32)
+        incidence[owners[low:high], column[low:high] - begin] = 1
+        common += incidence @ incidence.T
+    return common
+
+
+LINK = StructType([StructField("a", LongType()), StructField("b", LongType())])
+
+
+def crowd_links(crowds: DataFrame, celled: DataFrame, least: float) -> DataFrame:
+    """Links within large buckets, given ``bucket``, ``id`` and the bucket's size ``n``.
+
+    Each two blocks of a bucket meet in one task, which compares all their texts exactly and gives a link
+    from each linked text to the least of those it is connected with there: never more links than texts.
+    """
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    own = F.pmod(F.xxhash64("id"), blocks).cast("int")
+    tiles = (crowds.select("bucket", "id", own.alias("own"), F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
+             .select("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "id"))
+    tiles = tiles.join(celled.select(F.col("doc_id").alias("id"), "cells"), "id")
+
+    def compare(tile: pa.Table) -> pa.Table:
+        ids, place = np.unique(tile["id"].to_numpy(), return_index=True)
+        texts = tile["cells"].combine_chunks().take(pa.array(place)).to_pylist()
+        parts = [np.frombuffer(t, dtype="<u4") for t in texts]
+        sizes = np.array([len(p) for p in parts])
+        common = common_cells(np.repeat(np.arange(len(ids)), sizes), np.concatenate(parts), len(ids))
+        labels = np.arange(len(ids))
+        for k in range(0, len(ids), 256):
+            shared = common[k:k + 256].astype(np.float64)
+            close = shared >= least * (sizes[k:k + 256, None] + sizes[None, :] - shared) - 1e-9
+            x, y = np.nonzero(close)
+            join_labels(labels, x + k, y)
+        linked = labels != np.arange(len(ids))
+        return pa.table([pa.array(ids[linked], pa.int64()), pa.array(ids[labels[linked]], pa.int64())], names=LINK.names)
+
+    return tiles.groupBy("bucket", "i", "j").applyInArrow(compare, LINK)
 
 
 def near_duplicates(df: DataFrame, text: str = "text", key: str = "doc_id", least: float = SIMILARITY,
@@ -187,46 +276,47 @@ def near_duplicates(df: DataFrame, text: str = "text", key: str = "doc_id", leas
 
     Two texts are linked if the weighted similarity of their counts of five-word shingles (lower-case
     words, other characters apart) is at least ``least`` and they share one of ``bands`` band keys.
-    Texts with equal words are one text from the start, so copies are never paired. In each band's bucket
-    all texts are compared with one of them, in another order in some bands and rounds; what is in one
-    class by then needs no comparing; at last the texts that are in another class than their bucket's
-    leader are compared with all of the bucket that are not in theirs. So each two texts in a bucket end
-    in one class or have been compared.
+    Texts with equal words are one text from the start, so copies are never paired. A bucket of more than
+    ``CROWD`` texts is compared block by block. In a smaller one all texts are compared with one of
+    them, in another order in some bands; what is in one class by then needs no comparing; at last the
+    texts outside their bucket's largest class are compared with all of the bucket that are not in theirs. So
+    each two texts in a bucket end in one class or have been compared.
 
     A text without a word (null and empty ones, too) is a class of its own. Rows with the same id are one
     document; with different texts, it joins the classes of all of them. A null id gives a null class and
     is kept. Other columns are left out. An empty table gives an empty one.
     """
-    known = durable(sketches(df.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text")), "text",
-                             keep=["doc_id"], bands=bands, rows=rows))
+    texts = df.select(F.col(key).cast("long").alias("doc_id"), F.col(text).alias("text"))
+    known = durable(sketches(texts, keep=["doc_id"], bands=bands, rows=rows))
     worded = known.where("content is not null and doc_id is not null")
     # copies: the smallest id of equal words stands for all
     first = durable(worded.groupBy("content").agg(F.min("doc_id").alias("first")))
-    copies = worded.select("doc_id", "content").join(first, "content").select("doc_id", "first")
-    texts = durable(worded.join(first.select("content", F.col("first").alias("doc_id")), ["content", "doc_id"], "left_semi")
-                    .select("doc_id", "size", "cells", "bands").dropDuplicates(["doc_id"]))
-
-    placed = texts.select("doc_id", F.posexplode("bands").alias("band", "bucket"))
-    shared = placed.groupBy("bucket").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("bucket")
-    members = durable(placed.join(shared, "bucket").select("bucket", "band", F.col("doc_id").alias("id")))
-
-    def leaders(turn: int) -> DataFrame:
-        # 64 bits that order the members and name the leader at once would collide, so the order comes first
-        order = F.xxhash64("id", F.col("band") % 4, F.lit(turn))
-        least_order = members.groupBy("bucket").agg(F.min(order).alias("least"))
-        return (members.withColumn("order", order).join(least_order, "bucket").where("order = least")
-                .groupBy("bucket").agg(F.min("id").alias("leader")))
-
-    links: list[DataFrame] = []
-    classes: DataFrame | None = None  # of linked texts
-    for turn in range(STAR_ROUNDS):
-        pairs = members.join(leaders(turn), "bucket").where("id <> leader")
-        pairs = pairs.select(F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b")).distinct()
-        if classes is not None:
-            pairs = _apart(pairs, classes)
-        links.append(durable(similar(pairs, texts, least)))
-        classes = durable(connected(reduce(DataFrame.unionByName, links)))
-    placed = members.join(classes, "id", "left").withColumn("root", F.coalesce("root", "id")).select("bucket", "id", "root")
+    copies = worded.select("doc_id", "content").join(first, "content").where("doc_id <> first").select("doc_id", "first")
+    sizes = durable(worded.select("doc_id", "size", "buckets").join(
+        first.select(F.col("first").alias("doc_id")).distinct(), "doc_id", "left_semi").dropDuplicates(["doc_id", "size"]))
+
+    placed = sizes.select(F.explode("buckets").alias("bucket"), F.col("doc_id").alias("id"))
+    shared = placed.groupBy("bucket").agg(F.min("id").alias("low"), F.max("id").alias("high")).where("low <> high")
+    members = durable(placed.join(shared.select("bucket"), "bucket").distinct())
+    sizes = sizes.select("doc_id", "size")
+    candidates = members.select(F.col("id").alias("doc_id")).distinct()
+    packed = packed_texts(texts).join(candidates, "doc_id", "left_semi").dropDuplicates(["doc_id", "packed"])
+    celled = durable(with_cells(packed))
+
+    def leaders(members: DataFrame) -> DataFrame:
+        ordered = members.withColumn("order", F.xxhash64("id", F.pmod("bucket", F.lit(ORDERS))))
+        least_order = ordered.groupBy("bucket").agg(F.min("order").alias("least"))
+        return ordered.join(least_order, "bucket").where("order = least").groupBy("bucket").agg(F.min("id").alias("leader"))
+
+    counts = members.groupBy("bucket").agg(F.count(F.lit(1)).alias("n"))
+    crowds = members.join(counts.where(F.col("n") > CROWD), "bucket")
+    members = durable(members.join(counts.where(F.col("n") <= CROWD).select("bucket"), "bucket"))
+    links = [durable(crowd_links(crowds, celled, least))]
+    pairs = members.join(leaders(members), "bucket").where("id <> leader")
+    pairs = pairs.select(F.least("id", "leader").alias("a"), F.greatest("id", "leader").alias("b")).distinct()
+    links.append(durable(similar(pairs, sizes, celled, least)))
+    classes = durable(connected(reduce(DataFrame.unionByName, links)))
+    placed = members.join(classes, "id", "left").select("bucket", "id", F.coalesce("root", "id").alias("root"))
     # the largest part of a bucket is compared from outside only
     parts = placed.groupBy("bucket", "root").agg(F.count(F.lit(1)).alias("n"))
     mixed = parts.groupBy("bucket").agg(F.max("n").alias("n"), F.count(F.lit(1)).alias("roots")).where("roots > 1")
@@ -235,18 +325,10 @@ def near_duplicates(df: DataFrame, text: str = "text", key: str = "doc_id", leas
     outside = rest.where("root <> main").select("bucket", F.col("id").alias("x"), F.col("root").alias("root_x"))
     pairs = (outside.join(rest, "bucket").where("root_x <> root and (root = main or x < id)")
              .select(F.least("x", "id").alias("a"), F.greatest("x", "id").alias("b")).distinct())
-    links.append(durable(similar(pairs, texts, least)))
+    links.append(durable(similar(pairs, sizes, celled, least)))
 
-    copied = copies.where("doc_id <> first").select(F.col("doc_id").alias("a"), F.col("first").alias("b"))
+    copied = copies.select(F.col("doc_id").alias("a"), F.col("first").alias("b"))
     roots = connected(reduce(DataFrame.unionByName, links).select("a", "b").unionByName(copied))
     found = known.select("doc_id").distinct().join(roots.withColumnRenamed("id", "doc_id"), "doc_id", "left")
     found = found.select("doc_id", F.coalesce("root", "doc_id").alias("class_id"))
     return found.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("class_id")).cast(BooleanType()))
-
-
-def _apart(pairs: DataFrame, classes: DataFrame) -> DataFrame:
-    """Pairs whose ends are not in one class yet."""
-    a = classes.select(F.col("id").alias("a"), F.col("root").alias("root_a"))
-    b = classes.select(F.col("id").alias("b"), F.col("root").alias("root_b"))
-    joined = pairs.join(a, "a", "left").join(b, "b", "left")
-    return joined.where(F.coalesce("root_a", "a") != F.coalesce("root_b", "b")).select("a", "b")
