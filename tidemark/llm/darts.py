@@ -253,18 +253,22 @@ def crowd_links(crowds: DataFrame, celled: DataFrame, least: float) -> DataFrame
     tiles = tiles.join(celled.select(F.col("doc_id").alias("id"), "cells"), "id")
 
     def compare(tile: pa.Table) -> pa.Table:
-        ids, place = np.unique(tile["id"].to_numpy(), return_index=True)
-        texts = tile["cells"].combine_chunks().take(pa.array(place)).to_pylist()
+        ids = tile["id"].to_numpy()
+        order = np.argsort(ids, kind="stable")  # so that the least label is the least id
+        ids = ids[order]
+        texts = tile["cells"].combine_chunks().take(pa.array(order)).to_pylist()
         parts = [np.frombuffer(t, dtype="<u4") for t in texts]
         sizes = np.array([len(p) for p in parts])
         common = common_cells(np.repeat(np.arange(len(ids)), sizes), np.concatenate(parts), len(ids))
         labels = np.arange(len(ids))
+        twice = np.flatnonzero(ids[1:] == ids[:-1])  # two texts of one id
+        join_labels(labels, twice, twice + 1)
         for k in range(0, len(ids), 256):
             shared = common[k:k + 256].astype(np.float64)
             close = shared >= least * (sizes[k:k + 256, None] + sizes[None, :] - shared) - 1e-9
             x, y = np.nonzero(close)
             join_labels(labels, x + k, y)
-        linked = labels != np.arange(len(ids))
+        linked = ids[labels] != ids
         return pa.table([pa.array(ids[linked], pa.int64()), pa.array(ids[labels[linked]], pa.int64())], names=LINK.names)
 
     return tiles.groupBy("bucket", "i", "j").applyInArrow(compare, LINK)
