@@ -269,6 +269,29 @@ def test_other_shapes_are_found_and_plain_numbers_left():
     assert found[truth].mean() > 0.8 and found[~truth].mean() < 0.03
 
 
+@pytest.mark.parametrize("text, values", [
+    ("7536784127813050 4845168114407329", [("card", 0, 16), ("card", 17, 33)]),
+    ("+1 (826) 555-4081 190.137.223.204", [("phone", 0, 17), ("ip", 18, 33)]),
+    ("190.137.223.204 (826) 555-4081", [("ip", 0, 15), ("phone", 16, 30)]),
+    ("(555) 123-4567 (826) 555-4081", [("phone", 0, 14), ("phone", 15, 29)]),
+    ("10.0.0.1 10.0.0.2", [("ip", 0, 8), ("ip", 9, 17)]),
+    ("a [at] b.org c (at) d.org", [("email", 0, 12), ("email", 13, 25)]),
+])
+def test_values_side_by_side_are_found(spark, text, values):
+    model = pii.fit(no_documents(spark))
+    # on their own, and in runs longer than any value
+    for before in ("", "1 " * 40, "12-34 " * 20):
+        spans = {s[:3] for s in pii.proposed_spans(before + text)}
+        assert {(k, a + len(before), b + len(before)) for k, a, b in values} <= spans
+    found = {s[:3] for s in pii.choose(f"see {text} there", model, pii.THRESHOLD)}
+    assert found == {(k, a + 4, b + 4) for k, a, b in values}
+
+
+def test_proposals_are_linear_in_long_runs():
+    for unit in ("1 ", "12 ", "0123 ", "1.2.", "4845168114407329 ", "+1 "):
+        assert len(pii.proposed_spans(unit * 2000)) <= 6 * 2000
+
+
 def test_personal_data_takes_odd_rows(spark):
     odd = odd_documents(spark)
     model = pii.fit(odd.select("doc_id", "text"))

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import random
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -43,6 +43,7 @@ DIGIT = re.compile(r"[0-9]")
 # What else is proposed.
 AT = re.compile(r"\s?[\[({<]\s?(?:at|@)\s?[\])}>]\s?", re.IGNORECASE)
 LOOSE_HOST = re.compile(r"[A-Za-z0-9-]+(?:(?:\s?[\[({<]\s?(?:dot|\.)\s?[\])}>]\s?|\.)[A-Za-z0-9-]+)+", re.IGNORECASE)
+GROUP = re.compile(r"[0-9]+")
 CLUSTER = re.compile(r"(?<![0-9])[+(]{0,2}[0-9](?:[\x20().,/:_-]{0,2}[0-9])*+")
 
 
@@ -124,18 +125,56 @@ def proposed_spans(text: str) -> list[Span]:
         return found
     for m in CLUSTER.finditer(text):
         start, end = m.span()
-        size = sum(map(m.group().count, "0123456789")) if end - start < 64 else 99
-        if size == 99:
-            continue
+        groups = [(start + g.start(), start + g.end()) for g in GROUP.finditer(m.group())]
+        size = sum(b - a for a, b in groups)
         if m.group().count(".") >= 3:
             propose("ip", start, end)
         if 12 <= size <= 20:
             propose("card", start, end)
         if 7 <= size <= 16:
             propose("phone", start, end)
+        if len(groups) > 1:
+            for part in _parts(text, start, groups):
+                propose(*part)
     return found
 
 
+def _parts(text: str, run: int, groups: list[tuple[int, int]]) -> Iterator[tuple[str, int, int]]:
+    """Stretches of a run's digit groups that have the shape of a value of their own, as values may stand side
+    by side. A stretch has at most 20 digits, so that the work is linear in the run."""
+    for i, (begin, _) in enumerate(groups):
+        size, dotted, breaks = 0, True, ""
+        for j in range(i, len(groups)):
+            a, end = groups[j]
+            if j > i:
+                between = text[groups[j - 1][1]:a]
+                dotted = dotted and between.strip(" ") == "."
+                breaks += between
+                # neither a card nor a phone has such groups, and no address goes on
+                if end - a < 2 and (not dotted or j > i + 3):
+                    break
+            size += end - a
+            if size > 20:
+                break
+            sizes = [y - x for x, y in groups[i:j + 1]]
+            if j == i + 3 and dotted and max(sizes) <= 3:
+                yield "ip", begin, end
+            if 13 <= size <= 19 and min(sizes) >= 3 and not any(c in "(),:" for c in breaks) and luhn(
+                    "".join(text[x:y] for x, y in groups[i:j + 1])):
+                yield "card", begin, end
+            if 7 <= size <= 16 and not any(c in ",:_" for c in breaks):
+                start = run if i == 0 else begin - (text[begin - 1] == "(")
+                if text[start:end].count("(") != text[start:end].count(")"):
+                    start = begin
+                body = text[start:end]
+                # an area code in brackets comes first or after a country code
+                if body.count("(") != body.count(")") or "(" in body and len(GROUP.findall(body.partition("(")[0])) > 1:
+                    continue
+                marked = body[0] in "+(0"
+                if all(n >= (2 if marked else 3) for n in sizes[1:]) and (marked or sizes[-1] >= 4):
+                    yield "phone", start, end
+
+
 CONTEXT = (
     ("mail", "email", "e-mail", "contact", "write"), ("ip", "host", "server", "address", "addr"),
     ("card", "visa", "credit", "payment", "kreditkarte", "tarjeta", "carte"),
@@ -143,6 +182,9 @@ CONTEXT = (
     ("version", "release", "isbn", "order", "id", "no", "number", "invoice", "date", "page", "sku", "build"),
 )
 WORDS = re.compile(r"[^\W\d_]+")
+# a further number of the same run
+BEFORE = re.compile(r"([+(]?)([0-9]+)[\x20().,/:_-]{0,2}$")
+AFTER = re.compile(r"[\x20().,/:_-]{0,2}([0-9]+)")
 
 
 def features(text: str, span: Span) -> list[float]:
@@ -155,6 +197,8 @@ def features(text: str, span: Span) -> list[float]:
     before, after = text[max(0, start - 32):start], text[end:end + 32]
     around = {w.lower() for w in WORDS.findall(before)[-4:]} | {w.lower() for w in WORDS.findall(after)[:2]}
     octets = len(groups) == 4 and all(map(_octet, groups))
+    sides = (groups or [""])[0], (groups or [""])[-1]
+    former, latter = BEFORE.search(before), AFTER.match(after)
     host = re.split(r"[@)\]}>]", body)[-1]
     return [
         *(float(kind == k) for k in KINDS),
@@ -164,6 +208,8 @@ def features(text: str, span: Span) -> list[float]:
         body.count(" "), body.count("("), body.count("/") + body.count(":") + body.count(","),
         float(body.startswith("+")), float(body.startswith("0")), body.count("@"),
         float("." in host), len(host.rpartition(".")[2]), sum(c.isalpha() for c in body),
+        *map(len, sides), len(former.group(2)) if former else 0, float(former is not None and former.group(1) == "+"),
+        len(latter.group(1)) if latter else 0,
         float(before[-1:].isalnum()), float(after[:1].isalnum()), float(before[-1:] in "\"'#$_=/"),
         *(float(not around.isdisjoint(words)) for words in CONTEXT),
     ]
@@ -183,8 +229,8 @@ def _invented(seed: int = 11, count: int = 1500) -> tuple[list[str], list[Span],
         body = str(rng.randint(3, 6)) + number(14)
         return next(body + c for c in "0123456789" if luhn(body + c))
 
-    def wrong_card() -> str:
-        body = number(16)
+    def wrong_card(n: int = 16) -> str:
+        body = number(n)
         return body if not luhn(body) else body[:-1] + str((int(body[-1]) + 1) % 10)
 
     def address(top: int) -> str:
@@ -200,7 +246,7 @@ def _invented(seed: int = 11, count: int = 1500) -> tuple[list[str], list[Span],
         ("card", 1, right_card),
         ("card", 1, lambda: "-".join(re.findall("....", right_card()))),
         ("ip", 1, lambda: address(255)),
-        ("card", 0, wrong_card), ("card", 0, lambda: number(rng.randint(12, 20))), ("phone", 0, wrong_card),
+        ("card", 0, wrong_card), ("card", 0, lambda: wrong_card(rng.randint(12, 20))), ("phone", 0, wrong_card),
         ("phone", 0, right_card), ("phone", 0, lambda: address(255)), ("card", 0, lambda: address(255)),
         ("phone", 0, lambda: f"20{number(2)}-{rng.randint(1, 12):02}-{rng.randint(1, 28):02}"),
         ("phone", 0, lambda: f"{number(2)}:{number(2)}:{number(2)}.{number(3)}"),
@@ -209,13 +255,55 @@ def _invented(seed: int = 11, count: int = 1500) -> tuple[list[str], list[Span],
         ("ip", 0, lambda: f"{address(9)}.{number(1)}"), ("card", 0, lambda: f"978-{number(1)}-{number(4)}-{number(4)}-{number(1)}"),
         ("phone", 0, lambda: f"978-{number(1)}-{number(4)}-{number(4)}-{number(1)}"),
     )
+    def phone() -> str:
+        return rng.choice(("", f"+{rng.randint(1, 99)} ")) + f"({number(3)}) {number(3)}-{number(4)}"
+
+    def plain_phone() -> str:
+        return f"+{rng.randint(1, 99)} {number(3)} {number(3)} {number(4)}"
+
+    values = (phone, plain_phone, right_card, lambda: " ".join(re.findall("....", right_card())), lambda: address(255))
+
+    def beside(make: Callable[[], str]) -> Callable[[], tuple[str, str, str]]:
+        """A whole value with another before or behind it."""
+        return lambda: (f"{rng.choice(values)()} ", make(), "") if rng.random() < 0.5 else (
+            "", make(), f" {rng.choice(values)()}")
+
+    def cut(make: Callable[[], str]) -> Callable[[], tuple[str, str, str]]:
+        """A piece of a value, or a value with the first group of the next one."""
+        def made() -> tuple[str, str, str]:
+            one = make()
+            edges = [m.span() for m in GROUP.finditer(one)]
+            if rng.random() < 0.5:
+                a, b = (edges[1][0], len(one)) if rng.random() < 0.7 else (0, edges[-2][1])
+                a -= a > 0 and one[a - 1] == "("
+                return one[:a], one[a:b], one[b:]
+            other = rng.choice((lambda: address(255), right_card, lambda: f"{number(3)} {number(4)}"))()
+            head = re.match(r"[0-9]{1,4}", other).group()
+            return "", f"{one} {head}", other[len(head):]
+        return made
+
+    def shifted() -> tuple[str, str, str]:
+        """Groups of two cards side by side that pass the check by chance."""
+        while True:
+            both = [g for _ in range(2) for g in re.findall("....", right_card())]
+            k = rng.randint(1, 3)
+            if luhn("".join(both[k:k + 4])):
+                return " ".join(both[:k]) + " ", " ".join(both[k:k + 4]), " " + " ".join(both[k + 4:])
+
+    shapes += (
+        ("phone", 1, beside(phone)), ("phone", 1, beside(plain_phone)), ("card", 1, beside(right_card)),
+        ("card", 1, beside(values[3])), ("ip", 1, beside(values[4])),
+        ("card", 0, shifted), ("phone", 0, cut(phone)), ("phone", 0, cut(plain_phone)), ("phone", 0, cut(values[3])),
+        ("phone", 0, lambda: ("", " ".join(re.findall("....", right_card())), "")),
+    )
     texts, spans, labels = [], [], []
     for k in range(count):
         kind, label, make = shapes[k % len(shapes)]
-        body = make()
+        made = make()
+        left, body, right = made if isinstance(made, tuple) else ("", made, "")
         hints = CONTEXT[KINDS.index(kind)] if label else CONTEXT[4]
-        before = f"{word()} {rng.choice(hints) if rng.random() < 0.6 else word()} "
-        texts.append(f"{before}{body} {word()}")
+        before = f"{word()} {rng.choice(hints) if rng.random() < 0.6 else word()} {left}"
+        texts.append(f"{before}{body}{right} {word()}")
         spans.append(Span(kind, len(before), len(before) + len(body), False))
         labels.append(label)
     return texts, spans, labels
