@@ -287,6 +287,46 @@ def test_values_side_by_side_are_found(spark, text, values):
     assert found == {(k, a + 4, b + 4) for k, a, b in values}
 
 
+@pytest.mark.parametrize("shape, kind", [
+    (lambda k: f"({200 + k % 700}) {100 + k % 900}-{1000 + k}", "phone"),
+    (lambda k: f"n{chr(97 + k % 26)} [at] host.org", "email"),
+])
+def test_common_shapes_without_a_rule_are_found(spark, shape, kind):
+    rows = [(k, f"You may reach us at {shape(k)} any day. Or 10.0.0.{k % 256}, of 2024-01-{1 + k % 28:02}.") for k in range(4000)]
+    documents = spark.createDataFrame(rows, "doc_id long, text string")
+    found = pii.find_personal_data(documents, pii.fit(documents)).collect()
+    right = sum((kind, shape(r.doc_id)) in {(s.kind, r.text[s.start:s.end]) for s in r.spans} for r in found)
+    assert right >= 0.95 * len(found)
+    assert all(s.base or s.kind == kind for r in found for s in r.spans)
+
+
+@pytest.mark.parametrize("kind, body, answer", [
+    ("card", "4845168114407320", False), ("card", "4845168114407329", None), ("ip", "300.1.2.3", False),
+    ("ip", "1.2.3.4.5", False), ("ip", "1.2.3.4", None), ("phone", "2024-01-05", False), ("phone", "31.12.1999 12", False),
+    ("phone", "12:30:15.250", False), ("phone", "1,234,567", False), ("phone", "10.0.19041.1234", False),
+    ("phone", "10.20.30.40", False), ("phone", "555.123.4567", None), ("phone", "01.23.45.67.89", None),
+    ("phone", "(555) 123-4567", None), ("phone", "123456", False), ("email", "a [at] b.org", None),
+])
+def test_rules_disprove_only_what_they_know(kind, body, answer):
+    assert pii.ruled(body, pii.Span(kind, 0, len(body), False)) is answer
+
+
+def test_the_sample_of_spans_is_no_prefix(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(pii, "FIT_SPANS", 200)
+    monkeypatch.setattr(pii, "_invented", lambda: ([], [], []))
+    monkeypatch.setattr(pii.BoostedTrees, "fit", lambda model, x, y: seen.append((x, y)) or model)
+    # one long document of wrong cards, then many short ones of addresses; also under no id
+    long = "card 4845168114407320, " * 2000
+    rows = [(0, long)] + [(k if k % 2 else None, f"at 10.0.{k % 256}.{k // 256}") for k in range(1, 2001)]
+    for parts in (1, 3):
+        documents = spark.createDataFrame(rows, "doc_id long, text string").coalesce(1).repartition(parts)
+        pii.fit(documents)
+    (x, y), (other, _) = seen
+    assert len(y) == 200 and 0.2 < y.mean() < 0.8
+    assert sorted(map(tuple, x)) == sorted(map(tuple, other))
+
+
 def test_proposals_are_linear_in_long_runs():
     for unit in ("1 ", "12 ", "0123 ", "1.2.", "4845168114407329 ", "+1 "):
         assert len(pii.proposed_spans(unit * 2000)) <= 6 * 2000
