@@ -217,6 +217,14 @@ def test_main_text_of_odd_pages(page, text):
     assert html.main_text(page) == text
 
 
+@pytest.mark.parametrize("page, text", [
+    ("<p>I </3 you</p><p>rest</p>", "I\nrest"), ("<p>One.</ p><p>Two.</p>", "One.\nTwo."), ("<p>One</>, two.</p><p>Three.</p>", "One, two.\nThree."),
+    ("<p>One.</p></3", "One."), ("<p>One <élan> two.</p><p>Three.</p>", "One <élan> two.\nThree."), ("<p>One.</p><p", "One."),
+])
+def test_tags_without_a_name_do_not_end_the_page(page, text):
+    assert html.main_text(page) == text
+
+
 def test_extract_text_takes_odd_rows(spark):
     rows = spark.createDataFrame([(1, None, "k"), (2, "", "k"), (2, "", "k"), (None, "<p>a&nbsp; b</p>", "k")],
                                  "page_id long, html string, TEXT string")

@@ -102,10 +102,14 @@ def parse(html: str) -> Node:
             continue
         match = TAG.match(html, at) or BROKEN_TAG.match(html, at)
         if match is None:
-            if following.isalpha() or following == "/":
+            if following != "/" and not (following.isascii() and following.isalpha()):
+                open_.parts.append("<")
+                at += 1
+                continue
+            end = html.find(">", at)
+            if end < 0:
                 break  # the page ends within a tag
-            open_.parts.append("<")
-            at += 1
+            at = end + 1  # an end tag without a name is a comment
             continue
         at = match.end()
         closing, tag, attributes = match.group(1), match.group(2).lower(), match.group(3)
