@@ -217,6 +217,36 @@ def test_main_text_of_odd_pages(page, text):
     assert html.main_text(page) == text
 
 
+def paragraphs(name, count, size):
+    return [f"{name}{k} " + "word " * ((size - 4) // 5) + "end." for k in range(count)]
+
+
+def joined(lines):
+    return "".join(f"<p>{line}</p>" for line in lines)
+
+
+LINKS = "<div><ul>" + "".join(f"<li><a href=/{k}>Some other page {k}</a></li>" for k in range(12)) + "</ul></div>"
+
+
+def test_all_sections_belong_to_the_main_text():
+    a, b, c = paragraphs("a", 4, 400), paragraphs("b", 4, 150), paragraphs("c", 1, 40)
+    sections = f"<section><h2>One</h2>{joined(a)}</section><section><h2>Two</h2>{joined(b)}</section>"
+    assert html.main_text(f"<body><div>{sections}</div></body>").split("\n") == ["One", *a, "Two", *b]
+    page = (f"<html><body>{LINKS}<div><h1>A short title</h1><p>By a writer</p><div>{sections}</div><div>{joined(c)}</div></div>"
+            f"{LINKS}</body></html>")
+    assert html.main_text(page).split("\n") == ["A short title", "By a writer", "One", *a, "Two", *b, *c]
+    assert html.main_text(f"<body><h1>A short title</h1><div>{joined(a)}</div></body>").split("\n") == ["A short title", *a]
+
+
+def test_text_on_the_way_to_the_core_stays_and_links_go():
+    a, b = paragraphs("a", 5, 300), paragraphs("b", 1, 60)
+    page = (f"<body>Some <b>words</b> with <a href=x>a link</a> before it.<div>{LINKS}<h3>More</h3></div><div><a href=/>Home</a> | "
+            f"<a href=/x>Elsewhere</a><h1><a href=/me>Title</a></h1><div>{joined(a)}</div></div><div>{LINKS}{LINKS}{joined(b)}</div>"
+            f"<a href=1>Back</a> <a href=2>Next</a></body><p>Behind the body.</p>")
+    assert html.main_text(page).split("\n") == [
+        "Some words with a link before it.", "Title", *a, *b, "Behind the body."]
+
+
 @pytest.mark.parametrize("page, text", [
     ("<p>I </3 you</p><p>rest</p>", "I\nrest"), ("<p>One.</ p><p>Two.</p>", "One.\nTwo."), ("<p>One</>, two.</p><p>Three.</p>", "One, two.\nThree."),
     ("<p>One.</p></3", "One."), ("<p>One <élan> two.</p><p>Three.</p>", "One <élan> two.\nThree."), ("<p>One.</p><p", "One."),

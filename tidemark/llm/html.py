@@ -48,7 +48,8 @@ HIDDEN = re.compile(r"(?:^|\s)hidden(?:$|[\s=])|display\s*:\s*none|aria-hidden\s
 
 
 class Node:
-    __slots__ = ("tag", "parent", "parts", "beside", "chars", "tags", "link_chars", "link_tags", "density", "sums")
+    __slots__ = ("tag", "parent", "parts", "beside", "chars", "tags", "link_chars", "link_tags", "density", "sums",
+                 "blocky")
 
     def __init__(self, tag: str, parent: Node | None, beside: bool) -> None:
         self.tag, self.parent, self.beside = tag, parent, beside
@@ -158,6 +159,7 @@ def _measure(root: Node) -> list[Node]:
         text = sum(len(" ".join(part.split())) for part in node.parts if isinstance(part, str))
         inner = [part for part in node.parts if not isinstance(part, str) and not part.beside]
         node.chars = text + sum(c.chars for c in inner)
+        node.blocky = node.tag in BLOCKS or any(c.blocky for c in inner)
         node.tags = len(inner) + sum(c.tags for c in inner)
         if linked[id(node)]:
             node.link_chars, node.link_tags = node.chars, node.tags
@@ -206,10 +208,9 @@ def _blocks(node: Node, out: list[list[str]]) -> None:
 def main_text(html: str) -> str:
     """The page's main text, a line for each block; empty if there is none.
 
-    The subtree with the largest sum of its children's densities is the core. The least density on the
-    path from it up to the body is the threshold: of each further branch at least that dense, the
-    subtree with the largest sum belongs to the main text as well. A core within an article stands for
-    that article. What is named as standing beside the article is never counted.
+    The subtree with the largest sum of its children's densities is the core and stays whole. Of what stands
+    beside it, all stays but what is for the most part links; no length or density of a paragraph decides.
+    What is named as standing beside the article is never counted.
     """
     root = parse(html)
     order = _measure(root)
@@ -220,61 +221,62 @@ def main_text(html: str) -> str:
         return ""
     _densities(order, body)
 
-    inside = []
-    stack = [body]
+    core, stack = body, [body]
     while stack:
         node = stack.pop()
-        inside.append(node)
+        if node.sums > core.sums:
+            core = node
         stack.extend(p for p in reversed(node.parts) if not isinstance(p, str) and not p.beside)
-    core = max(inside, key=lambda n: n.sums)
-    if core.sums <= 0:
-        core = body
-    threshold, node = core.density, core
-    while node is not body and node.parent is not None:
-        node = node.parent
-        threshold = min(threshold, node.density)
-
-    article, node = None, core
+    path, node = set(), core.parent
     while node is not None:
-        if node.tag in ARTICLE:
-            article = node
+        path.add(id(node))
         node = node.parent
-    if article is None:
-        # a core that is the only dense part of the article's element: the whole articles of the page
-        chosen = [n for n in inside if n.tag in ARTICLE and n.chars and n.density >= threshold]
-        chosen = [n for n in chosen if not any(_within(n, m) for m in chosen if m is not n)]
-    else:
-        chosen = [article]
-    if not chosen:
-        chosen, stack = [], [body]
-        while stack:
-            node = stack.pop()
-            if node is core or node.density >= threshold and node is not body and not _within(core, node):
-                chosen.append(node if node is core else _densest(node))
-            else:
-                stack.extend(p for p in reversed(node.parts) if not isinstance(p, str) and not p.beside)
+    _prune(root, core, path)
     out: list[list[str]] = [[]]
-    for node in chosen:
-        _blocks(node, out)
-        out.append([])
+    _blocks(root, out)
     lines = (" ".join(unescape("".join(block)).split()) for block in out)
     return "\n".join(line for line in lines if line)
 
 
-def _within(node: Node | None, above: Node) -> bool:
-    while node is not None and node is not above:
-        node = node.parent
-    return node is above
+# link-heavy elements that go as a whole; of others, the parts are looked at
+LISTS = frozenset("ul ol dl menu dir li dt dd p h2 h3 h4 h5 h6 table tr a".split())
+HEADINGS = frozenset("h2 h3 h4 h5 h6".split())
 
 
-def _densest(top: Node) -> Node:
-    best, stack = top, [top]
+def _prune(root: Node, core: Node, path: set[int]) -> None:
+    """Take out boilerplate beside the core: branches, and runs of text between them, that are links for the most
+    part. Of such a branch, parts that are not stay, but not headings alone. Every other branch stays whole."""
+    stack = [root] if id(root) in path else []
+    opened = []
     while stack:
         node = stack.pop()
-        if node.sums > best.sums:
-            best = node
-        stack.extend(p for p in node.parts if not isinstance(p, str) and not p.beside)
-    return best
+        opened.append(node)
+        kept: list[Node | str] = []
+        run: list[Node | str] = []
+        for part in [*node.parts, None]:
+            if part is not None and (isinstance(part, str) or part.tag in VOID or not part.beside and not part.blocky
+                                     and part is not core and id(part) not in path):
+                run.append(part)
+                continue
+            chars = sum(len(" ".join(r.split())) if isinstance(r, str) else 0 if r.tag in VOID else r.chars for r in run)
+            links = sum(r.link_chars for r in run if not isinstance(r, str) and r.tag not in VOID)
+            if 2 * links <= chars:
+                kept += run
+            run = []
+            if part is None or part.beside:
+                continue
+            if part is core or id(part) not in path and (2 * part.link_chars <= part.chars or part.tag == "h1"):
+                kept.append(part)
+            elif id(part) in path or part.tag not in LISTS:
+                kept.append(part)
+                stack.append(part)
+        node.parts = kept
+    # parts come behind their parents
+    for node in reversed(opened):
+        if id(node) not in path and not any(
+                p.strip() if isinstance(p, str) else p.tag not in HEADINGS and p.tag not in VOID and p.chars
+                for p in node.parts):
+            node.parts, node.chars = [], 0
 
 
 def extract_text(df: DataFrame, html: str = "html", keep: list[str] | None = None) -> DataFrame:
