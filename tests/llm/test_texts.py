@@ -247,6 +247,51 @@ def test_text_on_the_way_to_the_core_stays_and_links_go():
         "Some words with a link before it.", "Title", *a, *b, "Behind the body."]
 
 
+def test_articles_are_no_border_of_the_main_text():
+    a, b, c = paragraphs("a", 4, 400), paragraphs("b", 3, 200), paragraphs("c", 1, 500)
+    # sibling articles
+    assert html.main_text(f"<body>{LINKS}<article>{joined(a)}</article><article>{joined(b)}</article>").split("\n") == [*a, *b]
+    # a core in a plain element, a denser teaser in an article
+    page = f"<body><article>{joined(c)}</article><div>{joined(a)}</div><footer>End</footer></body>"
+    assert html.main_text(page).split("\n") == [*c, *a]
+    # an article within the main text's element
+    page = f"<body><main>{joined(b)}<article>{joined(a)}</article></main></body>"
+    assert html.main_text(page).split("\n") == [*b, *a]
+
+
+@pytest.mark.parametrize("start", [
+    "<div id='page' class='has-sidebar'>", "<div class='layout sidebar'>", "<div class='with-sidebar wide'>",
+    "<div id=search-page>", "<div class='ad-free'>", "<div class='widget content'>", "<div class='promoHeadline'>",
+])
+def test_wrappers_with_a_listed_word_stay(start):
+    a = paragraphs("a", 4, 400)
+    page = f"<body>{start}<div class=sidebar>Aside</div><div>{joined(a)}</div></div><div class='cookie-notice'>We bake</div></body>"
+    assert html.main_text(page).split("\n") == a
+
+
+@pytest.mark.parametrize("name", [
+    "sidebar", "main-sidebar", "sidebarLeft", "comments-area", "adSlot", "ad-container", "cookie_notice", "site-header",
+    "wide related",
+])
+def test_named_boxes_go(name):
+    a = paragraphs("a", 4, 400)
+    page = f"<body><div class='{name}'>Some words of the box</div><div class='lead-in'>{joined(a)}</div></body>"
+    assert html.main_text(page).split("\n") == a
+    assert html.main_text(page.replace("class=", "id=")).split("\n") == a
+
+
+def test_a_long_box_beside_an_article_goes():
+    a, b = paragraphs("a", 1, 100), paragraphs("b", 9, 400)
+    page = f"<body><article>{joined(a)}</article><div id=comments><article>{joined(b)}</article></div></body>"
+    assert html.main_text(page).split("\n") == a
+
+
+def test_a_listed_word_within_a_name_decides_nothing():
+    a, b = paragraphs("a", 4, 400), paragraphs("b", 1, 100)
+    page = f"<body><div>{joined(a)}</div><div class='search-results'>{joined(b)}</div><div class='no-comments'>{joined(b)}</div></body>"
+    assert html.main_text(page).split("\n") == [*a, *b, *b]
+
+
 @pytest.mark.parametrize("page, text", [
     ("<p>I </3 you</p><p>rest</p>", "I\nrest"), ("<p>One.</ p><p>Two.</p>", "One.\nTwo."), ("<p>One</>, two.</p><p>Three.</p>", "One, two.\nThree."),
     ("<p>One.</p></3", "One."), ("<p>One <élan> two.</p><p>Three.</p>", "One <élan> two.\nThree."), ("<p>One.</p><p", "One."),

@@ -38,6 +38,10 @@ BESIDE = frozenset(
     "nav navbar navigation navigator menu breadcrumb breadcrumbs pagination pager footer masthead topbar toolbar share "
     "sharing social subscribe subscription newsletter signup login related recommended recirculation complementary "
     "contentinfo search form widget skip disclaimer".split())
+# words behind such a name that only say what kind of box it is
+BOX = frozenset("container wrapper wrap area box inner outer left right top bottom section block".split())
+# words that say what an element has, not what it is
+HAS = frozenset("has have with without no".split())
 ARTICLE = frozenset(("article", "main"))
 
 TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)((?:[^'\">]|\"[^\"]*\"|'[^']*')*)>")
@@ -48,11 +52,11 @@ HIDDEN = re.compile(r"(?:^|\s)hidden(?:$|[\s=])|display\s*:\s*none|aria-hidden\s
 
 
 class Node:
-    __slots__ = ("tag", "parent", "parts", "beside", "chars", "tags", "link_chars", "link_tags", "density", "sums",
-                 "blocky")
+    __slots__ = ("tag", "parent", "parts", "beside", "named", "chars", "tags", "link_chars", "link_tags", "density", "sums",
+                 "blocky", "titled")
 
-    def __init__(self, tag: str, parent: Node | None, beside: bool) -> None:
-        self.tag, self.parent, self.beside = tag, parent, beside
+    def __init__(self, tag: str, parent: Node | None, beside: bool, named: bool) -> None:
+        self.tag, self.parent, self.beside, self.named = tag, parent, beside or named, named and not beside
         self.parts: list[Node | str] = []
 
 
@@ -65,21 +69,51 @@ def _is_beside(tag: str, attributes: str, parent: Node) -> bool:
         while node is not None and node.tag not in ARTICLE:
             node = node.parent
         return node is None
+    return tag not in ("html", "body") and tag not in ARTICLE and HIDDEN.search(attributes) is not None
+
+
+def _is_named_beside(tag: str, attributes: str) -> bool:
+    """Whether a class, id or role, as a whole or by its last word, names what stands beside the article."""
     if not attributes or tag in ("html", "body") or tag in ARTICLE:
         return False
-    if HIDDEN.search(attributes):
-        return True
     for _, a, b, c in NAMED.findall(attributes):
         for value in (a or b or c).split():
             words = [w.lower() for w in WORD.findall(value)]
-            if not BESIDE.isdisjoint(words) or words in (["header"], ["site", "header"], ["page", "header"]):
+            if "".join(words) in BESIDE or words in (["header"], ["site", "header"], ["page", "header"]):
+                return True
+            while len(words) > 1 and words[-1] in BOX:
+                words.pop()
+            if words and words[-1] in BESIDE and words[0] not in HAS:
                 return True
     return False
 
 
+def _clear(root: Node) -> None:
+    """A box that holds most of the page's text is the page, whatever its name says; but not where an article
+    stands outside of named boxes, unless the box has the page's title or main element."""
+    order, stack = [], [(root, False)]
+    article = False
+    while stack:
+        node, within = stack.pop()
+        within = within or node.named
+        article = article or not within and node.tag in ARTICLE
+        order.append(node)
+        stack.extend((p, within) for p in node.parts if not isinstance(p, str) and (p.named or not p.beside))
+    if not any(node.named for node in order):
+        return
+    for node in reversed(order):
+        inner = [p for p in node.parts if not isinstance(p, str) and (p.named or not p.beside)]
+        node.chars = sum(len(" ".join(p.split())) for p in node.parts if isinstance(p, str)) + sum(c.chars for c in inner)
+        node.blocky = any(c.tag in BLOCKS or c.blocky for c in inner)
+        node.titled = node.tag in ("h1", "main") or any(c.titled for c in inner)
+    for node in order:
+        if node.named and node.blocky and 2 * node.chars > root.chars and (node.titled or not article):
+            node.beside = node.named = False
+
+
 def parse(html: str) -> Node:
     """A tree of the page; missing end tags are put where a following tag asks for them."""
-    root = open_ = Node("#root", None, False)
+    root = open_ = Node("#root", None, False, False)
     at, size = 0, len(html)
     while at < size:
         less = html.find("<", at)
@@ -131,7 +165,7 @@ def parse(html: str) -> Node:
                     node = node.parent
                 if node is not root and node.tag in kinds:
                     open_ = node.parent
-        node = Node(tag, open_, _is_beside(tag, attributes, open_))
+        node = Node(tag, open_, _is_beside(tag, attributes, open_), _is_named_beside(tag, attributes))
         open_.parts.append(node)
         if tag in RAW:
             end = re.compile(f"</{tag}[^>]*>", re.IGNORECASE).search(html, at)
@@ -210,9 +244,10 @@ def main_text(html: str) -> str:
 
     The subtree with the largest sum of its children's densities is the core and stays whole. Of what stands
     beside it, all stays but what is for the most part links; no length or density of a paragraph decides.
-    What is named as standing beside the article is never counted.
+    What is named as standing beside the article is never counted, unless it holds most of the page's text.
     """
     root = parse(html)
+    _clear(root)
     order = _measure(root)
     body = next((n for n in order if n.tag == "body"), root)
     if not body.chars:
