@@ -42,6 +42,18 @@ def test_full_latest_join_is_one_shuffle(spark):
     assert text.count("Exchange hashpartitioning") == 1 and "Join" not in text
 
 
+def test_three_json_sides_join_every_event(spark):
+    from tidemark.operators.latest import tag_sides
+    from tidemark.plans import joins
+
+    events = spark.read.parquet(f"{SMALL}/events.parquet")
+    tagged = tag_sides(joins._json_sides(events), "p", "seq")
+    assert tagged.select("seq").exceptAll(events.select("event_id")).count() == 0
+    assert tagged.count() == events.count() and tagged.select("_side").distinct().count() == 3
+    text = plan(spark, "join_full_latest_json")
+    assert text.count("Exchange hashpartitioning") == 1 and "Join" not in text and "get_json_object" in text
+
+
 def test_stateless_queries_do_not_shuffle(spark):
     for name in ("json_pairs_raw", "frame_header", "tier_of_age", "sink_json_rows", "json_typed_rows", "fn_extract"):
         assert "Exchange" not in plan(spark, name), name

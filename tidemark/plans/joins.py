@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from tidemark.functions.json import json_encode, json_path
 from tidemark.operators import latest, lookup
 from tidemark.plans.registry import Tables, query
 from tidemark.streaming.views import run_to_end, stream_table
@@ -89,6 +90,44 @@ def join_full_latest_stream(t: Tables) -> DataFrame:
     return last.select("p", "a.va", "b.vb")
 
 
+_LATEST_JOIN_JSON = """
+WITH s AS (SELECT CASE WHEN user_id % 10 = 9 THEN NULL ELSE user_id END AS p, event_id % 3 AS side,
+                  event_type AS c, value AS v, event_id FROM events),
+ r AS (SELECT *, row_number() OVER (PARTITION BY p, side ORDER BY event_id DESC) AS rn FROM s),
+ x AS (SELECT * FROM r WHERE side = 0 AND rn = 1), y AS (SELECT * FROM r WHERE side = 1 AND rn = 1),
+ z AS (SELECT * FROM r WHERE side = 2 AND rn = 1)
+SELECT coalesce(x.p, y.p, z.p) AS p, x.c AS c1, x.v AS c2, y.c AS c3, y.v AS c4, z.c AS c5, z.v AS c6
+FROM x FULL JOIN y ON x.p = y.p FULL JOIN z ON coalesce(x.p, y.p) = z.p"""
+
+
+def _json_sides(events: DataFrame) -> dict[str, DataFrame]:
+    """Three sides of raw JSON texts, together all events; keys and values are read from the texts."""
+    key = F.when(F.col("user_id") % 10 != 9, F.col("user_id")).alias("p")
+    sides = {}
+    for side, name in enumerate("abc"):
+        first, second = f"c{2 * side + 1}", f"c{2 * side + 2}"
+        fields = key, F.col("event_type").alias(first), F.col("value").alias(second)
+        raw = events.where(F.col("event_id") % 3 == side).select(F.col("event_id").alias("seq"), json_encode(*fields).alias("raw"))
+        sides[name] = raw.select(json_path("raw", "p", "bigint").alias("p"), "seq", json_path("raw", first).alias(first),
+                                 json_path("raw", second, "double").alias(second))
+    return sides
+
+
+@query("join_full_latest_json", _LATEST_JOIN_JSON)
+def join_full_latest_json(t: Tables) -> DataFrame:
+    return latest.full_latest_join(_json_sides(t.events), "p", "seq")
+
+
+@query("join_full_latest_json_stream", _LATEST_JOIN_JSON)
+def join_full_latest_json_stream(t: Tables) -> DataFrame:
+    stream = stream_table(t.spark, t.file("events"), t.events.schema)
+    keyed = latest.full_latest_join(_json_sides(stream), "p", "seq", flatten=False)
+    held = F.coalesce(*[F.when(F.col(name).isNotNull(), F.lit(name)) for name in "abc"])
+    log = run_to_end(keyed.select("p", "a", "b", "c", F.when(F.col("p").isNull(), held).alias("side")), "update")
+    last = latest.latest_by_key(log, ["p", "side"], ["batch_id"])
+    return last.select("p", "a.*", "b.*", "c.*")
+
+
 @query("merge_columns", """
 WITH r AS (SELECT user_id AS p, event_id % 3 AS side, event_type AS c, value AS v,
   row_number() OVER (PARTITION BY user_id, event_id % 3 ORDER BY event_id DESC) AS rn FROM events)
