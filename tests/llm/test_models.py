@@ -53,6 +53,24 @@ def test_language_takes_odd_rows(spark):
     assert {r.lang_pred for r in language.predict(odd, untaught).collect()} == {"und"}
 
 
+@pytest.mark.parametrize("repeated", [None, 7])
+def test_the_sample_of_languages_is_bounded(spark, monkeypatch, repeated):
+    monkeypatch.setattr(language, "PER_LANGUAGE", 50)
+    seen = []
+    monkeypatch.setattr(language.Languages, "fit", lambda model, x, labels: seen.append((x, labels)) or model)
+    # a third of the rows under one id, a third of them copies of one text
+    rows = [(repeated if k % 3 == 0 else 10 + k, "one text" if k % 3 == 1 else f"{'the cat' if k % 2 else 'der hund'} {k * k}",
+             "en" if k % 2 else "de") for k in range(6000)]
+    rows += [(3, "a single row of copies", "fr")] * 1000
+    documents = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(5)
+    language.fit(documents)
+    language.fit(documents.repartition(3))
+    (x, labels), (y, others) = seen
+    assert {name: labels.count(name) for name in labels} == {"de": 50, "en": 50, "fr": 1}
+    assert labels == others and (x == y).all()
+    assert len({row.tobytes() for row in x}) > 50
+
+
 # -- toxicity
 
 def test_marginals_equal_enumeration():

@@ -425,6 +425,17 @@ def test_personal_data_takes_odd_rows(spark):
     assert pii.redact("call +49 (030) 123-4567 or a@b.de", pii.base_spans("call +49 (030) 123-4567 or a@b.de")) == "call [PHONE] or [EMAIL]"
 
 
+def test_rows_of_one_id_are_packed_in_many_tasks(spark):
+    rows = spark.createDataFrame([(7, f"A text of number {k}.") for k in range(2000)], "doc_id long, text string").repartition(4)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        found = packing.pack(rows, BYTES).collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len({r.sequence_id >> 32 for r in found}) == 4
+    assert sum(r.start == 0 for r in found) == 2000
+
+
 def test_digests_of_the_packing_query(spark):
     from tidemark.llm.queries import QUERIES
     row = QUERIES["op2_packing"](spark, SMALL).where("doc_id = 0 and start = 0").first()

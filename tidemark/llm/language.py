@@ -10,10 +10,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import BinaryType, DoubleType, StringType, StructField, StructType
+from pyspark.sql.types import BinaryType, DoubleType, LongType, StringType, StructField, StructType
 
 from tidemark.llm.boosting import sigmoid
-from tidemark.llm.rows import map_rows, sample_by_class
+from tidemark.llm.rows import First, first_by_class, map_rows, sample_by_class
 
 UNKNOWN = "und"
 PER_LANGUAGE = 600  # fitted on about so many documents of each language
@@ -147,22 +147,31 @@ class Languages:
 
 
 def fit(labelled: DataFrame, text: str = "text", label: str = "lang", key: str = "doc_id") -> Languages:
-    """Fit on about ``PER_LANGUAGE`` rows of each label, chosen by a hash of the key.
+    """Fit on at most ``PER_LANGUAGE`` different rows of each label, the first by a hash of key and text, so that
+    rows without an id and rows of one id are as likely as others.
 
     Rows without a label, and texts without a letter, teach nothing. Letter groups are counted where the
     texts are, over whole texts; the driver gets ``SLOTS`` numbers for each chosen row.
     """
-    chosen = sample_by_class(labelled, key, label, PER_LANGUAGE).select(text, label)
+    most = PER_LANGUAGE
+    chosen = sample_by_class(labelled, [key, text], label, most).select(text, label, "order")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        firsts: dict[str, First] = {}
+        found: dict[tuple[str, int], bytes] = {}
         for batch in batches:
-            rows = [(letter_groups(t).astype("<f2").tobytes(), name) for t, name in
-                    zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()) if t and LETTER.search(t)]
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.binary()),
-                                              pa.array([r[1] for r in rows], pa.string())], names=["x", "label"])
-
-    rows = chosen.mapInArrow(run, StructType([StructField("x", BinaryType()), StructField("label", StringType())])
-                             ).orderBy(F.xxhash64("x"), "label").collect()
+            for t, name, order in zip(*(column.to_pylist() for column in batch.columns)):
+                if t and LETTER.search(t):
+                    taken, out = firsts.setdefault(name, First(most)).add(order)
+                    if taken:
+                        found[name, order] = letter_groups(t).astype("<f2").tobytes()
+                        found.pop((name, out), None)
+        yield pa.RecordBatch.from_arrays([
+            pa.array(found.values(), pa.binary()), pa.array([n for n, _ in found], pa.string()),
+            pa.array([o for _, o in found], pa.int64())], names=["x", "label", "order"])
+
+    schema = StructType([StructField("x", BinaryType()), StructField("label", StringType()), StructField("order", LongType())])
+    rows = first_by_class(chosen.mapInArrow(run, schema), "label", most).orderBy(F.xxhash64("x"), "label").collect()
     if not rows:
         return Languages()
     x = np.stack([np.frombuffer(r.x, dtype="<f2") for r in rows]).astype(np.float32)

@@ -213,10 +213,10 @@ def pack(df: DataFrame, tokenizer_path: str, width: int = WIDTH, end_id: int = E
     prices. One row per piece of a document in a sequence, with the piece's ids.
 
     A null or empty text is a document of the end id alone; null ids come first; rows with the same id are
-    documents of their own, ordered by text. A very long text spans many sequences. An empty table gives
+    documents of their own, ordered by text within a range. A very long text spans many sequences. An empty table gives
     no rows; other columns, whatever their names, are left out.
 
-    Rows are dealt by ranges of ``doc_id``, so no key gathers in one task, and each range is packed as a
+    Rows are dealt by ranges of ``doc_id`` and a hash of the text, so no key gathers in one task, and each range is packed as a
     stream. Only the last sequence of a range is cut short for lack of rows. ``sequence_id`` is the
     number of the range times 2**32 plus the number in it, and a task that runs again gives the same.
     """
@@ -252,5 +252,5 @@ def pack(df: DataFrame, tokenizer_path: str, width: int = WIDTH, end_id: int = E
             yield batch()
 
     ordered = (df.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text"))
-               .repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text"))
+               .repartitionByRange("doc_id", F.xxhash64("text")).sortWithinPartitions("doc_id", "text"))
     return ordered.mapInArrow(run, PIECE)

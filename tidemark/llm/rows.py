@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import heapq
 import pickle
 import sys
 import types
@@ -10,7 +11,7 @@ from typing import Any
 
 import pyarrow as pa
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructField, StructType
 
@@ -103,14 +104,43 @@ def unit_hash(*columns: str) -> Column:
     return (F.xxhash64(*columns).bitwiseAND(F.lit((1 << 52) - 1))) / F.lit(float(1 << 52))
 
 
-def sample_by_class(df: DataFrame, key: str, label: str, per_class: int) -> DataFrame:
-    """About ``per_class`` rows of each value of ``label`` (null left out), chosen by a hash of the key.
-
-    Only keys and labels are read to count the classes, so text columns are not scanned twice.
+def sample_by_class(df: DataFrame, keys: Sequence[str], label: str, per_class: int, order: str = "order") -> DataFrame:
+    """About ``per_class`` different rows of each value of ``label`` (null left out), chosen by a hash of ``keys``, which
+    is appended as ``order``. Rows equal in ``keys`` and label have one hash and are all there: count them once
+    with ``first_by_class``.
     """
     rows = df.where(F.col(label).isNotNull())
-    counts = {r[0]: r[1] for r in rows.groupBy(label).count().collect()}
+    counts = {r[0]: r[1] for r in rows.groupBy(label).agg(F.approx_count_distinct(F.xxhash64(*keys), 0.02)).collect()}
     if not counts:
-        return rows.limit(0)
-    share = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, per_class / n)])
-    return rows.where(unit_hash(key) < share[F.col(label)])
+        return rows.limit(0).withColumn(order, F.lit(0).cast("long"))
+    # a tenth more than asked for, as the counts are approximate
+    share = F.create_map(*[F.lit(x) for k, n in counts.items() for x in (k, 1.1 * per_class / max(n, 1))])
+    return rows.where(unit_hash(*keys) < share[F.col(label)]).withColumn(
+        order, F.xxhash64(*keys).bitwiseAND(F.lit((1 << 52) - 1)))
+
+
+def first_by_class(df: DataFrame, label: str, per_class: int, order: str = "order") -> DataFrame:
+    """One row of each ``order`` of a label, and of these the first ``per_class``; cut down before the shuffle, too."""
+    rest = [c for c in df.columns if c not in (label, order)]
+    once = df.groupBy(label, order).agg(*[F.first(c).alias(c) for c in rest])
+    place = F.row_number().over(Window.partitionBy(label).orderBy(order))
+    return once.withColumn("_place", place).where(F.col("_place") <= per_class).select(df.columns)
+
+
+class First:
+    """Which of the orders met so far belong to the first ``most`` different ones."""
+
+    def __init__(self, most: int) -> None:
+        self.most, self.heap, self.held = most, [], set()
+
+    def add(self, order: int) -> tuple[bool, int | None]:
+        """Whether ``order`` is new and one of the first; and the order it drives out, if any."""
+        if order in self.held or len(self.heap) == self.most and order > -self.heap[0]:
+            return False, None
+        self.held.add(order)
+        if len(self.heap) < self.most:
+            heapq.heappush(self.heap, -order)
+            return True, None
+        out = -heapq.heapreplace(self.heap, -order)
+        self.held.remove(out)
+        return True, out
