@@ -445,8 +445,9 @@ def hard_negatives(df: DataFrame, anchors: Column, positives: int = 5, negatives
                     .where(F.col("nth") <= positives).drop("nth"))
     # 100 s between both bounds, as whole numbers
     low, high = window
-    top = F.expr(f"({high} * positive_score - pmod({high} * positive_score, 100L)) div 100")
-    floor = F.expr(f"({low} * positive_score + pmod(-{low} * positive_score, 100L)) div 100")
+    score = "cast(positive_score AS decimal(20, 0))"
+    top = F.expr(f"({high} * {score} - pmod({high} * {score}, 100)) div 100")
+    floor = F.expr(f"({low} * {score} + pmod(-{low} * {score}, 100)) div 100")
     windows = pairs.select("gid", F.col("positive_score").alias("mark"), top.alias("top"), floor.alias("floor")).distinct()
     listed = windows.where("floor <= top").groupBy("gid").agg(F.array_sort(F.collect_list(F.struct("mark", "top", "floor"))).alias("w"))
     questions = durable(groups.join(listed, "gid").select(
