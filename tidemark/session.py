@@ -18,6 +18,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.streaming.stateStore.providerClass":
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+    # Python workers hold a few batches at a time: bound them by bytes, as ten thousand long texts are many
+    "spark.sql.execution.arrow.maxBytesPerBatch": str(4 << 20),
     # pre-merge session fragments in the map task before they are shuffled
     "spark.sql.sessionWindow.merge.sessions.in.local.partition": "true",
 }
