@@ -17,51 +17,87 @@ from tidemark.session import configure, durable
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 TOXIC_FROM = 0.7
+# below this score no family's machine claims a text; told only of texts of so many letters, as a few words say little
+LANGUAGE_FROM, LETTERS = 0.4, 100
+ROW = "row"
 
 
 def _carried(docs: DataFrame, **more: Column) -> DataFrame:
-    """The whole row in one column beside its text, so that no operator's column can clash with one of its own."""
-    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("text"),
-                       *[column.alias(name) for name, column in more.items()])
+    """The row in one column beside its text, so that no operator's column can clash with one of its own. The text itself
+    is there once."""
+    others = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
+    return docs.select(F.struct(*others).alias(ROW), F.col("text"), *[column.alias(name) for name, column in more.items()])
 
 
 def _row(docs: DataFrame) -> list[Column]:
-    return [F.col(f"row.`{c}`").alias(c) for c in docs.columns]
+    """The columns of ``docs`` from what ``_carried`` made."""
+    return [F.col("text") if c == "text" else F.col(f"{ROW}.`{c}`").alias(c) for c in docs.columns]
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents in no language: null and empty texts, and those without a letter. Learns from three
-    quarters of the documents' own language labels."""
+    """Drop documents in no language: null and empty texts, those without a letter, and those of ``LETTERS`` letters or more
+    that score below ``LANGUAGE_FROM`` (hex and base64 dumps, most text in languages never learned). Learns
+    from three quarters of the documents' own language labels; rows with a null id or label are judged like others. Where no
+    language could be learned at all, only texts without a letter go. Repeated rows stay or go together."""
+    configure(spark)
     learned = docs.where(F.coalesce(crc_bucket("doc_id", 4) != 2, F.lit(True)))
-    found = language.predict(_carried(docs), language.fit(learned), keep=["row"])
-    return found.where(F.col("lang_pred") != language.UNKNOWN).select(_row(docs))
+    model = language.fit(learned)
+    found = language.predict(_carried(docs), model, keep=[ROW, "text"])
+    lettered = F.coalesce(F.regexp_count("text", F.lit(r"\p{L}")), F.lit(0))
+    if not model.languages:
+        return found.where(lettered > 0).select(_row(docs))
+    claimed = (F.col("score") >= LANGUAGE_FROM) | (lettered < LETTERS)
+    return found.where((F.col("lang_pred") != language.UNKNOWN) & claimed).select(_row(docs))
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents with a toxicity score of ``TOXIC_FROM`` or more. Learns from two thirds of the labelled ones."""
+    """Drop documents with a toxicity score of ``TOXIC_FROM`` or more. Learns from two thirds of the labelled ones. A null id
+    has no label and is scored like any other; null and empty texts stay; repeated rows stay or go together."""
+    configure(spark)
     labels = spark.read.parquet(f"{sf_dir.rstrip('/')}/labels.parquet").select("doc_id", "toxic")
     tagger = toxicity.fit(docs, labels.where(crc_bucket("doc_id", 3) != 1))
-    return toxicity.score(_carried(docs), tagger, keep=["row"]).where(F.col("score") < TOXIC_FROM).select(_row(docs))
+    scored = toxicity.score(_carried(docs), tagger, keep=[ROW, "text"])
+    return scored.where(F.col("score") < TOXIC_FROM).select(_row(docs))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keep of each class of near-duplicates the document with the smallest id."""
-    others = near_duplicates(docs.select("doc_id", "text")).where(~F.col("kept")).select("doc_id")
-    return docs.join(others, "doc_id", "left_anti").select([F.col(f"`{c}`") for c in docs.columns])
+    """Keep one document of each class of near-duplicates, the one with the smallest id.
+
+    Rows are told apart by a number of their own, not by ``doc_id``: of rows that repeat an id or have none, one
+    of each class stays, too; null ids come last, and of rows with the same id and class any one stays. Texts
+    without a word (null and empty ones) are classes of their own and all stay.
+    """
+    configure(spark)
+    # the numbering is fixed by being written
+    numbered = durable(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(ROW),
+                                   F.monotonically_increasing_id().alias("doc_id")))
+    rows = numbered.select("doc_id", F.col(f"{ROW}.text").alias("text"))
+    classes = durable(near_duplicates(rows).select("doc_id", "class_id"))
+    shared = classes.groupBy("class_id").count().where("count > 1").select("class_id")
+    members = classes.join(shared, "class_id").join(
+        numbered.select("doc_id", F.col(f"{ROW}.doc_id").alias("id")), "doc_id").withColumn(
+        "place", F.struct(F.col("id").isNull().alias("unnamed"), "id", "doc_id"))
+    members = durable(members.select("doc_id", "class_id", "place"))
+    first = members.groupBy("class_id").agg(F.min("place").alias("first")).select(F.col("first.doc_id").alias("doc_id"))
+    others = members.join(first, "doc_id", "left_anti").select("doc_id")
+    return numbered.join(others, "doc_id", "left_anti").select([F.col(f"{ROW}.`{c}`").alias(c) for c in docs.columns])
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Put the kind in brackets in the place of each span of personal data; ``n_chars`` follows the text."""
+    """Put the kind in brackets in the place of each span of personal data; ``n_chars`` follows the text. Rows without a span,
+    null and empty texts among them, stay as they are."""
+    configure(spark)
     model = pii.fit(docs.select("doc_id", "text"))
-    found = pii.find_personal_data(_carried(docs), model, keep=["row"], redacted="clean")
+    found = pii.find_personal_data(_carried(docs), model, keep=[ROW, "text"], redacted="clean")
     changed = F.size("spans") > 0
     new = {"text": F.col("clean"), "n_chars": F.length("clean").cast("long")}
-    return found.select([F.when(changed, new[c]).otherwise(F.col(f"row.`{c}`")).alias(c) if c in new else row
+    return found.select([F.when(changed, new[c]).otherwise(row).alias(c) if c in new else row
                          for c, row in zip(docs.columns, _row(docs))])
 
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the documents in sequences of at most 2048 tokens, with their ids."""
+    configure(spark)
     return pack(docs, public_tokenizers.path("byte_bpe_50k.json"))
 
 
