@@ -1,6 +1,7 @@
 """Language, toxicity, near-duplicates, vectors and the pipeline against brute force and held-out rows."""
 
 import itertools
+import random
 
 import numpy as np
 import pytest
@@ -109,14 +110,49 @@ def test_expected_moves_equal_enumeration():
     assert np.allclose(found, expected)
 
 
-def test_toxic_documents_are_told_apart(spark):
+def test_toxic_documents_are_told_apart_in_every_language(spark):
     folder = "/root/testdata/sf0.1"
     rows = QUERIES["op10_toxicity"](spark, folder).join(
         spark.read.parquet(f"{folder}/labels.parquet"), "doc_id").join(
-        spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "lang"), "doc_id").where("held_out and lang = 'en'")
-    counts = {(r.toxic, r.predicted): r["count"] for r in rows.groupBy("toxic", "predicted").count().collect()}
-    assert counts[1, 1] >= 0.8 * (counts[1, 1] + counts[1, 0])
-    assert counts.get((0, 1), 0) <= 0.01 * counts[0, 0]
+        spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "lang"), "doc_id").where("held_out")
+    counts = {(r.lang, r.toxic, r.predicted): r["count"] for r in rows.groupBy("lang", "toxic", "predicted").count().collect()}
+    languages = {lang for lang, *_ in counts}
+    assert len(languages) == 4
+    for lang in languages:
+        caught, missed = counts[lang, 1, 1], counts.get((lang, 1, 0), 0)
+        assert caught >= 0.8 * (caught + missed), lang
+        assert counts.get((lang, 0, 1), 0) <= 0.05 * counts[lang, 0, 0], lang
+
+
+def test_long_chains_are_passed_whole():
+    rng = np.random.default_rng(2)
+    odds, moves = np.exp(rng.normal(size=10_000)), np.array([[0.9, 0.1], [0.4, 0.6], [0.8, 0.2]])
+    starts, sizes = np.array([0]), np.array([10_000])
+    whole = toxicity.marginals(odds, starts, sizes, moves)
+    # the same in log space by plain recurrences
+    ahead, after = np.zeros((10_000, 2)), np.zeros((10_000, 2))
+    emit = np.stack([np.zeros(10_000), np.log(odds)], axis=1)
+    ahead[0] = np.log(moves[2]) + emit[0]
+    for t in range(1, 10_000):
+        ahead[t] = np.logaddexp.reduce(ahead[t - 1][:, None] + np.log(moves[:2]), axis=0) + emit[t]
+        ahead[t] -= ahead[t].max()
+    for t in range(9_998, -1, -1):
+        after[t] = np.logaddexp.reduce(np.log(moves[:2]) + (emit[t + 1] + after[t + 1])[None, :], axis=1)
+        after[t] -= after[t].max()
+    both = ahead + after
+    assert np.allclose(whole, 1 / (1 + np.exp(both[:, 0] - both[:, 1])))
+    assert (toxicity.chains(np.zeros(10_000, dtype=bool))[1] == [10_000]).all()
+
+
+def test_signs_of_very_long_words_and_late_words_teach(spark):
+    bad = "zorbix" + "x" * 80
+    filler = " ".join(f"w{k}" for k in range(6000))
+    rows = [(k, f"{filler} {bad if k % 3 == 0 else 'plain'} end {k}", int(k % 3 == 0)) for k in range(90)]
+    labelled = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    tagger = toxicity.fit(labelled.drop("toxic"), labelled.drop("text"))
+    found = {r.doc_id: r for r in toxicity.score(labelled, tagger).collect()}
+    assert all((found[k].score >= 0.7) == (k % 3 == 0) for k in range(90))
+    assert [labelled.first().text[s.start:s.end] for s in found[0].toxic_spans] == [bad]
 
 
 def test_toxic_words_are_located(spark):
@@ -137,9 +173,6 @@ def test_toxicity_takes_odd_rows(spark):
         found = toxicity.score(odd, tagger).collect()
         assert len(found) == 10 and all(0 <= r.score < 0.7 for r in found)
     assert toxicity.score(no_documents(spark), toxicity.Tagger()).count() == 0
-    ends = np.zeros(10_000, dtype=bool)
-    starts, sizes = toxicity.chains(ends)
-    assert sizes.sum() == 10_000 and sizes.max() == toxicity.LONGEST_CHAIN
 
 
 # -- near-duplicates
@@ -379,12 +412,33 @@ def test_stages_take_odd_rows(spark):
         assert not rows or list(rows[0].asDict()) == odd.columns
         assert stage(spark, no_documents(spark), SMALL).columns == odd.columns
         assert stage(spark, no_documents(spark), SMALL).count() == 0
-    # no letter: four rows; nothing toxic; one copy; nothing personal
-    assert sizes == [6, 10, 9, 10]
+    # no letter: four rows; nothing toxic; two copies of one text; nothing personal
+    assert sizes == [6, 10, 8, 10]
     assert LONG in {r.text for r in rows}
     assert corpus_pipeline.STAGES[-1][1](spark, no_documents(spark), SMALL).count() == 0
 
 
+def test_one_row_of_equal_texts_stays(spark):
+    text, other = "one two three four five six seven", "eight nine ten eleven twelve thirteen"
+    rows = [(3, text)] * 5 + [(None, text)] * 3 + [(3, other), (4, other), (None, None), (None, None), (5, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    drop = dict(corpus_pipeline.STAGES)["near_duplicates"]
+    kept = sorted((tuple(r) for r in drop(spark, docs, SMALL).collect()), key=repr)
+    assert kept == sorted([(3, text), (3, other), (None, None), (None, None), (5, "")], key=repr)
+
+
+def test_texts_in_no_language_go(spark):
+    rng = random.Random(3)
+    known = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    junk = ["".join(rng.choice("0123456789abcdef") for _ in range(800)),
+            "".join(rng.choice("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/") for _ in range(800))]
+    more = spark.createDataFrame([(10 ** 9 + k, t, None, "s", len(t)) for k, t in enumerate(junk)], known.schema)
+    identify = dict(corpus_pipeline.STAGES)["language"]
+    kept = identify(spark, known.unionByName(more), "/root/testdata/sf0.01")
+    assert kept.where("doc_id >= 1000000000").count() == 0
+    assert kept.count() >= 0.999 * known.where(r"text rlike '\\p{L}'").count()
+
+
 @pytest.mark.parametrize("name", list(QUERIES))
 def test_every_query_runs(spark, name):
     frame = QUERIES[name](spark, SMALL)

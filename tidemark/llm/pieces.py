@@ -256,4 +256,4 @@ def encode_texts(df: DataFrame, model_path: str, text: str = "text", keep: list[
         return work
 
     fields = [StructField("ids", BinaryType()), StructField("decoded", StringType())]
-    return map_rows(df, [text], fields, start, keep)
+    return map_rows(df, [text], fields, start, keep, "pieces")

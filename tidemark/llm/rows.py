@@ -19,12 +19,12 @@ Work = Callable[..., Sequence[pa.Array]]
 
 
 def map_rows(df: DataFrame, reads: Sequence[str], adds: Sequence[StructField], start: Callable[[], Work],
-             keep: Sequence[str] | None = None) -> DataFrame:
+             keep: Sequence[str] | None = None, store: str | None = None) -> DataFrame:
     """Append the columns ``adds``, computed from the columns ``reads`` batch by batch.
 
     ``start`` runs once per task and returns the function from Arrow arrays to Arrow arrays. ``keep``
     names the input columns that stay (all by default); one that has the name of an added column is
-    replaced by it.
+    replaced by it. ``store`` names the ``worker_store`` that ``start`` uses, if any; others are emptied.
     """
     added = {field.name.lower() for field in adds}
     kept = [c for c in (df.columns if keep is None else keep) if c.lower() not in added]
@@ -33,10 +33,15 @@ def map_rows(df: DataFrame, reads: Sequence[str], adds: Sequence[StructField], s
     names = [*kept, *(field.name for field in adds)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        if store is None:
+            forget_stores()
         work = start()
         for batch in batches:
             made = work(*[batch.column(i) for i in inputs])
             yield pa.RecordBatch.from_arrays([*(batch.column(i) for i in places), *made], names=names)
+            del batch, made
+        # what Arrow holds back for reuse counts as this worker's memory while other operators run
+        pa.default_memory_pool().release_unused()
 
     schema = StructType([*(df.schema[c] for c in kept), *adds])
     return df.select(*[F.col(f"`{c}`") for c in taken]).mapInArrow(run, schema)
@@ -56,12 +61,20 @@ def ship(spark: SparkSession, value: Any) -> Callable[[], Any]:
     return lambda: pickle.loads(sent.value)
 
 
+def forget_stores(but: str | None = None) -> None:
+    """Drop what earlier operators keep in this Python worker, but for the one named."""
+    for key in [k for k in sys.modules if k.startswith("_tidemark_worker_") and k != but]:
+        del sys.modules[key]
+
+
 def worker_store(name: str) -> dict[str, Any]:
     """A dictionary that lives as long as the Python worker, over all tasks it runs.
 
-    Task functions are pickled by value, so their own globals end with the task; a module entry does not.
+    Task functions are pickled by value, so their own globals end with the task; a module entry does not. A
+    worker serves many operators in turn: it keeps the dictionary of one at a time, so what an earlier one left is freed.
     """
     key = f"_tidemark_worker_{name}"
+    forget_stores(key)
     if key not in sys.modules:
         module = types.ModuleType(key)
         module.store = {}

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
+from collections import Counter
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -14,7 +16,6 @@ from pyspark.sql.types import (
     ArrayType,
     DoubleType,
     IntegerType,
-    LongType,
     StringType,
     StructField,
     StructType,
@@ -24,14 +25,14 @@ from tidemark.llm.boosting import sigmoid
 from tidemark.llm.rows import Recent, map_rows, ship, texts_of, unit_hash, worker_store
 from tidemark.session import durable
 
-# fitted on about so many documents of each label, on at most so many sentences of theirs, and on at
-# most so many signs (words and word beginnings) that tell toxic documents apart
+# fitted on about so many documents of each label, on at most so many sentences of theirs (longer ones in pieces), and on
+# at most so many signs (words and word beginnings) that tell toxic documents apart
 PER_LABEL = {1: 2000, 0: 6000}
-FIT_SENTENCES, FIT_SIGNS = 30_000, 20_000
+FIT_SENTENCES, FIT_PIECE, FIT_SIGNS = 30_000, 256, 20_000
 SURE = 14.0  # log likelihood ratio from which a sign's share of toxic documents is no accident
-OFTENER = 15  # times as often as in clean documents
+OFTENER = 15  # times as often as in clean documents, by damped counts of its occurrences
 SLOTS = 1 << 16
-LONGEST_CHAIN = 4096
+STEPWISE = 512  # tokens up to which chains are passed side by side; longer ones one by one
 LEAST = 0.05  # smaller marginals do not count towards a document
 SPAN_FROM = 0.5
 
@@ -61,11 +62,16 @@ def marginals(odds: np.ndarray, starts: np.ndarray, sizes: np.ndarray, moves: np
     ``moves[2]`` that of the first states. Both passes carry the odds of the two states, which stay
     within the range of ``moves``, so nothing overflows however long a chain is.
     """
+    result = np.zeros(len(odds))
+    long = sizes > STEPWISE
+    for start, size in zip(starts[long].tolist(), sizes[long].tolist()):
+        result[start:start + size] = _one_chain(odds[start:start + size].tolist(), moves)
+    starts, sizes = starts[~long], sizes[~long]
     order = np.argsort(-sizes, kind="stable")
     begins, lengths = starts[order], sizes[order]
-    forward, result = np.empty(len(odds)), np.zeros(len(odds))
     if not len(lengths):
         return result
+    forward = np.empty(len(odds))
     active = np.searchsorted(-lengths, -np.arange(lengths[0]), side="left")  # chains longer than each step
     state = np.full(len(lengths), moves[2, 1] / moves[2, 0])
     for t in range(lengths[0]):
@@ -87,15 +93,28 @@ def marginals(odds: np.ndarray, starts: np.ndarray, sizes: np.ndarray, moves: np
     return result
 
 
+def _one_chain(odds: list[float], moves: np.ndarray) -> list[float]:
+    """``marginals`` of a single chain, token by token: time linear in a sentence of any length."""
+    (clean, enter), (leave, stay), (first_clean, first_toxic) = moves.tolist()
+    state, forward = first_toxic / first_clean * odds[0], []
+    forward.append(state)
+    for value in odds[1:]:
+        state = (enter + stay * state) / (clean + leave * state) * value
+        forward.append(state)
+    back, chances = 1.0, []
+    for state, value in zip(reversed(forward), reversed(odds)):
+        both = state * back
+        chances.append(both / (1 + both))
+        ahead = value * back
+        back = (leave + stay * ahead) / (clean + enter * ahead)
+    return chances[::-1]
+
+
 def chains(ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Starts and sizes of the stretches between ends; a stretch over ``LONGEST_CHAIN`` is cut in order."""
+    """Starts and sizes of the stretches between ends."""
     places = np.flatnonzero(ends)
     starts = np.concatenate([[0], places + 1])
     sizes = np.concatenate([places, [len(ends)]]) - starts
-    if len(sizes) and sizes.max() > LONGEST_CHAIN:
-        pieces = [(s + k, min(LONGEST_CHAIN, n - k)) for s, n in zip(starts.tolist(), sizes.tolist())
-                  for k in range(0, n, LONGEST_CHAIN)]
-        starts, sizes = (np.array(c) for c in zip(*pieces))
     kept = sizes > 0
     return starts[kept], sizes[kept]
 
@@ -107,7 +126,7 @@ class Tagger:
         self.weights = np.zeros(SLOTS, dtype=np.float32)
         self.bias = -8.0
         self.moves = np.ones((3, 2))
-        self.readout = np.array([0.0, 6.0, -4.0])  # of the log sum, of the greatest marginal, constant
+        self.readout = np.array([0.0, 6.0, 0.0, -4.0])  # of the log sum, greatest and share of marginals, and constant
 
     def odds_of(self, word: str) -> float:
         total = self.bias + float(self.weights[token_features(word)].sum())
@@ -204,8 +223,9 @@ def _weighed(texts: list[str], odds_of, cache: Recent) -> tuple[np.ndarray, np.n
     return odds, odds < 0, counts
 
 
-def assess(texts: list[str], tagger: Tagger, cache: Recent) -> Iterator[tuple[float, float, np.ndarray]]:
-    """For each text the log sum of its marginals, the greatest one, and all of them by token."""
+def assess(texts: list[str], tagger: Tagger, cache: Recent) -> Iterator[tuple[float, float, float, np.ndarray]]:
+    """For each text the log sum of its marginals, the greatest one, the root of their share of its words, and all of them
+    by token."""
     if not texts:
         return
     odds, ends, counts = _weighed(texts, tagger.odds_of, cache)
@@ -216,8 +236,10 @@ def assess(texts: list[str], tagger: Tagger, cache: Recent) -> Iterator[tuple[fl
     bounds = np.concatenate([[0], np.cumsum(counts)])
     sums = np.add.reduceat(counted, bounds[:-1])
     tops = np.maximum.reduceat(chance, bounds[:-1])
+    words = np.add.reduceat((~ends).astype(np.int64), bounds[:-1])
+    shares = np.sqrt(sums / (words + 5))  # a word or two of a short text are no large share
     for k in range(len(texts)):
-        yield float(np.log1p(sums[k])), float(tops[k]), chance[bounds[k]:bounds[k + 1] - 1]
+        yield float(np.log1p(sums[k])), float(tops[k]), float(shares[k]), chance[bounds[k]:bounds[k + 1] - 1]
 
 
 def _slices(texts: list[str]) -> Iterator[list[str]]:
@@ -234,6 +256,8 @@ def _slices(texts: list[str]) -> Iterator[list[str]]:
         yield part
 
 
+COUNTED = StructType([StructField("sign", StringType()), *(
+    StructField(name, DoubleType()) for name in ("clean", "toxic", "clean_times", "toxic_times"))])
 SENTENCES = StructType([StructField("words", ArrayType(StringType())), StructField("labels", ArrayType(IntegerType()))])
 
 
@@ -241,9 +265,11 @@ def fit(documents: DataFrame, labels: DataFrame, text: str = "text", label: str
     """Label tokens by what sets toxic documents apart, fit the field to them, and the readout to documents.
 
     All on a sample by a hash of the key, of about ``PER_LABEL`` documents of each label; a document with
-    two labels is toxic. A sign is taken for toxic if toxic documents have it ``OFTENER`` and more often
-    than chance explains (``SURE``); the tokens with such a sign in toxic documents are the labelled ones.
-    Without toxic documents nothing is toxic.
+    two labels is toxic. A sign is taken for toxic if more toxic documents have it than chance explains (``SURE``) and it
+    occurs ``OFTENER`` times as often in them, each document counting the logarithm of its occurrences: a word
+    that clean texts of a language have now and then is told by how often the toxic ones have it, and no single
+    text decides. The tokens with such a sign in toxic documents are the labelled ones. Without toxic
+    documents nothing is toxic.
     """
     spark = documents.sparkSession
     marks = labels.select(key, F.col(label).cast("int").alias("label")).where(F.col("label").isin(0, 1) & F.col(key).isNotNull())
@@ -255,25 +281,32 @@ def fit(documents: DataFrame, labels: DataFrame, text: str = "text", label: str
     # the chosen keys are few at any size of the tables, so the texts need no shuffle
     chosen = F.broadcast(marks.where(unit_hash(key) < chance).limit(2 * sum(PER_LABEL.values())))
     sample = durable(documents.select(key, text).join(chosen, key).select(text, "label"))
-    toxic, clean = min(PER_LABEL[1], sizes[1]), min(PER_LABEL[0], sizes[0])
 
     def count_signs(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            seen: dict[str, list[int]] = {}
+            seen: dict[str, list[float]] = {}
+            total = [0, 0]
             for one, mark in zip(texts_of(batch.column(0)), batch.column(1).to_pylist()):
-                for sign in {s for w in {w.lower() for w in WORD.findall(one)} if len(w) < 64 for s in signs(w)}:
-                    seen.setdefault(sign, [0, 0])[mark] += 1
+                total[mark] += 1
+                for sign, n in Counter(s for w in WORD.findall(one.lower()) for s in signs(w)).items():
+                    held = seen.setdefault(sign, [0, 0, 0.0, 0.0])
+                    held[mark] += 1
+                    held[2 + mark] += math.log2(1 + n)
+            seen[""] = [*total, 0.0, 0.0]  # no sign: all documents
             yield pa.RecordBatch.from_arrays(
-                [pa.array(list(seen), pa.string()), *(pa.array([v[k] for v in seen.values()], pa.int64()) for k in (0, 1))],
-                names=["sign", "clean", "toxic"])
+                [pa.array(list(seen), pa.string()), *(pa.array([float(v[k]) for v in seen.values()], pa.float64()) for k in range(4))],
+                names=COUNTED.names)
 
-    counted = sample.mapInArrow(count_signs, StructType(
-        [StructField("sign", StringType()), StructField("clean", LongType()), StructField("toxic", LongType())]))
-    share, has, lacks = toxic / (toxic + clean), F.col("toxic"), F.col("clean")
+    counted = sample.mapInArrow(count_signs, COUNTED).groupBy("sign").agg(*[F.sum(c).alias(c) for c in COUNTED.names[1:]])
+    counted = durable(counted)
+    totals = counted.where("sign = ''").select("clean", "toxic").first()
+    if totals is None or not totals.toxic or not totals.clean:
+        return Tagger()
+    share, has, lacks = totals.toxic / (totals.toxic + totals.clean), F.col("toxic"), F.col("clean")
     ratio = (has * F.log(has / (share * (has + lacks)))
              + F.when(lacks > 0, lacks * F.log(lacks / ((1 - share) * (has + lacks)))).otherwise(0))
-    telling = (counted.groupBy("sign").agg(F.sum("clean").alias("clean"), F.sum("toxic").alias("toxic"))
-               .where((has > 0) & (lacks * toxic * OFTENER <= has * clean) & (ratio >= SURE))
+    oftener = F.col("clean_times") * totals.toxic * OFTENER <= F.col("toxic_times") * totals.clean
+    telling = (counted.where((F.col("sign") != "") & (has > 0) & oftener & (ratio >= SURE))
                .orderBy(F.desc("toxic"), "sign").limit(FIT_SIGNS))
     # a word beginning needs no place of its own where the words say the same; both may teach
     known = ship(spark, frozenset(r[0] for r in telling.select("sign").collect()))
@@ -284,11 +317,13 @@ def fit(documents: DataFrame, labels: DataFrame, text: str = "text", label: str
             lines, marks = [], []
             for one, mark in zip(texts_of(batch.column(0)), batch.column(1).to_pylist()):
                 for sentence in re.split(r"[.!?\n]", one):
-                    words = WORD.findall(sentence)[:LONGEST_CHAIN]
-                    tags = [int(mark and any(s in telling_signs for s in signs(w.lower()))) for w in words]
-                    if words and (any(tags) or zlib.crc32(sentence.encode("utf-8", "surrogatepass")) % 16 == 0):
-                        lines.append(words)
-                        marks.append(tags)
+                    every = WORD.findall(sentence)
+                    for begin in range(0, len(every), FIT_PIECE):
+                        words = every[begin:begin + FIT_PIECE]
+                        tags = [int(mark and any(s in telling_signs for s in signs(w.lower()))) for w in words]
+                        if any(tags) or zlib.crc32(" ".join(words).encode("utf-8", "surrogatepass")) % 16 == 0:
+                            lines.append(words)
+                            marks.append(tags)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(lines, pa.list_(pa.string())), pa.array(marks, pa.list_(pa.int32()))], names=["words", "labels"])
 
@@ -299,24 +334,21 @@ def fit(documents: DataFrame, labels: DataFrame, text: str = "text", label: str
     def read(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cache = Recent(1 << 17)
         for batch in batches:
-            found = [a[:2] for part in _slices(texts_of(batch.column(0))) for a in assess(part, tagger, cache)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([f[0] for f in found], pa.float64()), pa.array([f[1] for f in found], pa.float64()),
-                 batch.column(1)], names=["total", "top", "label"])
-
-    seen = sample.mapInArrow(read, StructType([
-        StructField("total", DoubleType()), StructField("top", DoubleType()), StructField("label", IntegerType())])
-    ).orderBy("total", "top", "label").collect()
-    if not seen:
-        return tagger
-    x = np.array([[r.total, r.top, 1.0] for r in seen])
+            found = [a[:3] for part in _slices(texts_of(batch.column(0))) for a in assess(part, tagger, cache)]
+            yield pa.RecordBatch.from_arrays([*(pa.array([f[k] for f in found], pa.float64()) for k in range(3)), batch.column(1)],
+                                             names=["total", "top", "share", "label"])
+
+    schema = StructType([*(StructField(c, DoubleType()) for c in ("total", "top", "share")), StructField("label", IntegerType())])
+    seen = sample.mapInArrow(read, schema).orderBy("total", "top", "share", "label").collect()
+    x = np.array([[r.total, r.top, r.share, 1.0] for r in seen])
     y = np.array([r.label for r in seen], dtype=float)
-    weights = np.array([0.0, 1.0, -1.0])
+    scale = np.array([*np.maximum(x[:, :3].std(axis=0), 1e-6), 1.0])  # so that the penalty weighs all alike
+    x, weights = x / scale, np.zeros(4)
     for _ in range(60):
         p = sigmoid(x @ weights)
-        hessian = (x * (p * (1 - p))[:, None]).T @ x + 0.5 * np.eye(3)
-        weights -= np.clip(np.linalg.solve(hessian, x.T @ (p - y) + 0.5 * weights), -1, 1)
-    tagger.readout = weights
+        hessian = (x * (p * (1 - p))[:, None]).T @ x + 0.1 * np.eye(4)
+        weights -= np.clip(np.linalg.solve(hessian, x.T @ (p - y) + 0.1 * weights), -1, 1)
+    tagger.readout = weights / scale
     return tagger
 
 
@@ -345,7 +377,7 @@ def score(df: DataFrame, tagger: Tagger, text: str = "text", keep: list[str] | N
 
     A null, empty or wordless text has the score of a text without any toxic token. Each row gives one
     row, repeated rows too; input columns with the added names are replaced; an empty table gives an
-    empty one. Sentences are the chains; one of more than ``LONGEST_CHAIN`` tokens is several in a row.
+    empty one. Sentences are the chains, whole however long they are.
     """
     model = ship(df.sparkSession, tagger)
 
@@ -354,17 +386,17 @@ def score(df: DataFrame, tagger: Tagger, text: str = "text", keep: list[str] | N
         store = worker_store("toxicity")
         mark = zlib.crc32(tagger.weights.tobytes())
         if store.get("mark") != mark:
-            store["cache"], store["mark"] = Recent(1 << 19), mark
+            store["cache"], store["mark"] = Recent(1 << 17), mark
         cache, readout = store["cache"], tagger.readout
 
         def work(column: pa.Array) -> list[pa.Array]:
             scores, spans = [], []
             for part in _slices(texts_of(column)):
-                for one, (total, top, chance) in zip(part, assess(part, tagger, cache)):
-                    scores.append(float(sigmoid(np.array([total, top, 1.0]) @ readout)))
+                for one, (total, top, share, chance) in zip(part, assess(part, tagger, cache)):
+                    scores.append(float(sigmoid(np.array([total, top, share, 1.0]) @ readout)))
                     spans.append(_spans(one, chance) if top >= SPAN_FROM else [])
             return [pa.array(scores, pa.float64()), pa.array(spans, ARROW_SPANS)]
 
         return work
 
-    return map_rows(df, [text], [StructField("score", DoubleType()), StructField("toxic_spans", SPANS)], start, keep)
+    return map_rows(df, [text], [StructField("score", DoubleType()), StructField("toxic_spans", SPANS)], start, keep, "toxicity")
