@@ -5,9 +5,13 @@ from __future__ import annotations
 import re
 import tempfile
 import uuid
+from collections.abc import Callable, Iterable
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.sources.paths import remove
+
 RUNTIME_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -25,6 +29,10 @@ RUNTIME_SETTINGS = {
 }
 
 
+# the folders that are made within ``settle``
+_MADE: ContextVar[list[str] | None] = ContextVar("made", default=None)
+
+
 def configure(spark: SparkSession) -> SparkSession:
     """Set the runtime options this library relies on; cluster sizing is left to the cluster."""
     for key, value in RUNTIME_SETTINGS.items():
@@ -67,5 +75,34 @@ def durable(df: DataFrame) -> DataFrame:
     its size is known to the planner.
     """
     path = scratch_path(df.sparkSession, "durable")
+    made = _MADE.get()
+    if made is not None:
+        made.append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def settle(build: Callable[[], DataFrame]) -> DataFrame:
+    """Build a frame, write it, and remove the tables that ``durable`` made on the way: only the result's own folder is left.
+
+    What ``build`` returns must not be used by frames made elsewhere; their files would be gone.
+    """
+    made: list[str] = []
+    token = _MADE.set(made)
+    try:
+        frame = build()
+    finally:
+        _MADE.reset(token)
+    result = durable(frame)
+    for path in made:
+        remove(frame.sparkSession, path)
+    return result
+
+
+def discard(spark: SparkSession, frames: Iterable[DataFrame]) -> None:
+    """Remove the folders of frames that ``durable`` gave, when nothing reads them any more."""
+    root = f"{shared_dir(spark)}/tidemark/durable-"
+    for frame in frames:
+        for folder in {file.rsplit("/", 1)[0] for file in frame.inputFiles()}:
+            if "/tidemark/durable-" in folder:
+                remove(spark, f"{root}{folder.rsplit('/tidemark/durable-', 1)[1]}")
