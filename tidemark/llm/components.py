@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.session import durable
+from tidemark.session import discard, durable
 
 
 def connected(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
@@ -28,7 +28,8 @@ def connected(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         joined = large.join(least, "u")
         small = (joined.where("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
                  .unionByName(least.select("u", F.col("m").alias("v"))).distinct())
-        edges = durable(small)
+        done, edges = edges, durable(small)
+        discard(edges.sparkSession, [done, large])
         before, mark = mark, _mark(edges)
         if mark == before:
             break

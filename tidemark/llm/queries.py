@@ -24,7 +24,7 @@ from tidemark.llm.toxicity import fit as fit_toxicity
 from tidemark.llm.toxicity import score as score_toxicity
 from tidemark.llm.vectors import nearest_vectors, similar_vectors
 from tidemark.llm.warc import page_records, read_archives, write_archives
-from tidemark.session import configure, durable, scratch_path
+from tidemark.session import configure, durable, scratch_path, settle
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -54,17 +54,18 @@ def chat(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def near_duplicate_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Class of near-duplicates of each document."""
-    return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return settle(lambda: near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text")))
 
 
 def near_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Links and components of all vectors at a cosine of 0.9 or more."""
-    return similar_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+    return settle(lambda: similar_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding")))
 
 
 def nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five nearest vectors of every fiftieth one."""
-    return nearest_vectors(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), F.col("vec_id") % 50 == 0)
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    return settle(lambda: nearest_vectors(vectors, F.col("vec_id") % 50 == 0))
 
 
 def html(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -171,7 +172,7 @@ def negative_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "embeddings").where(finite).select(
         "vec_id", F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")).alias("label"),
         F.transform("embedding", lambda x: F.floor(256 * x.cast("double"))).alias("embedding"))
-    return hard_negatives(rows, F.col("vec_id") % 50 == 0)
+    return settle(lambda: hard_negatives(rows, F.col("vec_id") % 50 == 0))
 
 
 def archives(spark: SparkSession, sf_dir: str) -> DataFrame:
