@@ -12,7 +12,8 @@ from tidemark.llm import language, pii, toxicity
 from tidemark.llm.darts import near_duplicates
 from tidemark.llm.packing import pack
 from tidemark.llm.rows import crc_bucket
-from tidemark.session import configure, durable
+from tidemark.operators.lookup import broadcast_if_small
+from tidemark.session import configure, discard, durable, settle
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -63,24 +64,36 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each class of near-duplicates, the one with the smallest id.
 
-    Rows are told apart by a number of their own, not by ``doc_id``: of rows that repeat an id or have none, one
-    of each class stays, too; null ids come last, and of rows with the same id and class any one stays. Texts
-    without a word (null and empty ones) are classes of their own and all stay.
+    Rows whose id is null or repeated are told apart by a number of their own: of these, too, one of each class stays; null
+    ids come last, and of rows with the same id and class any one stays. Texts without a word (null and empty
+    ones) are classes of their own and all stay. Only rows of null and repeated ids are written to be numbered.
     """
     configure(spark)
-    # the numbering is fixed by being written
-    numbered = durable(docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(ROW),
-                                   F.monotonically_increasing_id().alias("doc_id")))
-    rows = numbered.select("doc_id", F.col(f"{ROW}.text").alias("text"))
-    classes = durable(near_duplicates(rows).select("doc_id", "class_id"))
-    shared = classes.groupBy("class_id").count().where("count > 1").select("class_id")
-    members = classes.join(shared, "class_id").join(
-        numbered.select("doc_id", F.col(f"{ROW}.doc_id").alias("id")), "doc_id").withColumn(
-        "place", F.struct(F.col("id").isNull().alias("unnamed"), "id", "doc_id"))
-    members = durable(members.select("doc_id", "class_id", "place"))
-    first = members.groupBy("class_id").agg(F.min("place").alias("first")).select(F.col("first.doc_id").alias("doc_id"))
-    others = members.join(first, "doc_id", "left_anti").select("doc_id")
-    return numbered.join(others, "doc_id", "left_anti").select([F.col(f"{ROW}.`{c}`").alias(c) for c in docs.columns])
+    columns = [F.col(f"{ROW}.`{c}`").alias(c) for c in docs.columns]
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(ROW), F.col("doc_id").cast("long").alias("key"))
+    odd_keys = durable(whole.groupBy("key").count().where("count > 1 or key is null").select("key"))
+    plain = whole.where("key is not null").join(broadcast_if_small(odd_keys.where("key is not null")), "key", "left_anti")
+    keyed = plain.select("key", ROW)
+    if not odd_keys.isEmpty():
+        repeated = whole.join(broadcast_if_small(odd_keys.where("key is not null")), "key", "left_semi").select(ROW)
+        odd = repeated.unionByName(whole.where("key is null").select(ROW))
+        least, most = whole.agg(F.min("key"), F.max("key")).first()
+        # numbers that no id has, fixed by being written
+        number = F.monotonically_increasing_id()
+        fresh = F.lit((most or 0) + 1) + number if (most or 0) < 1 << 62 else F.lit(least - 1) - number
+        keyed = keyed.unionByName(durable(odd.select(fresh.alias("key"), ROW)))
+
+    def classes() -> DataFrame:
+        found = near_duplicates(keyed.select("key", F.col(f"{ROW}.text").alias("text")), key="key")
+        shared = found.groupBy("class_id").count().where("count > 1").select("class_id")
+        members = found.join(shared, "class_id").select(F.col("doc_id").alias("key"), "class_id")
+        named = keyed.select("key", F.col(f"{ROW}.doc_id").alias("id"))
+        return members.join(named, "key").select("key", "class_id", F.struct(F.col("id").isNull().alias("unnamed"), "id", "key").alias("place"))
+
+    members = settle(classes)
+    first = members.groupBy("class_id").agg(F.min("place").alias("first")).select(F.col("first.key").alias("key"))
+    others = durable(members.join(first, "key", "left_anti").select("key"))
+    return keyed.join(others, "key", "left_anti").select(columns)
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -115,7 +128,9 @@ ORACLE_SQL: str | None = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply all stages; each one's result is written to the shared folder and read by the next."""
-    docs = configure(spark).read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet")
+    docs, held = configure(spark).read.parquet(f"{sf_dir.rstrip('/')}/documents.parquet"), []
     for _, stage in STAGES[:-1]:
         docs = durable(stage(spark, docs, sf_dir))
+        discard(spark, held)  # this stage's input, unless it was the table itself
+        held = [docs]
     return STAGES[-1][1](spark, docs, sf_dir)
