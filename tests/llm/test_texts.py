@@ -1,5 +1,6 @@
 """Piece encoding, packing, chat, HTML and personal data against libraries, brute force and round trips."""
 
+import random
 import re
 import zlib
 
@@ -300,6 +301,111 @@ def test_tags_without_a_name_do_not_end_the_page(page, text):
     assert html.main_text(page) == text
 
 
+def test_a_form_around_the_page_is_the_page():
+    a = paragraphs("a", 4, 300)
+    page = f"<body><form id=aspnetForm><div class=menu>Menu</div><div>{joined(a)}</div><input value=x></form></body>"
+    assert html.main_text(page).split("\n") == a
+    page = f"<body><div>{joined(a)}</div><form><p>Your name please</p><input></form></body>"
+    assert html.main_text(page).split("\n") == a
+
+
+def test_names_of_running_text_and_of_replies():
+    a = paragraphs("a", 3, 300)
+    page = (f"<body><main>{joined(a)}<p class=social>On social life.</p><blockquote class='alert'>Quoted.</blockquote></main>"
+            f"<div class=reply>{joined(a)}</div><p>Copyright 2024 Some Firm, all rights reserved</p></body>")
+    assert html.main_text(page).split("\n") == [*a, "On social life.", "Quoted."]
+
+
+def plain_main_text(page):
+    """The method told recursively over the same tree, for pages without named boxes."""
+    root = html.parse(page)
+
+    def inner(node):
+        return [p for p in node.parts if not isinstance(p, str) and not p.beside]
+
+    def chars(node):
+        return sum(len(" ".join(p.split())) for p in node.parts if isinstance(p, str)) + sum(map(chars, inner(node)))
+
+    def tags(node):
+        return sum(1 + tags(c) for c in inner(node))
+
+    def links(node, linked=False):
+        linked = linked or node.tag == "a"
+        if linked:
+            return chars(node), tags(node)
+        below = [(links(c), c.tag == "a") for c in inner(node)]
+        return sum(b[0] for b, _ in below), sum(b[1] + is_link for b, is_link in below)
+
+    def every(node):
+        return [node] + [n for c in inner(node) for n in every(c)]
+
+    body = next((n for n in every(root) if n.tag == "body"), root)
+    ratio = links(body)[0] / max(chars(body), 1)
+
+    def own(node):
+        return html.density(chars(node), tags(node), *links(node), ratio)
+
+    def without_links(node):
+        return html.density(chars(node), tags(node), 0, 0, 0.0)
+
+    core = max(every(body), key=lambda n: sum(map(own, inner(n))))
+    path = []
+    node = core
+    while node is not body:
+        path.append(node)
+        node = node.parent
+    path.append(body)
+    least = min(map(own, path))
+    lines = []
+
+    def tell(node, whole):
+        if whole or node is core:
+            lines.extend(t for t in (" ".join(x.split()) for x in flat(node)) if t)
+            return
+        if node not in path and (own(node) >= least or own(node) >= 0.12 * without_links(node)) and own(node) > 0:
+            tell(node, True)
+            return
+        for child in inner(node):
+            tell(child, False)
+
+    def flat(node):
+        texts = [p for p in node.parts if isinstance(p, str)]
+        return ["".join(texts)] if not inner(node) else [
+            t for p in node.parts for t in ([p] if isinstance(p, str) else flat(p))]
+
+    tell(body, False)
+    return "\n".join(lines)
+
+
+def made_page(rng):
+    """A tree of boxes whose leaves are paragraphs, or list items that hold nothing but a link."""
+    def box(depth):
+        if depth == 0 or rng.random() < 0.3:
+            if rng.random() < 0.4:
+                return "<ul>" + "".join(f"<li><a>link {rng.randrange(99)}</a></li>" for _ in range(rng.randint(1, 9))) + "</ul>"
+            return joined(paragraphs("p", rng.randint(1, 4), rng.choice([30, 100, 400])))
+        return "<div>" + "".join(box(depth - 1) for _ in range(rng.randint(1, 3))) + "</div>"
+    return "<body>" + box(3) + box(2) + "</body>"
+
+
+def test_main_text_equals_the_plain_method():
+    rng = random.Random(8)
+    for _ in range(300):
+        page = made_page(rng)
+        if "<p>" in page:
+            assert html.main_text(page) == plain_main_text(page), page
+
+
+def test_densities_decide(monkeypatch):
+    rng = random.Random(9)
+    pages = [p for p in (made_page(rng) for _ in range(100)) if "<p>" in p]
+    before = [html.main_text(p) for p in pages]
+    measured = html.density
+    for scrambled in (lambda *a: 1000 / (1 + measured(*a)), lambda c, t, lc, lt, r: 1.0 + hash((c, t, lc, lt)) % 97):
+        monkeypatch.setattr(html, "density", scrambled)
+        assert sum(a != html.main_text(p) for a, p in zip(before, pages)) > 30
+
+
 def test_extract_text_takes_odd_rows(spark):
     rows = spark.createDataFrame([(1, None, "k"), (2, "", "k"), (2, "", "k"), (None, "<p>a&nbsp; b</p>", "k")],
                                  "page_id long, html string, TEXT string")
@@ -415,6 +521,39 @@ def test_proposals_are_linear_in_long_runs():
         assert len(pii.proposed_spans(unit * 2000)) <= 6 * 2000
 
 
+def test_choosing_is_linear_in_the_spans(spark):
+    import time
+    model = pii.fit(spark.createDataFrame([(1, "no number")], "doc_id long, text string"))
+    seconds = []
+    for n in (25_000, 100_000):
+        text = " ".join(f"+1 ({200 + k % 700}) 555-{k % 10_000:04d}" for k in range(n))
+        begin = time.perf_counter()
+        found = pii.choose(text, model, {**dict.fromkeys(pii.KINDS, 0.5), "email": 0.9})
+        seconds.append(time.perf_counter() - begin)
+        assert len(found) >= n
+    assert seconds[1] < 8 * seconds[0]
+
+
+def test_chosen_spans_do_not_overlap():
+    class Answers:
+        def probability(self, x):
+            return np.random.default_rng(len(x)).random(len(x))
+
+    text = "call +1 (555) 123-4567 5555 4444 3333 2222 1.2.3.4 190.137.223.204 +49 30 1234 5678 4111111111111111 12 34 " * 5
+    found = pii.choose(text, Answers(), 0.1)
+    base = [s for s in found if s[3]]
+    for one in found:
+        if not one[3]:
+            assert all(o is one or o[2] <= one[1] or o[1] >= one[2] for o in found)
+    spans = pii.proposed_spans(text)
+    scores = Answers().probability(np.zeros(len(spans)))
+    taken = [(s[1], s[2]) for s in base]
+    for p, s in sorted(((p, s) for p, s in zip(scores, spans) if not s.base and p >= 0.1), key=lambda x: (-x[0], x[1])):
+        if all(b <= s.start or a >= s.end for a, b in taken):
+            taken.append((s.start, s.end))
+    assert sorted(taken) == sorted((s[1], s[2]) for s in found)
+
+
 def test_personal_data_takes_odd_rows(spark):
     odd = odd_documents(spark)
     model = pii.fit(odd.select("doc_id", "text"))

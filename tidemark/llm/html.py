@@ -29,7 +29,7 @@ SCOPES = {"li": {"ul", "ol", "menu", "dir"}, "dt": {"dl"}, "dd": {"dl"}}
 TABLE_SCOPE = {"table"}
 # elements that never hold main text
 DROPPED = frozenset(
-    "script style noscript template nav footer aside form button select textarea iframe object svg canvas menu dialog "
+    "script style noscript template nav footer aside button select textarea iframe object svg canvas menu dialog "
     "audio video map head title input label fieldset noembed noframes".split())
 # words of a class, id or role that name what stands beside the article
 BESIDE = frozenset(
@@ -37,7 +37,10 @@ BESIDE = frozenset(
     "sidenav comment comments disqus respond cookie cookies consent gdpr notice notices alert popup modal overlay "
     "nav navbar navigation navigator menu breadcrumb breadcrumbs pagination pager footer masthead topbar toolbar share "
     "sharing social subscribe subscription newsletter signup login related recommended recirculation complementary "
-    "contentinfo search form widget skip disclaimer".split())
+    "contentinfo search form widget skip disclaimer reply replies commentlist".split())
+# elements of running text, whose names within an article say how they look
+TEXTUAL = frozenset("p blockquote pre h1 h2 h3 h4 h5 h6 span b i em strong a li td th q cite code".split())
+RIGHTS = re.compile(r"\s*(?:©|\(c\)|copyright\b)[^.]*\b\d{4}\b", re.IGNORECASE)
 # words behind such a name that only say what kind of box it is
 BOX = frozenset("container wrapper wrap area box inner outer left right top bottom section block".split())
 # words that say what an element has, not what it is
@@ -52,8 +55,8 @@ HIDDEN = re.compile(r"(?:^|\s)hidden(?:$|[\s=])|display\s*:\s*none|aria-hidden\s
 
 
 class Node:
-    __slots__ = ("tag", "parent", "parts", "beside", "named", "chars", "tags", "link_chars", "link_tags", "density", "sums",
-                 "blocky", "titled")
+    __slots__ = ("tag", "parent", "parts", "beside", "named", "chars", "tags", "link_chars", "link_tags", "density", "plain",
+                 "sums", "blocky", "titled")
 
     def __init__(self, tag: str, parent: Node | None, beside: bool, named: bool) -> None:
         self.tag, self.parent, self.beside, self.named = tag, parent, beside or named, named and not beside
@@ -72,10 +75,19 @@ def _is_beside(tag: str, attributes: str, parent: Node) -> bool:
     return tag not in ("html", "body") and tag not in ARTICLE and HIDDEN.search(attributes) is not None
 
 
-def _is_named_beside(tag: str, attributes: str) -> bool:
-    """Whether a class, id or role, as a whole or by its last word, names what stands beside the article."""
+def _is_named_beside(tag: str, attributes: str, parent: Node) -> bool:
+    """Whether a class, id or role, as a whole or by its last word, names what stands beside the article. A form is
+    named so by its tag."""
+    if tag == "form":
+        return True
     if not attributes or tag in ("html", "body") or tag in ARTICLE:
         return False
+    if tag in TEXTUAL:
+        node: Node | None = parent
+        while node is not None and node.tag not in ARTICLE:
+            node = node.parent
+        if node is not None:
+            return False
     for _, a, b, c in NAMED.findall(attributes):
         for value in (a or b or c).split():
             words = [w.lower() for w in WORD.findall(value)]
@@ -165,7 +177,7 @@ def parse(html: str) -> Node:
                     node = node.parent
                 if node is not root and node.tag in kinds:
                     open_ = node.parent
-        node = Node(tag, open_, _is_beside(tag, attributes, open_), _is_named_beside(tag, attributes))
+        node = Node(tag, open_, _is_beside(tag, attributes, open_), _is_named_beside(tag, attributes, open_))
         open_.parts.append(node)
         if tag in RAW:
             end = re.compile(f"</{tag}[^>]*>", re.IGNORECASE).search(html, at)
@@ -203,17 +215,24 @@ def _measure(root: Node) -> list[Node]:
     return order
 
 
-def _densities(order: list[Node], body: Node) -> None:
-    """Characters per tag, scaled down where links hold much of the text; and the children's sum."""
+def density(chars: int, tags: int, link_chars: int, link_tags: int, ratio: float) -> float:
+    """Characters per tag, scaled down where links hold much of the text; ``ratio`` is the page's share of links."""
+    tags = max(tags, 1)
+    plain = max(chars - link_chars, 1)
+    base = math.log(chars / plain * link_chars + ratio * chars + math.e)
+    scale = math.log(max(chars / max(link_chars, 1) * tags / max(link_tags, 1), 1.0))
+    return chars / tags * scale / math.log(max(base, 1.0 + 1e-9)) if base > math.e else chars / tags * scale
+
+
+def _densities(order: list[Node], body: Node) -> float:
+    """The density of each node, what it would be without links, and the sum of its children's; gives the page's
+    share of links."""
     ratio = body.link_chars / max(body.chars, 1)
     for node in reversed(order):
-        chars, tags = node.chars, max(node.tags, 1)
-        plain = max(chars - node.link_chars, 1)
-        base = math.log(chars / plain * node.link_chars + ratio * chars + math.e)
-        scale = math.log(max(chars / max(node.link_chars, 1) * tags / max(node.link_tags, 1), 1.0)) / math.log(
-            max(base, 1.0 + 1e-9)) if base > 1 else math.log(max(chars * tags, 1))
-        node.density = chars / tags * scale
+        node.density = density(node.chars, node.tags, node.link_chars, node.link_tags, ratio)
+        node.plain = density(node.chars, node.tags, 0, 0, 0.0)
         node.sums = sum(c.density for c in node.parts if not isinstance(c, str) and not c.beside)
+    return ratio
 
 
 def _blocks(node: Node, out: list[list[str]]) -> None:
@@ -242,9 +261,10 @@ def _blocks(node: Node, out: list[list[str]]) -> None:
 def main_text(html: str) -> str:
     """The page's main text, a line for each block; empty if there is none.
 
-    The subtree with the largest sum of its children's densities is the core and stays whole. Of what stands
-    beside it, all stays but what is for the most part links; no length or density of a paragraph decides.
-    What is named as standing beside the article is never counted, unless it holds most of the page's text.
+    The subtree with the largest sum of its children's densities is the core and stays whole. On the path from it to the
+    body the least density is taken. What stands beside the path stays if its density reaches that, or, as short paragraphs
+    are never dense, the share ``LINKED`` of what it would be without links; of what does not, the parts are looked
+    at alike. What is named as standing beside the article is never counted, unless it holds most of the page's text.
     """
     root = parse(html)
     _clear(root)
@@ -254,7 +274,7 @@ def main_text(html: str) -> str:
         body = root
     if not body.chars:
         return ""
-    _densities(order, body)
+    ratio = _densities(order, body)
 
     core, stack = body, [body]
     while stack:
@@ -262,25 +282,31 @@ def main_text(html: str) -> str:
         if node.sums > core.sums:
             core = node
         stack.extend(p for p in reversed(node.parts) if not isinstance(p, str) and not p.beside)
-    path, node = set(), core.parent
+    path, node, border = set(), core.parent, [core]
     while node is not None:
         path.add(id(node))
+        if node is body or node.parent is not None and id(body) not in path:
+            border.append(node)
         node = node.parent
-    _prune(root, core, path)
+    _prune(root, core, path, min(n.density for n in border), ratio)
     out: list[list[str]] = [[]]
     _blocks(root, out)
     lines = (" ".join(unescape("".join(block)).split()) for block in out)
     return "\n".join(line for line in lines if line)
 
 
-# link-heavy elements that go as a whole; of others, the parts are looked at
-LISTS = frozenset("ul ol dl menu dir li dt dd p h2 h3 h4 h5 h6 table tr a".split())
+LINKED = 0.12  # share of a density that links leave where they are about a third of a longer text
 HEADINGS = frozenset("h2 h3 h4 h5 h6".split())
 
 
-def _prune(root: Node, core: Node, path: set[int]) -> None:
-    """Take out boilerplate beside the core: branches, and runs of text between them, that are links for the most
-    part. Of such a branch, parts that are not stay, but not headings alone. Every other branch stays whole."""
+def passes(own: float, plain: float, least: float) -> bool:
+    """Whether a density reaches the body path's threshold, or enough of what it would be without links."""
+    return own > 0 and (own >= least or own >= LINKED * plain)
+
+
+def _prune(root: Node, core: Node, path: set[int], least: float, ratio: float) -> None:
+    """Take out what stands beside the core and does not pass the thresholds: branches, and runs of text between them.
+    Of such a branch, parts that pass stay, but not headings alone. Every other branch stays whole."""
     stack = [root] if id(root) in path else []
     opened = []
     while stack:
@@ -293,16 +319,18 @@ def _prune(root: Node, core: Node, path: set[int]) -> None:
                                      and part is not core and id(part) not in path):
                 run.append(part)
                 continue
-            chars = sum(len(" ".join(r.split())) if isinstance(r, str) else 0 if r.tag in VOID else r.chars for r in run)
-            links = sum(r.link_chars for r in run if not isinstance(r, str) and r.tag not in VOID)
-            if 2 * links <= chars:
+            if run and _run_passes(run, least, ratio):
                 kept += run
             run = []
             if part is None or part.beside:
                 continue
-            if part is core or id(part) not in path and (2 * part.link_chars <= part.chars or part.tag == "h1"):
+            if part is core or id(part) in path:
+                kept.append(part)
+                if part is not core:
+                    stack.append(part)
+            elif part.tag == "h1" or passes(part.density, part.plain, least) and not RIGHTS.match(_words(part)):
                 kept.append(part)
-            elif id(part) in path or part.tag not in LISTS:
+            elif part.blocky:
                 kept.append(part)
                 stack.append(part)
         node.parts = kept
@@ -314,6 +342,26 @@ def _prune(root: Node, core: Node, path: set[int]) -> None:
             node.parts, node.chars = [], 0
 
 
+def _words(node: Node) -> str:
+    """The start of the node's text, enough to tell a line of rights."""
+    out: list[list[str]] = [[]]
+    if node.chars <= 300:
+        _blocks(node, out)
+    return unescape("".join("".join(block) for block in out))
+
+
+def _run_passes(run: list[Node | str], least: float, ratio: float) -> bool:
+    """As for a branch, of text and inline elements that stand side by side."""
+    inline = [r for r in run if not isinstance(r, str) and r.tag not in VOID]
+    chars = sum(len(" ".join(r.split())) for r in run if isinstance(r, str)) + sum(r.chars for r in inline)
+    tags = len(inline) + sum(r.tags for r in inline)
+    link_chars = sum(r.link_chars for r in inline)
+    link_tags = sum(r.link_tags + (r.tag == "a") for r in inline)
+    text = "".join(r for r in run if isinstance(r, str)) if chars <= 300 else ""
+    return not RIGHTS.match(unescape(text)) and passes(
+        density(chars, tags, link_chars, link_tags, ratio), density(chars, tags, 0, 0, 0.0), least)
+
+
 def extract_text(df: DataFrame, html: str = "html", keep: list[str] | None = None) -> DataFrame:
     """Append the main ``text`` of each page and its length in code points, ``n_chars``.
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import random
 import re
+from bisect import bisect_left
 from collections.abc import Callable, Iterable, Iterator
 from typing import NamedTuple
 
@@ -369,18 +370,29 @@ def fit(df: DataFrame, text: str = "text", key: str = "doc_id") -> BoostedTrees:
     return BoostedTrees().fit(np.array(x, dtype=float)[mixed], y[mixed])
 
 
-def choose(text: str, model: BoostedTrees, threshold: float) -> list[tuple[str, int, int, bool, float]]:
+def choose(text: str, model: BoostedTrees, threshold: float | dict[str, float]) -> list[tuple[str, int, int, bool, float]]:
     """Base spans, and of the others, best first, those that reach the threshold and overlap nothing chosen."""
     spans = proposed_spans(text)
     if not spans:
         return []
     scores = model.probability(np.array([features(text, s) for s in spans], dtype=float))
     chosen = [(*s, float(p)) for s, p in zip(spans, scores) if s.base]
-    edges = sorted((s[1], s[2]) for s in chosen)
-    more = sorted(((p, s) for p, s in zip(scores, spans) if not s.base and p >= threshold), key=lambda x: (-x[0], x[1]))
+    # what is taken, as stretches apart from each other in order: a span is looked up by halving
+    begins: list[int] = []
+    ends: list[int] = []
+    for begin, end in sorted((s[1], s[2]) for s in chosen):
+        if ends and begin <= ends[-1]:
+            ends[-1] = max(ends[-1], end)
+        else:
+            begins.append(begin)
+            ends.append(end)
+    least = threshold if isinstance(threshold, dict) else dict.fromkeys(KINDS, threshold)
+    more = sorted(((p, s) for p, s in zip(scores, spans) if not s.base and p >= least[s.kind]), key=lambda x: (-x[0], x[1]))
     for p, s in more:
-        if all(b <= s.start or a >= s.end for a, b in edges):
-            edges.append((s.start, s.end))
+        k = bisect_left(begins, s.end)  # the first stretch that begins behind the span
+        if k == 0 or ends[k - 1] <= s.start:
+            begins.insert(k, s.start)
+            ends.insert(k, s.end)
             chosen.append((*s, float(p)))
     return sorted(chosen, key=lambda s: (KINDS.index(s[0]), s[1]))
 
@@ -405,12 +417,12 @@ def redact(text: str, spans: list[tuple]) -> str:
 
 
 def find_personal_data(df: DataFrame, model: BoostedTrees, text: str = "text", keep: list[str] | None = None,
-                       threshold: float = THRESHOLD, redacted: str | None = None) -> DataFrame:
+                       threshold: float | dict[str, float] = THRESHOLD, redacted: str | None = None) -> DataFrame:
     """Append ``spans``: the personal data in each whole text, by kind and start, in code points, end
     exclusive; with ``redacted``, also a column of that name with the text without it.
 
     Spans found by rule are always there (``base``); further ones where the calibrated ``score`` reaches
-    the threshold. Null and empty texts have no spans; a null text stays null when redacted. Each row
+    the threshold, one for all kinds or one for each. Null and empty texts have no spans; a null text stays null when redacted. Each row
     gives one row, repeated rows too; input columns with the added names are replaced; an empty table
     gives an empty one. Texts of any length are read whole in time linear in it.
     """
