@@ -10,6 +10,9 @@ from tidemark.operators.ordered import ROWS_PER_CHUNK, Running, previous, runnin
 from tidemark.session import durable
 
 
+TICKS = 4096  # ticks that one row is spread to at a time
+
+
 def tick_of(ts: Column | str, period: str) -> Column:
     """Start of the period a time falls in."""
     return F.window(ts, period).getField("start")
@@ -66,7 +69,8 @@ def emit_periodic(
 ) -> DataFrame:
     """Periodic: the whole result at every tick, also at ticks without news.
 
-    Each aggregate is repeated for the ticks up to the key's next change or the end of the data.
+    Each aggregate is repeated for the ticks up to the key's next change or the end of the data. A long gap is cut into
+    stretches of ``TICKS`` ticks, which are dealt over the tasks, so that no row holds an array of a whole gap.
     """
     changes = emit_on_update_batched(df, keys, ts, period, columns, rows_per_chunk)
     step = F.expr(f"INTERVAL {period}")
@@ -74,9 +78,11 @@ def emit_periodic(
     following = previous(backwards, keys, ["_back"], "tick", "_next", rows_per_chunk=rows_per_chunk)
     end = df.agg(F.max(tick_of(ts, period))).scalar()
     until = F.coalesce(F.col("_next") - step, end)
-    return following.select(
-        *keys, F.explode(F.sequence("tick", until, step)).alias("tick"), *columns
-    )
+    stretches = following.select(
+        *keys, F.explode(F.sequence("tick", until, step * TICKS)).alias("_from"), until.alias("_until"), *columns
+    ).repartition(*keys, "_from")
+    upto = F.least("_until", F.col("_from") + step * (TICKS - 1))
+    return stretches.select(*keys, F.explode(F.sequence("_from", upto, step)).alias("tick"), *columns)
 
 
 def emission_rate(

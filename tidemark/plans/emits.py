@@ -11,7 +11,9 @@ from tidemark.operators.latest import latest_by_key
 from tidemark.operators.ordered import Running
 from tidemark.plans.registry import Tables, query
 from tidemark.session import scratch_path
+from tidemark.streaming.alerts import acting_alerts, payload_of
 from tidemark.streaming.emit import expire_stream, on_update
+from tidemark.streaming.traces import trace_groups_stream as group_traces
 from tidemark.streaming.views import View, run_to_end, stream_table
 
 HOUR_US = 3_600_000_000
@@ -245,6 +247,89 @@ def alert_payload(t: Tables) -> DataFrame:
     return alerts.alert_payload(batched, ["batch"], "cluster", "user_id")
 
 
+_USER_BATCHES = """
+WITH RECURSIVE e AS (SELECT ts, event_id, user_id, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn
+                     FROM events),
+w AS (SELECT user_id, rn, ts, event_id, 0 AS b, 1 AS n, ts AS t0 FROM e WHERE rn = 1
+  UNION ALL
+  SELECT e.user_id, e.rn, e.ts, e.event_id,
+    CASE WHEN w.n >= 5 OR e.ts - w.t0 > INTERVAL 4 HOUR THEN w.b + 1 ELSE w.b END,
+    CASE WHEN w.n >= 5 OR e.ts - w.t0 > INTERVAL 4 HOUR THEN 1 ELSE w.n + 1 END,
+    CASE WHEN w.n >= 5 OR e.ts - w.t0 > INTERVAL 4 HOUR THEN e.ts ELSE w.t0 END
+  FROM w JOIN e ON e.user_id = w.user_id AND e.rn = w.rn + 1),
+batches AS (SELECT user_id, CAST(b AS BIGINT) AS batch, count(*) AS n, min(ts) AS first_ts,
+    CASE WHEN count(*) >= 5 THEN max(ts) ELSE min(ts) + INTERVAL 4 HOUR END AS close_ts FROM w GROUP BY user_id, b),
+c AS (SELECT user_id, CAST(b AS BIGINT) AS batch, 'c' || (event_id % 2) AS cluster,
+  '"' || string_agg(CAST(event_id AS VARCHAR), '","' ORDER BY CAST(event_id AS VARCHAR)) || '"' AS nodes FROM w GROUP BY 1, 2, 3),
+p AS (SELECT user_id, batch, '{"cluster_offline_nodes":{' || string_agg('"' || cluster || '":[' || nodes || ']', ','
+  ORDER BY cluster) || '}}' AS payload FROM c GROUP BY user_id, batch),
+r AS (SELECT *, row_number() OVER (PARTITION BY user_id, date_trunc('day', close_ts) ORDER BY close_ts, batch) AS k FROM batches)
+SELECT user_id, batch, n, first_ts, close_ts, payload FROM r JOIN p USING (user_id, batch) WHERE k = 1"""
+
+
+def _in_time_order(t: Tables, rows: DataFrame, at: str, name: str, files: int) -> str:
+    """The rows as files of consecutive times, and a last one whose row lets the watermark pass all others."""
+    path = scratch_path(t.spark, name)
+    later = rows.agg(F.max(at).alias("_last")).select(*[
+        (F.col("_last") + F.expr("INTERVAL 60 DAYS")).alias(f.name) if f.dataType.typeName() == "timestamp"
+        else F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema])
+    rows.repartitionByRange(files, at).write.parquet(path)
+    # modification times, by which a stream takes files, follow the parts' numbers only within a write
+    later.write.mode("append").parquet(path)
+    return path
+
+
+@query("alert_stream_payload", _USER_BATCHES)
+def alert_stream_payload(t: Tables) -> DataFrame:
+    """Alerts of each user on a stream: batches of five events or four hours with their payload, one a day."""
+    rows = t.events.select("user_id", "event_id", F.col("ts").cast("timestamp").alias("ts")).withColumn(
+        "cluster", F.concat(F.lit("c"), F.col("event_id") % 2))
+    path = _in_time_order(t, rows, "ts", "alerts", 1)
+    stream = stream_table(t.spark, path, rows.schema)
+    closed = acting_alerts(stream, "user_id", "ts", "event_id", ["cluster", "event_id"], 5, 4 * HOUR_US, 24 * HOUR_US)
+    sent = closed.where("allowed AND key IS NOT NULL").select(
+        F.col("key").alias("user_id"), "batch", "n", "first_ts", "close_ts", payload_of("items", "cluster", "event_id").alias("payload"))
+    log = run_to_end(sent, name="alerts")
+    return log.select("user_id", "batch", "n", *[F.col(c).cast("timestamp_ntz").alias(c) for c in ("first_ts", "close_ts")], "payload")
+
+
+@query("trace_groups_stream", f"SELECT *, CAST(0 AS BIGINT) AS part FROM ({_GROUPS} SELECT * FROM c WHERE span_ms > {_MAXSPAN_MS})")
+def trace_groups_stream(t: Tables) -> DataFrame:
+    """The same traces from a stream whose files mix up the rows of a day."""
+    times = {c: F.col(c).cast("timestamp") for c in ("start_time", "end_time")}
+    rows = _spans(t.events).withColumns(times).select(
+        "user_id", "event_id", "start_time", "end_time", json_encode("event_id", "event_type").alias("event"))
+    path = _in_time_order(t, rows, "end_time", "traces", 1)
+    stream = stream_table(t.spark, path, rows.schema)
+    groups = group_traces(stream, "user_id", "start_time", "end_time", "event_id", 6 * HOUR_US, F.col("event"), _MAXSPAN_MS)
+    log = run_to_end(groups.where("user_id IS NOT NULL"), name="traces").drop("batch_id")
+    plain = {c: F.col(c).cast("timestamp_ntz") for c in ("start_ts", "end_ts")}
+    return log.withColumns(plain).withColumn("trace_events", F.array_join("trace_events", ","))
+
+
+_CLOSED = f"""
+WITH RECURSIVE s AS (SELECT user_id, event_id, ts AS start_time,
+                  ts + to_microseconds(CAST(round(value * 1000) AS BIGINT)) AS end_time FROM events),
+e AS (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY end_time, event_id) AS rn FROM s),
+w AS (SELECT user_id, rn, start_time, end_time, 0 AS g, end_time AS t0 FROM e WHERE rn = 1
+  UNION ALL
+  SELECT e.user_id, e.rn, e.start_time, e.end_time,
+    CASE WHEN epoch_us(e.end_time) - epoch_us(w.end_time) > 21600000000
+      OR epoch_us(e.end_time) - epoch_us(w.t0) > {_MAXSPAN_MS}000 THEN w.g + 1 ELSE w.g END,
+    CASE WHEN epoch_us(e.end_time) - epoch_us(w.end_time) > 21600000000
+      OR epoch_us(e.end_time) - epoch_us(w.t0) > {_MAXSPAN_MS}000 THEN e.end_time ELSE w.t0 END
+  FROM w JOIN e ON e.user_id = w.user_id AND e.rn = w.rn + 1)
+SELECT user_id, min(start_time) AS start_ts, max(end_time) AS end_ts,
+  (epoch_us(max(end_time)) - epoch_us(min(start_time))) // 1000 AS span_ms, count(*) AS n FROM w GROUP BY user_id, g"""
+
+
+@query("expire_close_on_maxspan", _CLOSED)
+def expire_close_on_maxspan(t: Tables) -> DataFrame:
+    return expire.close_on_maxspan(
+        _spans(t.events), ["user_id"], "start_time", "end_time", "event_id", 6 * HOUR_US, _MAXSPAN_MS * 1000
+    )
+
+
 @query("dedup_latest", "SELECT event_id, event_type, value FROM events")
 def dedup_latest(t: Tables) -> DataFrame:
     rows = t.events.select("event_id", "event_type", "value", F.lit(0).alias("batch_id"))

@@ -9,7 +9,8 @@ from tidemark.plans.registry import Tables, query
 from tidemark.session import scratch_path
 from tidemark.sinks import files as out
 from tidemark.sources import files, kafka, logs
-from tidemark.streaming.views import run_to_end, stream_table
+from tidemark.sources.tail import log_tail
+from tidemark.streaming.views import View, run_to_end, stream_table
 
 EVENT_COLUMNS = ("event_id", "ts", "user_id", "event_type", "value", "props")
 EVENT_SCHEMA = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
@@ -149,6 +150,38 @@ def fmt_error_budget(t: Tables) -> DataFrame:
     return counts.withColumn("bad", bad.agg(F.count("*")).scalar()).select("good", "bad", "good_ids")
 
 
+@query("fmt_import_budget", """
+SELECT count(*) FILTER (event_id % 97 <> 0) AS good, count(*) FILTER (event_id % 97 = 0) AS bad,
+       CAST(sum(event_id) FILTER (event_id % 97 <> 0) AS BIGINT) AS good_ids
+FROM events""")
+def fmt_import_budget(t: Tables) -> DataFrame:
+    """The same import in one pass: written as it is counted, kept only within the budget."""
+    path = scratch_path(t.spark, "import")
+    broken = F.when(F.col("event_id") % 97 == 0, F.lit("not a number,")).otherwise(F.concat_ws(",", "event_id", "event_type"))
+    t.events.select(broken).write.text(f"{path}/in")
+    schema = files.with_corrupt(T._parse_datatype_string("event_id BIGINT, event_type STRING"))
+    files.import_within_budget(files.read_csv(t.spark, f"{path}/in", schema), f"{path}/rows", f"{path}/rejects", ratio=0.05)
+    good, bad = (t.spark.read.schema(schema).parquet(f"{path}/{name}") for name in ("rows", "rejects"))
+    both = good.select("event_id").unionByName(bad.select(F.lit(None).cast("bigint").alias("event_id")))
+    return both.agg(F.count("event_id").alias("good"), F.count_if(F.col("event_id").isNull()).alias("bad"),
+                    F.sum("event_id").alias("good_ids"))
+
+
+@query("src_log_tail", f"""
+WITH logs AS (SELECT ts, event_type, {ORACLE_RECORD} AS raw FROM events)
+SELECT raw FROM logs""")
+def src_log_tail(t: Tables) -> DataFrame:
+    """Log files read as a stream that is stopped, finds more files when it is started again, and gives each record once."""
+    path = scratch_path(t.spark, "tail")
+    out_path, checkpoint = f"{path}/out", f"{path}/checkpoint"
+    tail = View(t.spark, None, lambda: log_tail(t.spark, f"{path}/logs", "*.txt", idle_seconds=0).select("raw"), out_path, checkpoint)
+    lines = t.events.select((F.col("event_id") % 2 == 0).alias("late"), F.expr(SPARK_RECORD).alias("raw"))
+    for late in (False, True):
+        lines.where(F.col("late") == late).select("raw").write.mode("append").text(f"{path}/logs")
+        tail.start().wait()
+    return t.spark.read.schema("raw STRING").parquet(out_path)
+
+
 @query("fmt_parquet_orc", PLAIN_EVENTS)
 def fmt_parquet_orc(t: Tables) -> DataFrame:
     path = scratch_path(t.spark, "columnar")

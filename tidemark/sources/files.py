@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Iterator
 from functools import reduce
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F, types as T
 
-from tidemark.sources.paths import remove
+from tidemark.sources.paths import exists, move, remove
 
 CORRUPT = "_corrupt_record"
 TIMESTAMP_FORMAT = "yyyy-MM-dd HH:mm:ss[.SSSSSS][.SSS]"
@@ -89,6 +90,38 @@ def error_budget(
     return parsed.where(~bad).drop(CORRUPT), parsed.where(bad).select(CORRUPT)
 
 
+def import_within_budget(parsed: DataFrame, target: str, rejects: str, most: int | None = None,
+                         ratio: float | None = None) -> tuple[int, int]:
+    """Write the good rows read with ``with_corrupt`` to ``target`` and the bad ones' text to ``rejects``, or neither.
+
+    One pass: rows are written as they are counted, to a folder of its own beside the target, and moved into place only when
+    the bad ones are within the budget. Otherwise the folder is removed and ``TooManyBadRows`` raised, and nothing is ever
+    visible under either name. Gives the numbers of good and bad rows. Both folders must be new.
+    """
+    spark = parsed.sparkSession
+    for path in (target, rejects):
+        if exists(spark, path):
+            raise FileExistsError(path)
+    staging = f"{target.rstrip('/')}._importing-{uuid.uuid4().hex}"
+    cells = [F.col(f"`{c}`").cast("string") for c in parsed.columns if c != CORRUPT]
+    bad = F.col(CORRUPT).isNotNull() & (F.length(F.concat_ws("", *cells)) >= 0)
+    seen = Observation()
+    counted = parsed.withColumn("_bad", bad).observe(seen, F.count("*").alias("total"), F.count_if("_bad").alias("bad"))
+    try:
+        counted.write.partitionBy("_bad").parquet(staging)
+        total, wrong = seen.get["total"], seen.get["bad"]
+        if most is not None and wrong > most:
+            raise TooManyBadRows(f"{wrong} bad rows, {most} allowed")
+        if ratio is not None and total and wrong / total > ratio:
+            raise TooManyBadRows(f"{wrong} bad rows of {total}, ratio {ratio} allowed")
+        for flag, path in (("true", rejects), ("false", target)):
+            if exists(spark, f"{staging}/_bad={flag}"):
+                move(spark, f"{staging}/_bad={flag}", path)
+    finally:
+        remove(spark, staging)
+    return total - wrong, wrong
+
+
 def list_files(spark: SparkSession, path: str) -> DataFrame:
     """Paths and lengths of files, without reading them."""
     return spark.read.format("binaryFile").load(path).select("path", "length")

@@ -21,21 +21,30 @@ from tidemark.sources.files import open_path, spread
 RECORD_HEADER = r"\d{4}\.\d{2}\.\d{2} \d{2}:\d{2}:\d{2}\.\d+ \[ \d+ \] \{"
 
 RANGE_BYTES = 128 << 20
+LONGEST_RECORD = 64 << 20  # a task holds one record as a whole
 _BLOCK = 4 << 20
 _ROWS = 4096
 _SCHEMA = T.StructType([T.StructField("file", T.StringType()), T.StructField("raw", T.StringType())])
 
 
-def _lines(source, start: int) -> Iterator[tuple[int, bytes]]:
-    """(offset, line) from the first line that begins at or after ``start``."""
+class RecordTooLong(ValueError):
+    """A record, or a file without a header, that is longer than a task may hold."""
+
+
+def _lines(source, start: int, longest: int) -> Iterator[tuple[int, bytes]]:
+    """(offset, line) from the first line that begins at or after ``start``; a line of more than ``longest`` bytes raises."""
     offset = max(start - 1, 0)
     skip = start > 0  # the line in progress belongs to the range before
     if skip:
         source.seek(offset)
     parts: list[bytes] = []
+    held = 0
     while block := source.read(_BLOCK):
         head, *others = block.split(b"\n")
         parts.append(head)
+        held = held + len(head) if not others else len(others[-1])
+        if held > longest:
+            raise RecordTooLong(f"a line from byte {offset} on is longer than {longest} bytes")
         for following in others:
             line, parts = b"".join(parts), [following]
             if skip:
@@ -47,10 +56,18 @@ def _lines(source, start: int) -> Iterator[tuple[int, bytes]]:
         yield offset, line
 
 
-def _records(source, start: int, end: int, header: re.Pattern[bytes]) -> Iterator[str]:
-    """Records whose header line begins in [start, end); the first range also takes a headless start."""
-    record: list[bytes] | None = [] if start == 0 else None
-    for offset, line in _lines(source, start):
+def _records(source, start: int, end: int, header: re.Pattern[bytes], longest: int = LONGEST_RECORD,
+             headless: bool | None = None) -> Iterator[str]:
+    """Records whose header line begins in [start, end); the first range, or one told to, also takes a headless start.
+
+    No range reads further behind its end than one record, and a record of more than ``longest`` bytes raises.
+    """
+    record: list[bytes] | None = [] if (start == 0 if headless is None else headless) else None
+    size = 0
+    for offset, line in _lines(source, start, longest):
+        size = len(line) + 1 if record is None or header.match(line) else size + len(line) + 1
+        if record is not None and size > longest:
+            raise RecordTooLong(f"the record before byte {offset} is longer than {longest} bytes")
         if header.match(line):
             if record:
                 yield b"\n".join(record).decode("utf-8", "replace")
@@ -69,10 +86,12 @@ def log_records(
     files: DataFrame,
     header: str = RECORD_HEADER,
     range_bytes: int = RANGE_BYTES,
+    longest: int = LONGEST_RECORD,
 ) -> DataFrame:
     """Rows (file, raw) from a frame with ``path`` and ``length`` of the log files.
 
-    Compressed files (.gz, .zst, .bz2) cannot be cut and are read by one task each.
+    A task reads its range and at most ``longest`` bytes more. A longer record, or as much text without any header, raises
+    ``RecordTooLong`` and does not fill a task. Compressed files (.gz, .zst, .bz2) cannot be cut and are read by one task each.
     """
     whole = F.col("path").rlike(r"\.(gz|zst|bz2)$")
     zero = F.lit(0).cast("long")
@@ -93,7 +112,7 @@ def log_records(
                 opened = system.open_input_stream if task["whole"] else system.open_input_file
                 with opened(inner) as source:
                     held: list[str] = []
-                    for record in _records(source, task["start"], end, compiled):
+                    for record in _records(source, task["start"], end, compiled, longest):
                         held.append(record)
                         if len(held) == _ROWS:
                             yield pa.RecordBatch.from_pydict(

@@ -20,6 +20,16 @@ def remove(spark: SparkSession, path: str) -> None:
     system.delete(location, True)
 
 
+def move(spark: SparkSession, path: str, to: str) -> None:
+    """Rename a file or folder; an existing target is an error."""
+    system, location = _locate(spark, path)
+    goal = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(to)
+    if goal.getParent() is not None:
+        system.mkdirs(goal.getParent())
+    if system.exists(goal) or not system.rename(location, goal):
+        raise FileExistsError(to)
+
+
 def folders(spark: SparkSession, path: str) -> list[str]:
     """Names of the folders right below a path; none if it does not exist."""
     system, location = _locate(spark, path)
