@@ -10,10 +10,13 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.operators import alerts, emit, expire
+from tidemark.operators import alerts, emit, expire, latest
+from tidemark.operators.aggregates import latest as latest_value
+from tidemark.operators.keyed import KeyedTable
 from tidemark.operators.ordered import Running
 from tidemark.sources import files, logs, tail
 from tidemark.streaming.alerts import act_once, acting_alerts, payload_of
+from tidemark.streaming.shared import Aggregation, RefreshedSide, SharedViews
 from tidemark.streaming.traces import trace_groups_stream
 from tidemark.streaming.views import View, run_to_end, stream_table
 
@@ -279,3 +282,85 @@ def test_long_gaps_are_cut(spark):
     ticks = 3 * 43_200 + 1
     assert made.groupBy("k", "n").count().orderBy("k", "n").collect() == [(1, 1, ticks - 1), (1, 2, 1), (2, 1, 2 * 43_200 + 1)]
     assert made.distinct().count() == made.count()
+
+
+# -- many views over one source, refreshed sides, ties ----------------------------------------------
+
+def test_shared_views_read_the_source_once_and_equal_their_own_runs(spark, folder):
+    schema = "k BIGINT, ts TIMESTAMP, seq BIGINT, cluster STRING"
+    rows = some_rows(random.Random(4), 120)
+    for k in range(0, 120, 40):
+        add_file(spark, f"{folder}/in", rows[k:k + 40], schema)
+    columns = {"n": Running("count", F.lit(1)), "s": Running("sum", F.col("seq")), "least": Running("min", F.col("ts"))}
+    views = [Aggregation(f"v{m}", ["k", "cluster"][:m % 3], columns, F.col("seq") % 5 != m) for m in range(20)]
+    shared = SharedViews(spark, f"{folder}/views", views)
+    batches = []
+
+    def on_batch(batch, batch_id):
+        shared(batch, batch_id)
+        batches.append((batch, batch_id))
+
+    frame = spark.createDataFrame([], schema).schema
+    view = View(spark, None, lambda: stream_table(spark, f"{folder}/in", frame, files_per_batch=1), on_batch, f"{folder}/ck")
+    view.start().wait()
+    assert shared.reads == [0, 1, 2]
+    table = spark.createDataFrame(rows, schema)
+    for one in views:
+        assert sorted_rows(shared.read(one.name)) == sorted_rows(one.partial(table))
+    # a replay of the last batch of which one target got lost gives the same, and none that is whole is touched
+    import shutil
+    target = f"{folder}/views/v7/batch_id=2"
+    shutil.rmtree(target)
+    again = spark.createDataFrame(rows[80:], schema)
+    shared(again, 2)
+    shared(again, 2)
+    assert shared.reads == [0, 1, 2, 2]
+    assert all(sorted_rows(shared.read(one.name)) == sorted_rows(one.partial(table)) for one in views)
+
+
+def test_a_replayed_batch_sees_the_same_side(spark, folder):
+    now, loads = [1000.0], []
+
+    def load():
+        loads.append(now[0])
+        return spark.createDataFrame([(1, f"at {now[0]:.0f}")], "k INT, name STRING")
+
+    def side(keep=3):
+        return RefreshedSide(spark, load, f"{folder}/side", 60, lambda: now[0], keep)
+
+    def seen(batch_id, table=None):
+        return (table or side()).at(batch_id).first().name
+
+    assert [seen(0), seen(1)] == ["at 1000", "at 1000"]
+    now[0] = 1059
+    assert seen(2) == "at 1000"
+    now[0] = 1061
+    assert seen(3) == "at 1061" and loads == [1000, 1061]
+    now[0] = 5000
+    assert seen(2) == "at 1000" and seen(3) == "at 1061"  # replays, by a new object as after a restart
+    assert seen(4) == "at 5000"
+    assert [seen(n) for n in (5, 6)] == ["at 5000"] * 2
+    assert sorted(f for f in os.listdir(f"{folder}/side") if f.startswith("side=")) == ["side=5000000-4"]
+
+
+def test_equal_keys_of_one_change_have_a_defined_winner(spark, folder):
+    rows = [(1, k, f"v{k * 7919 % 4000}") for k in range(4000)]
+    table = spark.createDataFrame(rows, "k INT, place INT, v STRING")
+    winners = set()
+    for n, parts in enumerate((1, 3, 8)):
+        keyed = KeyedTable(spark, f"{folder}/{n}", spark.createDataFrame([], "k INT, v STRING").schema, ["k"], buckets=2)
+        keyed.upsert(table.drop("place").repartition(parts))
+        winners.add(keyed.read().first().v)
+        keyed.upsert(table.repartition(parts), input_order="place")
+        assert keyed.read().first().v == rows[-1][2]
+    assert len(winners) == 1
+
+
+def test_latest_values_of_fixed_width_need_no_sort(spark):
+    rows = spark.range(1000).select((F.col("id") % 7).alias("p"), F.col("id").alias("seq"), (F.col("id") * 1.5).alias("v"))
+    joined = latest.full_latest_join(
+        {"a": rows.withColumnRenamed("v", "va"), "b": rows.where("seq % 2 = 0").withColumnRenamed("v", "vb")}, "p", "seq")
+    assert "SortAggregate" not in joined._jdf.queryExecution().executedPlan().toString()
+    by_key = rows.groupBy("p").agg(latest_value("v", "seq").alias("v"))
+    assert "SortAggregate" not in by_key._jdf.queryExecution().executedPlan().toString()
+    assert {r.p: r.va for r in joined.collect()} == {r.p: r.v for r in by_key.collect()}

@@ -18,8 +18,9 @@ def exact_sum(value: Column | str, scale: int = 2) -> Column:
 
 
 def latest(value: Column | str, *order: Column | str) -> Column:
-    """The value of the row that is last in ``order``."""
-    return F.max_by(value, F.struct(*order))
+    """The value of the row that is last in ``order``; with one order column of fixed width and such a value it is
+    aggregated by hash, without a sort."""
+    return F.max_by(value, order[0] if len(order) == 1 else F.struct(*order))
 
 
 def p90(value: Column | str, accuracy: int = 10_000) -> Column:

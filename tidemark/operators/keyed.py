@@ -21,6 +21,7 @@ from tidemark.sources.paths import exists, files_below, remove
 
 BUCKET = "_bucket"
 ARRIVAL = "_arrival"  # number of the change that brought a row; decides among rows of equal order
+_INPUT, _CONTENT = "_input", "_content"  # decide among rows of one change
 _COMMITS = "version BIGINT, bucket INT, folder STRING, delta BOOLEAN"
 
 
@@ -46,7 +47,9 @@ def unexpired(df: DataFrame, ts: str, ttl: str, as_of: Column) -> DataFrame:
 class KeyedTable:
     """A keyed table under ``path``.
 
-    ``order`` decides which version of a key wins, and the later change where it is equal or not given.
+    ``order`` decides which version of a key wins, and the later change where it is equal or not given. Within one change the
+    column named as ``input_order`` decides among rows of equal order, and where that is equal or not given, a hash
+    of the row's content: the same row wins however the change is partitioned.
     A change that lacks columns makes them NULL; one that lacks an order column takes the stored row's
     place in that order, so it wins as the later one.
     """
@@ -139,21 +142,23 @@ class KeyedTable:
         folder, written = self._write(rows, version)
         self._record([(version, b, folder if b in written else None, False) for b in buckets])
 
-    def upsert(self, delta: DataFrame) -> None:
-        """Merge rows. The change is computed once and only its own rows are written; the table is read
+    def upsert(self, delta: DataFrame, input_order: str | None = None) -> None:
+        """Merge rows. ``input_order`` names a column of the change, such as an offset, that need not be stored. The change is computed once and only its own rows are written; the table is read
         only where the change lacks an order column."""
         version, held = self._current()
         version += 1
         missing = [f for f in self.schema if f.name not in delta.columns]
         full = delta.withColumns({f.name: F.lit(None).cast(f.dataType) for f in missing}) if missing else delta
-        full = full.select(*self.schema.fieldNames())
+        fields = self.schema.fieldNames()
+        full = full.select(*fields, (F.col(input_order) if input_order else F.lit(0)).alias(_INPUT))
         unordered = [c for c in self.order if c in {f.name for f in missing}]
         if unordered and held:
             stored = self._merged(held).select(*self.keys, *[F.col(c).alias(f"_stored_{c}") for c in unordered])
             full = full.drop(*unordered).join(stored, self.keys, "left").withColumnsRenamed(
                 {f"_stored_{c}": c for c in unordered})
         rows = full.withColumn(ARRIVAL, F.lit(version).cast("bigint"))
-        folder, written = self._write(latest_by_key(rows, self.keys, [*self.order, ARRIVAL]), version)
+        rows = rows.withColumn(_CONTENT, F.xxhash64(F.to_json(F.struct(*fields))))
+        folder, written = self._write(latest_by_key(rows, self.keys, [*self.order, ARRIVAL, _INPUT, _CONTENT]), version)
         self._record([(version, b, folder, b in held) for b in sorted(written)])
         full_ones = {b: folders for b, folders in held.items() if b in written and len(folders) >= self.most_deltas}
         if full_ones:

@@ -49,16 +49,16 @@ def full_latest_join(
     """
     tagged = tag_sides(sides, key, seq)
     apart = F.when(F.col(key).isNull(), F.col(SIDE)).alias("_apart")
-    joined = tagged.groupBy(key, apart).agg(*[_latest_side(n, seq) for n in sides])
     if not flatten:
-        return joined.drop("_apart")
+        return tagged.groupBy(key, apart).agg(*[_latest_side(n, seq) for n in sides]).drop("_apart")
+    # column by column, so that columns of fixed width are aggregated by hash, without sorting the rows
     values = [
-        F.col(f"{name}.{c}").alias(c)
+        F.max_by(F.col(f"{name}.{c}"), F.when(F.col(SIDE) == name, F.col(seq))).alias(c)
         for name, df in sides.items()
         for c in df.columns
         if c not in (key, seq)
     ]
-    return joined.select(key, *values)
+    return tagged.groupBy(key, apart).agg(*values).drop("_apart")
 
 
 def merge_columns(df: DataFrame, keys: Sequence[str], seq: str, columns: Sequence[str]) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.functions.json import json_encode
@@ -13,6 +15,7 @@ from tidemark.plans.registry import Tables, query
 from tidemark.session import scratch_path
 from tidemark.streaming.alerts import acting_alerts, payload_of
 from tidemark.streaming.emit import expire_stream, on_update
+from tidemark.streaming.shared import Aggregation, SharedViews
 from tidemark.streaming.traces import trace_groups_stream as group_traces
 from tidemark.streaming.views import View, run_to_end, stream_table
 
@@ -66,6 +69,27 @@ def stream_view(t: Tables) -> DataFrame:
     return t.spark.read.parquet(path)
 
 
+_SHARED = {f"{name}_{k}": (keys, k) for name, keys in (
+    ("type", ["event_type"]), ("user", ["user_id"]), ("both", ["event_type", "user_id"]), ("all", [])) for k in range(5)}
+
+
+@query("stream_shared_views", " UNION ALL ".join(f"""
+SELECT '{name}' AS view, {"event_type" if "event_type" in keys else "CAST(NULL AS VARCHAR)"} AS event_type,
+  {"user_id" if "user_id" in keys else "CAST(NULL AS BIGINT)"} AS user_id, count(*) AS c, min(value) AS mn, max(value) AS mx
+FROM events WHERE event_id % 5 <> {k} {"GROUP BY " + ", ".join(keys) if keys else ""}""" for name, (keys, k) in _SHARED.items()))
+def stream_shared_views(t: Tables) -> DataFrame:
+    """Twenty aggregations of one stream that is read once."""
+    path = scratch_path(t.spark, "shared")
+    columns = {"c": Running("count", F.lit(1)), "mn": Running("min", F.col("value")), "mx": Running("max", F.col("value"))}
+    views = SharedViews(t.spark, f"{path}/views", [
+        Aggregation(name, keys, columns, F.col("event_id") % 5 != k) for name, (keys, k) in _SHARED.items()])
+    schema = t.events.schema
+    View(t.spark, None, lambda: stream_table(t.spark, t.file("events"), schema), views, f"{path}/checkpoint").start().wait()
+    found = [views.read(name).withColumn("view", F.lit(name)) for name in _SHARED]
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), found).select(
+        "view", "event_type", "user_id", "c", "mn", "mx")
+
+
 @query("emit_running", """
 SELECT event_id, event_type, count(*) OVER w AS c,
        CAST(sum(CAST(value AS DECIMAL(18,2))) OVER w AS DOUBLE) AS s,

@@ -7,7 +7,9 @@ from pyspark.sql import DataFrame, functions as F
 from tidemark.functions.json import json_encode, json_path
 from tidemark.operators import latest, lookup
 from tidemark.plans.registry import Tables, query
-from tidemark.streaming.views import run_to_end, stream_table
+from tidemark.session import scratch_path
+from tidemark.streaming.shared import RefreshedSide
+from tidemark.streaming.views import View, run_to_end, stream_table
 
 
 @query("join_lookup", """
@@ -61,8 +63,10 @@ _LATEST_JOIN = """
 WITH s AS (SELECT CASE WHEN user_id % 10 = 9 THEN NULL ELSE user_id END AS p, event_id % 3 AS side,
                   value AS v, event_id FROM events),
  r AS (SELECT *, row_number() OVER (PARTITION BY p, side ORDER BY event_id DESC) AS rn FROM s),
- a AS (SELECT p, v FROM r WHERE side = 0 AND rn = 1), b AS (SELECT p, v FROM r WHERE side = 1 AND rn = 1)
-SELECT coalesce(a.p, b.p) AS p, a.v AS va, b.v AS vb FROM a FULL JOIN b ON a.p = b.p"""
+ a AS (SELECT p, v FROM r WHERE side = 0 AND rn = 1), b AS (SELECT p, v FROM r WHERE side = 1 AND rn = 1),
+ c AS (SELECT p, v FROM r WHERE side = 2 AND rn = 1)
+SELECT coalesce(a.p, b.p, c.p) AS p, a.v AS va, b.v AS vb, c.v AS vc
+FROM a FULL JOIN b ON a.p = b.p FULL JOIN c ON coalesce(a.p, b.p) = c.p"""
 
 
 def _sides(events: DataFrame) -> dict[str, DataFrame]:
@@ -71,7 +75,7 @@ def _sides(events: DataFrame) -> dict[str, DataFrame]:
         name: keyed.where(F.col("event_id") % 3 == side).select(
             "p", F.col("event_id").alias("seq"), F.col("value").alias(f"v{name}")
         )
-        for side, name in enumerate("ab")
+        for side, name in enumerate("abc")
     }
 
 
@@ -84,10 +88,29 @@ def join_full_latest(t: Tables) -> DataFrame:
 def join_full_latest_stream(t: Tables) -> DataFrame:
     stream = stream_table(t.spark, t.file("events"), t.events.schema)
     keyed = latest.full_latest_join(_sides(stream), "p", "seq", flatten=False)
-    side = F.when(F.col("p").isNull(), F.col("a").isNull()).alias("side")
-    log = run_to_end(keyed.select("p", "a", "b", side), "update")
+    held = F.coalesce(*[F.when(F.col(name).isNotNull(), F.lit(name)) for name in "abc"])
+    log = run_to_end(keyed.select("p", "a", "b", "c", F.when(F.col("p").isNull(), held).alias("side")), "update")
     last = latest.latest_by_key(log, ["p", "side"], ["batch_id"])
-    return last.select("p", "a.va", "b.vb")
+    return last.select("p", "a.va", "b.vb", "c.vc")
+
+
+@query("join_refreshed_stream", """
+SELECT event_id, user_id, c_name AS customer FROM events JOIN customer ON c_custkey = user_id * 12""")
+def join_refreshed_stream(t: Tables) -> DataFrame:
+    """A stream joined with a side that is loaded anew now and then; each micro-batch is tied to the load it saw."""
+    path = scratch_path(t.spark, "refreshed")
+    side = RefreshedSide(t.spark, lambda: t.customer.select("c_custkey", F.col("c_name").alias("customer")), f"{path}/side", 60)
+    schema = t.events.schema
+
+    def build() -> DataFrame:
+        return stream_table(t.spark, t.file("events"), schema).select("event_id", "user_id", (F.col("user_id") * 12).alias("_c"))
+
+    def on_batch(batch: DataFrame, batch_id: int) -> None:
+        joined = lookup.lookup_join(batch, side.at(batch_id), "_c", "c_custkey").drop("_c", "c_custkey")
+        joined.write.mode("overwrite").parquet(f"{path}/out/batch_id={batch_id}")
+
+    View(t.spark, None, build, on_batch, f"{path}/checkpoint").start().wait()
+    return t.spark.read.option("basePath", f"{path}/out").parquet(f"{path}/out").drop("batch_id")
 
 
 _LATEST_JOIN_JSON = """
