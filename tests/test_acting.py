@@ -364,3 +364,46 @@ def test_latest_values_of_fixed_width_need_no_sort(spark):
     by_key = rows.groupBy("p").agg(latest_value("v", "seq").alias("v"))
     assert "SortAggregate" not in by_key._jdf.queryExecution().executedPlan().toString()
     assert {r.p: r.va for r in joined.collect()} == {r.p: r.v for r in by_key.collect()}
+
+
+@pytest.mark.parametrize("per_batch", [10_000, 3])
+def test_batches_do_not_depend_on_how_rows_arrive(spark, per_batch):
+    rng = random.Random(per_batch)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", per_batch)
+    try:
+        rows = some_rows(rng, 400)
+        for per_chunk in (10 ** 6, 30):
+            made = alerts.greedy_batches(spark.createDataFrame(rows, ALERTS), ["k"], "ts", "seq", 4, 20 * SECOND, per_chunk)
+            state, want = {}, {}
+            for k, ts, seq, _ in rows:
+                batch, n, first = state.get(k, (-1, 4, None))
+                if n == 4 or (ts - first).total_seconds() > 20:
+                    batch, n, first = batch + 1, 0, ts
+                state[k], want[seq] = (batch, n + 1, first), batch
+            assert {r.seq: r.batch for r in made.collect()} == want
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+@pytest.mark.parametrize("fraction", [0.0, 0.25, 0.9, 1.0])
+def test_percentiles_are_exact_and_shuffle_few_values(spark, monkeypatch, fraction):
+    import numpy as np
+
+    from tidemark.operators import aggregates
+    monkeypatch.setattr(aggregates, "SKETCH", 200)
+    rng = np.random.default_rng(6)
+    groups = {1: rng.normal(size=30_000), 2: np.repeat(rng.normal(size=5), 700), 3: rng.normal(size=1), 4: rng.normal(size=2),
+              None: rng.normal(size=11), 5: []}
+    rows = [(k, float(v), float(-v)) for k, vs in groups.items() for v in vs] + [(5, None, None), (1, None, 3.0)]
+    rng.shuffle(rows)
+    table = spark.createDataFrame([(None if k is None else int(k), v, w) for k, v, w in rows], "k INT, v DOUBLE, w DOUBLE")
+    made = {r.k: r for r in aggregates.exact_percentile(table, ["k"], {"a": "v", "b": "w"}, fraction, 50).collect()}
+    for k in groups:
+        for name, place in (("a", 1), ("b", 2)):
+            mine = [r[place] for r in rows if r[0] == k and r[place] is not None]
+            if not mine:
+                assert made[k][name] is None
+            else:
+                assert made[k][name] == pytest.approx(np.quantile(mine, fraction), rel=1e-12, abs=1e-12)
+    whole = aggregates.exact_percentile(table, [], {"a": "v"}, fraction).first().a
+    assert whole == pytest.approx(np.quantile([r[1] for r in rows if r[1] is not None], fraction), rel=1e-12, abs=1e-12)

@@ -7,9 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tidemark.operators.lookup import broadcast_if_small
-from tidemark.operators.ordered import ROWS_PER_CHUNK, Running, null_safe_join, running
+from tidemark.operators.ordered import ROWS_PER_CHUNK, WHOLE, Running, null_safe_join, running
 from tidemark.session import durable
 
+SKETCH = 10_000  # accuracy of the sketches that bound exact percentiles: rank errors are below one part in so many
+
 
 def exact_sum(value: Column | str, scale: int = 2) -> Column:
     """Sum of decimal-valued doubles that does not depend on the order of the rows."""
@@ -35,25 +37,36 @@ def exact_percentile(
     fraction: float = 0.9,
     rows_per_chunk: int = ROWS_PER_CHUNK,
 ) -> DataFrame:
-    """Interpolated percentiles per key: ``values`` maps output name to input column.
+    """Interpolated percentiles per key: ``values`` maps output name to input column. Exact, in two passes.
 
-    Works on counts of equal values, so a key never has to fit in one task: rows shrink to one per
-    (key, value) before the shuffle and the ranks come from a chunked running sum.
+    The first pass makes a mergeable sketch of bounded size for each key; its rank error is bounded, so the wanted ranks
+    lie between two values it gives. The second pass counts what lies below and above, and only the
+    values in between are counted one by one: some thousandths of the rows, and no row per distinct value of the rest.
+    Ranks come from a chunked running sum, so a key never has to fit in one task. A key without a value gives
+    NULL. Ranks outside the bounds would be an error, and raise one.
     """
-    long = df.select(
-        *keys,
-        F.explode(
-            F.array(*[F.struct(F.lit(n).alias("name"), F.col(c).cast("double").alias("v"))
-                      for n, c in values.items()])
-        ).alias("_cell"),
-    ).select(*keys, F.col("_cell.name").alias("_name"), F.col("_cell.v").alias("_v"))
+    if not keys:
+        whole = df.withColumn(WHOLE, F.lit(0))
+        return exact_percentile(whole, [WHOLE], values, fraction, rows_per_chunk).drop(WHOLE)
+    near = 2 / SKETCH
+    around = F.array(F.lit(max(fraction - near, 0.0)), F.lit(min(fraction + near, 1.0)))
+    columns = {n: F.col(c).cast("double") for n, c in values.items()}
+    bounds = broadcast_if_small(durable(df.groupBy(*keys).agg(
+        *[F.percentile_approx(v, around, F.lit(SKETCH)).alias(f"_b_{n}") for n, v in columns.items()])))
+    bounded = null_safe_join(df.select(*keys, *[v.alias(f"_v_{n}") for n, v in columns.items()]), bounds, keys, "left")
+    cell = F.explode(F.array(*[
+        F.struct(F.lit(n).alias("name"), F.col(f"_v_{n}").alias("v"), F.col(f"_b_{n}")[0].alias("low"), F.col(f"_b_{n}")[1].alias("high"))
+        for n in values])).alias("_cell")
+    side = F.when(F.col("_cell.v") < F.col("_cell.low"), 0).when(F.col("_cell.v") > F.col("_cell.high"), 2).otherwise(1)
+    long = bounded.select(*keys, cell).select(*keys, F.col("_cell.name").alias("_name"), side.alias("_side"), F.col("_cell.v").alias("_each"))
     groups = [*keys, "_name"]
-    # a NULL value keeps its key in the result and takes no rank
-    counts = long.groupBy(*groups, "_v").agg(
-        F.when(F.col("_v").isNull(), 0).otherwise(F.count("*")).alias("_n")
-    )
-    counts = durable(counts)  # read again for hot keys and for the totals
-    ranked = running(counts, groups, ["_v"], {"_upto": Running("sum", F.col("_n"))}, rows_per_chunk)
+    inside = F.when(F.col("_side") == 1, F.col("_each"))
+    # a NULL value keeps its key in the result and takes no rank; of what lies outside, the nearest value is kept
+    counts = long.groupBy(*groups, "_side", inside.alias("_inside")).agg(
+        F.count("_each").alias("_n"), F.max("_each").alias("_most"), F.min("_each").alias("_least"))
+    nearest = F.when(F.col("_side") == 0, F.col("_most")).otherwise(F.col("_least"))
+    counts = durable(counts.withColumn("_v", nearest))  # read again for hot keys and for the totals
+    ranked = running(counts, groups, ["_side", "_inside"], {"_upto": Running("sum", F.col("_n"))}, rows_per_chunk)
     totals = broadcast_if_small(counts.groupBy(*groups).agg(F.sum("_n").alias("_total")))
     rank = F.lit(fraction) * (F.col("_total") - 1)
     low, high = F.floor(rank), F.ceil(rank)
@@ -64,7 +77,11 @@ def exact_percentile(
         low_value = F.min(F.when(mine & (F.col("_upto") > low), F.col("_v")))
         high_value = F.min(F.when(mine & (F.col("_upto") > high), F.col("_v")))
         part = F.max(F.when(mine, rank - low))
-        return low_value + (high_value - low_value) * part
+        # below, only the last value is known, and above only the first
+        missed = F.max(F.when(mine & (F.col("_side") == 0), F.col("_upto") > low + 1).when(
+            mine & (F.col("_side") == 2), F.col("_upto") - F.col("_n") < high).otherwise(F.lit(False)))
+        found = low_value + (high_value - low_value) * part
+        return F.when(missed, F.raise_error(F.lit("a percentile lies outside its bounds")).cast("double")).otherwise(found)
 
     return located.groupBy(*keys).agg(*[percentile(n).alias(n) for n in values])
 

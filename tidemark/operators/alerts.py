@@ -81,19 +81,28 @@ def greedy_batches(
     def assign(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         batch, held, first, taken = -1, size, 0, 0
         for pdf in batches:
-            numbers = []
-            for nth, at, begin, before in zip(
-                *[pdf[c].tolist() for c in ("_nth", "_at", "_entry", "_base")]
-            ):
-                if nth == 1:
-                    batch, held, taken = before - 1, size, begin
-                if taken:
-                    taken -= 1
-                else:
-                    if held == size or at > first + timeout_us:
-                        batch, held, first = batch + 1, 0, at
-                    held += 1
-                numbers.append(batch)
+            at, nth, numbers = pdf["_at"].to_numpy(), pdf["_nth"].to_numpy(), np.empty(len(pdf), dtype=np.int64)
+            starts = np.flatnonzero(nth == 1)
+            for begin, end in zip([0, *starts.tolist()], [*starts.tolist(), len(pdf)]):
+                if begin == end:
+                    continue
+                k, part = begin, at[begin:end]
+                if nth[begin] == 1:
+                    batch, held, taken = int(pdf["_base"].iat[begin]) - 1, size, int(pdf["_entry"].iat[begin])
+                step = min(taken, end - k)
+                numbers[k:k + step] = batch
+                taken, k = taken - step, k + step
+                if k < end and held < size:  # the batch open before this Arrow batch goes on
+                    fits = int(np.searchsorted(part, first + timeout_us, side="right")) - (k - begin)
+                    step = max(min(size - held, fits), 0)
+                    numbers[k:k + step] = batch
+                    held, k = held + step, k + step
+                following = _next_start(part, size, timeout_us)
+                while k < end:  # a step for each batch
+                    upto = begin + int(following[k - begin])
+                    batch, first, held = batch + 1, int(at[k]), upto - k
+                    numbers[k:upto] = batch
+                    k = upto
             yield pdf.assign(batch=numbers)[[f.name for f in out]]
 
     return ordered.mapInPandas(assign, out)
