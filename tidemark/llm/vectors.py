@@ -24,11 +24,12 @@ from tidemark.llm.rows import ship
 from tidemark.session import durable
 
 SAMPLE = 4096  # directions and pivots are fitted on so many vectors
-PIVOTS = 64  # at most so many cells; larger tables have more blocks in each
-BLOCK = 4096  # rows of one side of a comparison
+PIVOTS = 512  # at most so many cells; larger tables have more blocks in each
+BLOCK, LARGEST_BLOCK = 4096, 32_768  # rows of one side of a comparison; the more rows, the fewer copies of each are sent
 SLICE = 512  # of those, rows compared at a time
 TREE, LEAF = 8192, 64  # rows of one tree, and of a leaf
-QUERIES = 2048  # queries that go to a tree together
+QUERIES, ASKED_AT_ONCE = 32_768, 2048  # queries that one task puts to a tree, and of these together
+MOST_TASKS = 100_000
 RELAXED = 0.9  # share of the distance in hand that a branch must undercut; 1 is exact
 
 
@@ -174,7 +175,9 @@ def similar_vectors(df: DataFrame, least: float = 0.9, key: str = "vec_id", vect
     alone = rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"), "usable")
     if not total:
         return alone.drop("usable").withColumn("kept", F.lit(True))
-    layout = fit_layout(groups, "id", "vector", width, min(PIVOTS, math.ceil(total / BLOCK)))
+    # as large as leaves each core of the cluster some tiles
+    block = int(min(max(total // (8 * spark.sparkContext.defaultParallelism), BLOCK), max(LARGEST_BLOCK, BLOCK)))
+    layout = fit_layout(groups, "id", "vector", width, min(PIVOTS, math.ceil(total / block)))
     reach = math.sqrt(2 - 2 * least) + 1e-9
     model = ship(spark, layout)
 
@@ -197,7 +200,7 @@ def similar_vectors(df: DataFrame, least: float = 0.9, key: str = "vec_id", vect
     placed = durable(groups.select("id", "n", "vector").mapInArrow(place, PLACED))
     at_home = {(r[0], r[1]): r[2] for r in placed.groupBy("width", "cell").count().collect()}
     guests = {(r[0], r[1]): r[2] for r in placed.select("width", F.explode("visits").alias("c")).groupBy("width", "c").count().collect()}
-    plan = [(w, c, math.ceil(n / BLOCK), math.ceil(guests.get((w, c), 0) / BLOCK)) for (w, c), n in at_home.items()]
+    plan = [(w, c, math.ceil(n / block), math.ceil(guests.get((w, c), 0) / block)) for (w, c), n in at_home.items()]
     blocks = F.broadcast(spark.createDataFrame(plan, "width int, at int, homes int, visits_ int"))  # a row for each cell
 
     slot = F.pmod(F.xxhash64("id", "vector"), F.lit(1 << 30))
@@ -400,39 +403,62 @@ def nearest_vectors(df: DataFrame, queries: Column, most: int = 5, relaxed: floa
     slot = F.pmod(F.xxhash64("id", "vector"), F.lit(1 << 30))
 
     def search(visits: DataFrame) -> DataFrame:
-        """``visits``: query, vector, cell, reach. Each tree meets blocks of queries of a bounded size."""
+        """``visits``: query, vector, cell, reach. Each shard's tree is built once in a task, and the queries are streamed
+        past it; more than ``QUERIES`` of them for one cell are dealt to several tasks."""
         asking = {r[0]: math.ceil(r[1] / QUERIES) for r in visits.groupBy("cell").count().collect()}
         plan = [(c, shards[c], n) for c, n in asking.items()]
         if not plan:
             return spark.createDataFrame([], HITS)
         sizes = F.broadcast(spark.createDataFrame(plan, "cell int, shards int, blocks int"))  # a row for each pivot
-        trees = (placed.join(sizes, "cell").withColumn("shard", (slot % F.col("shards")).cast("int"))
-                 .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-                 .select("cell", "shard", "block", "id", "ids", "vector"))
-        asks = (visits.join(sizes, "cell").withColumn("block", F.pmod(F.xxhash64("query"), F.col("blocks")).cast("int"))
-                .withColumn("shard", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)))
-                .select("cell", "shard", "block", "query", "vector", "reach"))
-
-        def meet(tree: pa.Table, ask: pa.Table) -> pa.Table:
-            if not tree.num_rows or not ask.num_rows:
-                return pa.table([pa.array([], f) for f in (pa.int64(), pa.float64(), pa.int64())], names=HITS.names)
-            tree, ask = tree.combine_chunks().sort_by("id"), ask.combine_chunks()
-            x, q = (unpacked(t["vector"].combine_chunks(), width) for t in (tree, ask))
-            found, _ = Tree(x / norms(x)[:, None]).search(
-                q / norms(q)[:, None], few + 2, ask["reach"].to_numpy(), relaxed)
+        trees = placed.join(sizes, "cell").select(
+            "cell", (slot % F.col("shards")).cast("int").alias("shard"),
+            F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("block"), F.lit(0).alias("side"),
+            "id", "vector", "ids", F.lit(None).cast("double").alias("reach"))
+        asks = visits.join(sizes, "cell").select(
+            "cell", F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("shard"),
+            F.pmod(F.xxhash64("query"), F.col("blocks")).cast("int").alias("block"), F.lit(1).alias("side"),
+            F.col("query").alias("id"), "vector", F.lit(None).cast("array<bigint>").alias("ids"), "reach")
+        by = ("cell", "shard", "block")
+        tasks = min(sum(s * n for _, s, n in plan), MOST_TASKS)
+        dealt = trees.unionByName(asks).repartition(tasks, *by).sortWithinPartitions(*by, "side", "id")
+
+        def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            at: tuple | None = None
+            parts: list[pa.RecordBatch] = []
+            tree: Tree | None = None
+            for batch in batches:
+                keys = np.stack([batch.column(k).to_numpy() for k in range(4)], axis=1)
+                edges = (np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1).tolist()
+                for begin, end in zip([0, *edges], [*edges, len(keys)]):
+                    if begin == end:
+                        continue
+                    part, key = batch.slice(begin, end - begin), tuple(keys[begin, :3].tolist())
+                    if key != at:
+                        at, parts, tree = key, [], None
+                    if keys[begin, 3] == 0:
+                        parts.append(part)
+                    elif parts:  # a shard may have been left empty by the hash
+                        if tree is None:
+                            table = pa.Table.from_batches(parts).combine_chunks()
+                            x, lists = unpacked(table["vector"].chunk(0), width), table["ids"].chunk(0)
+                            tree = Tree(x / norms(x)[:, None])
+                        for k in range(0, part.num_rows, ASKED_AT_ONCE):
+                            yield meet(tree, x, lists, part.slice(k, ASKED_AT_ONCE))
+
+        def meet(tree: Tree, x: np.ndarray, lists: pa.ListArray, ask: pa.RecordBatch) -> pa.RecordBatch:
+            q = unpacked(ask.column(5), width)
+            found, _ = tree.search(q / norms(q)[:, None], few + 2, ask.column(7).to_numpy(), relaxed)
             who, nth = np.nonzero(found >= 0)
             hit = found[who, nth]
             score = cosines(q[who], x[hit])
-            lists = tree["ids"].combine_chunks()
             begin, end = lists.offsets.to_numpy()[hit], lists.offsets.to_numpy()[hit + 1]
             repeat = end - begin
             places = np.repeat(begin - np.cumsum(repeat) + repeat, repeat) + np.arange(repeat.sum())
-            return pa.table([pa.array(np.repeat(ask["query"].to_numpy()[who], repeat), pa.int64()),
-                             pa.array(np.repeat(score, repeat), pa.float64()),
-                             lists.values.take(pa.array(places))], names=HITS.names)
+            return pa.RecordBatch.from_arrays([
+                pa.array(np.repeat(ask.column(4).to_numpy()[who], repeat), pa.int64()), pa.array(np.repeat(score, repeat), pa.float64()),
+                lists.values.take(pa.array(places, pa.int64()))], names=HITS.names)
 
-        by = ("cell", "shard", "block")
-        return trees.groupBy(*by).cogroup(asks.groupBy(*by)).applyInArrow(meet, HITS)
+        return dealt.mapInArrow(work, HITS)
 
     best = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
 
