@@ -2,9 +2,13 @@
 
 import datetime as dt
 import os
+import random
+import struct
+from pathlib import Path
 
 import pyarrow as pa
 import pytest
+import xxhash
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F, types as T
 
@@ -174,6 +178,43 @@ def test_two_tier_lookup_asks_only_for_missing_keys(spark):
     assert lookup.two_tier_lookup(probe, cache, many, "pid", "id").count() == 3 and len(asked) == 1
 
 
+def test_two_tier_lookup_asks_in_tasks(spark, folder):
+    def ask(keys):
+        import uuid
+        from pathlib import Path
+        import pandas as pd
+        Path(folder, uuid.uuid4().hex).write_text(",".join(map(str, keys)))
+        have = [k for k in keys if k % 2]
+        return pd.DataFrame({"more": have, "name": [f"n{k}" for k in have], "id": have})
+
+    probe = spark.range(5000).selectExpr("id AS o", "CASE WHEN id % 10 < 9 THEN id % 700 END AS pid")
+    cache = spark.range(0, 700, 3).selectExpr("id", "'cached' AS name")
+    fetch = lookup.fetch_in_tasks(ask, "id BIGINT, name STRING", keys_per_call=40)
+    got = {tuple(r) for r in lookup.two_tier_lookup(probe, cache, fetch, "pid", "id").select("o", "pid", "name").collect()}
+    pid = {o: o % 700 for o in range(5000) if o % 10 < 9}
+    assert got == {(o, p, "n%d" % p if p % 3 else "cached") for o, p in pid.items() if p % 3 == 0 or p % 2}
+    calls = [f.read_text().split(",") for f in Path(folder).iterdir()]
+    assert max(map(len, calls)) <= 40
+    assert sorted(int(k) for call in calls for k in call) == sorted({p for p in pid.values() if p % 3})
+    # nothing is missing: nothing is asked, and the schema stands
+    empty = lookup.two_tier_lookup(probe.where("pid % 3 = 0"), cache, fetch, "pid", "id")
+    assert empty.where("name <> 'cached'").count() == 0 and len(list(Path(folder).iterdir())) == len(calls)
+
+
+def test_shards_of_keys_stay_as_they_are(spark):
+    """Stored data is laid out by these numbers, so they must never change."""
+    values = [0, 1, 2, -7, 1 << 40, None]
+    keys = spark.createDataFrame([(v,) for v in values], "k BIGINT")
+    got = keys.select(S.shard_of("k", 8).alias("n"), S.shard_of(F.col("k").cast("string"), 1000).alias("t")).collect()
+    assert [tuple(r) for r in got] == [(4, 860), (2, 760), (5, 769), (1, 970), (5, 189), (2, 42)]
+
+    def hashed(data):  # another implementation of the same hash, signed as the engine has it
+        return int.from_bytes(xxhash.xxh64_digest(data, seed=42), "big", signed=True)
+
+    assert [tuple(r) for r in got[:-1]] == [
+        (hashed(struct.pack("<q", v)) % 8, hashed(str(v).encode()) % 1000) for v in values[:-1]]
+
+
 @pytest.mark.parametrize("how", ["inner", "left"])
 def test_lookup_with_hot_probe_keys(spark, how):
     key = F.when(F.col("id") % 3 == 0, F.lit(7)).when(F.col("id") % 3 == 1, F.col("id"))
@@ -415,6 +456,45 @@ def test_varint_index(spark, index, want):
     assert (row.schema_id, bytes(row.payload), row.reason) == (1, want, None)
 
 
+def _read_varint(data, at):
+    value, shift = 0, 0
+    while True:
+        byte, at = data[at], at + 1
+        value |= (byte & 127) << shift
+        if byte < 128:
+            return value, at
+        shift += 7
+
+
+def _plain_payload(data):
+    """Byte by byte, None where the array is cut short."""
+    try:
+        count, at = _read_varint(data, 0)
+        for _ in range(count):
+            _, at = _read_varint(data, at)
+    except IndexError:
+        return None
+    return data[at:]
+
+
+def test_varint_index_by_brute_force(spark):
+    dice, bodies = random.Random(5), [b"", b"\x00", b"\x80", b"\xff" * 12, b"\xff" * 8 + b"\x7f", b"\x01\x80"]
+    for _ in range(400):
+        count = dice.choice([0, 1, 2, 3, 130, 300])
+        index = b"".join(bytes(dice.randrange(128, 256) for _ in range(dice.randrange(3))) + bytes([dice.randrange(128)])
+                         for _ in range(count))
+        head = bytes([count]) if count < 128 else bytes([count % 128 + 128, count // 128])
+        whole = head + index + bytes(dice.randrange(256) for _ in range(dice.randrange(40)))
+        bodies.append(whole if dice.random() < 0.7 else whole[:dice.randrange(len(whole) + 1)])
+    df = spark.createDataFrame([(i, bytearray(b"\x00\x00\x00\x00\x01" + b)) for i, b in enumerate(bodies)], "i INT, value BINARY")
+    found = X.frame_varint(df)
+    assert "Python" not in found._jdf.queryExecution().executedPlan().toString()
+    for row in found.collect():
+        want = _plain_payload(bodies[row.i])
+        assert (None if row.payload is None else bytes(row.payload)) == want, bodies[row.i]
+        assert row.reason == (X.BAD_INDEX if want is None else None)
+
+
 def test_varint_cut_short(spark):
     df = spark.createDataFrame([(bytearray(b"\x00\x00\x00\x00\x01\x05\x01"),)], "value BINARY")
     assert X.frame_varint(df).first().reason == X.BAD_INDEX

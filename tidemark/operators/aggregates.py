@@ -94,15 +94,17 @@ def group_array(
     name: str,
     rows_per_part: int = 100_000,
     rows_per_chunk: int = ROWS_PER_CHUNK,
+    largest: int | None = None,
 ) -> DataFrame:
     """Values of a key as arrays in ``order``, at most ``rows_per_part`` in one, numbered by ``part``.
 
-    Most keys have part 0 only; the parts of a large key are built by different tasks.
+    Most keys have part 0 only; the parts of a large key are built by different tasks. ``largest``, if known, is the number of rows of the
+    largest key.
     """
     cells = [*keys, "part"]
     nth = {"_nth": Running("count", F.lit(1))}
     # without hot keys the arrays are built where the rows were numbered, with no further shuffle
-    rows = running(df, keys, order, nth, rows_per_chunk).withColumn(
+    rows = running(df, keys, order, nth, rows_per_chunk, largest).withColumn(
         "part", F.expr(f"(_nth - 1) div {rows_per_part}")
     )
     element = F.struct(F.struct(*order).alias("at"), F.col(value).alias("value"))

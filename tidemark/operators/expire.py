@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F, types as T
 
 from tidemark.operators.aggregates import group_array
 from tidemark.operators.lookup import broadcast_if_small
-from tidemark.operators.ordered import CHUNK, HOT, ROWS_PER_CHUNK, Running, cut_into_chunks, null_safe_join, running
+from tidemark.operators.ordered import CHUNK, HOT, ROWS_PER_CHUNK, Running, cut_into_chunks, null_safe_join, running_steps
 from tidemark.session import durable
 
 SLICE = "_slice"
@@ -50,10 +50,8 @@ def numbered_fragments(
     fragments = durable(fragments)  # read again to look for hot keys
     # slices are disjoint and ordered: the latest row before a fragment is in an earlier fragment
     seen = {"_before": Running("max", F.col("_last"), exclusive=True)}
-    gaps = running(fragments, keys, [SLICE], seen, rows_per_chunk)
-    opens = F.when(F.col("_before").isNull() | (F.col("_first") - F.col("_before") > timeout_us), 1)
-    gaps = gaps.withColumn("_opens", opens.otherwise(0))
-    return running(gaps, keys, [SLICE], {"_group": Running("sum", F.col("_opens"))}, rows_per_chunk)
+    opens = F.when(F.col("_before").isNull() | (F.col("_first") - F.col("_before") > timeout_us), 1).otherwise(0)
+    return running_steps(fragments, keys, [SLICE], [seen, {"_group": Running("sum", opens)}], rows_per_chunk)
 
 
 def expire_groups(
@@ -259,11 +257,12 @@ def trace_groups(
         groups = groups.where(F.col("span_ms") > maxspan_ms)
     # when only a few groups are wanted, all other rows are dropped before any shuffle
     kept = durable(null_safe_join(fragments.select(*cells, SLICE), groups, cells, "inner"))
+    largest = kept.agg(F.max("n")).first()[0] or 0
     kept = broadcast_if_small(kept)
     facts = ["start_ts", "end_ts", "span_ms", "n"]
     placed = null_safe_join(_sliced(df, end, timeout_us), kept, [*keys, SLICE], "inner").select(
         *cells, *facts, *[c for c in order if c not in cells], event.alias("_event")
     )
     arrays = group_array(placed, [*cells, *facts], "_event", order, "trace_events", events_per_part,
-                         rows_per_chunk)
+                         rows_per_chunk, largest)
     return arrays.select(*keys, "part", *facts, "trace_events")

@@ -2,18 +2,19 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Mapping
+from collections.abc import Callable, Mapping
 from dataclasses import dataclass, field
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Observation, functions as F
 
 from tidemark.functions.scalars import is_bot
 from tidemark.operators.lookup import broadcast_if_small
+from tidemark.session import discard, durable
 
 # Frame layout (magic byte, then a 4-byte big-endian schema id) and routing limits.
 FRAME_MAGIC = "00"
 FRAME_HEADER_BYTES = 5
+VARINT_BYTES = 10
 HOT_ORDER_AMOUNT = 500
 ALERT_TEMPERATURE = 80
 
@@ -42,38 +43,52 @@ def frame_header(df: DataFrame, value: str = "value") -> DataFrame:
     )
 
 
-def _after_index(payload: bytes) -> bytes | None:
-    """What follows a varint count and that many varints; None when it is cut short."""
-    ends = [i for i, byte in enumerate(payload[:10]) if byte < 128][:1]
-    if not ends:
-        return None
-    count = sum((payload[i] & 127) << (7 * i) for i in range(ends[0] + 1))
-    at = ends[0] + 1
-    for _ in range(count):
-        while at < len(payload) and payload[at] >= 128:
-            at += 1
-        at += 1
-        if at > len(payload):
-            return None
-    return bytes(payload[at:])
+def _bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once for each row."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _after_index(payload: Column) -> Column:
+    """What follows a varint count and that many varints; NULL when they are cut short."""
+
+    def byte(part: Column, i: Column) -> Column:
+        return F.hex(part.substr(i, F.lit(1)))  # empty beyond the end
+
+    def last_bytes(part: Column, size: Column) -> Column:
+        return F.filter(F.sequence(F.lit(1), size), lambda i: byte(part, i).between("00", "7F"))
+
+    def number(part: Column, size: Column) -> Column:
+        def bits(i: Column) -> Column:
+            low = F.conv(byte(part, i), 16, 10).cast("bigint").bitwiseAND(F.lit(127))
+            return F.call_function("shiftleft", low, 7 * (i - 1))
+
+        return F.aggregate(F.sequence(F.lit(1), size), F.lit(0).cast("bigint"), lambda total, i: total + bits(i))
+
+    def body(part: Column, first: Column, count: Column) -> Column:
+        left = F.octet_length(part) - first
+        index = part.substr(first + 1, F.least(left.cast("bigint"), VARINT_BYTES * count).cast("int"))
+        ends = last_bytes(index, F.greatest(F.octet_length(index), F.lit(1)))
+        end = F.when(count == 0, 0).otherwise(F.get(ends, (count - 1).cast("int")))
+        # every varint has a byte at least; a longer count is never looked at
+        return F.when(count <= left, _bound(end, lambda at: part.substr(first + at + 1, left)))
+
+    def counted(part: Column) -> Column:
+        first = F.get(last_bytes(part, F.lit(VARINT_BYTES - 1)), F.lit(0))
+        return _bound(first, lambda size: _bound(number(part, size), lambda count: body(part, size, count)))
+
+    return _bound(payload, counted)
 
 
 def frame_varint(df: DataFrame, value: str = "value") -> DataFrame:
     """Like ``frame_header`` for frames with a message-index array before the payload.
 
-    The usual array, a single zero byte, is cut off in the JVM; only longer ones go through Python.
+    The usual array is a single zero byte. An array that is cut short, one whose count takes more than nine bytes
+    and one whose entries take more than ten each on average are bad; only the array's own bytes are looked at.
     """
-
-    @F.pandas_udf("binary")
-    def after_index(payloads: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for batch in payloads:
-            yield batch.map(_after_index, na_action="ignore")
-
     payload = F.col("payload")
     short = F.hex(F.substring(payload, 1, 1)) == "00"
-    head = frame_header(df, value).withColumn("_long", after_index(F.when(~short, payload)))
-    body = F.when(short, payload.substr(F.lit(2), F.octet_length(payload))).otherwise(F.col("_long"))
-    head = head.withColumn("payload", body).drop("_long")
+    body = F.when(short, payload.substr(F.lit(2), F.octet_length(payload))).otherwise(_after_index(payload))
+    head = frame_header(df, value).withColumn("payload", body)
     cut = F.col("reason").isNull() & F.col("payload").isNull()
     return head.withColumn("reason", F.when(cut, BAD_INDEX).otherwise(F.col("reason")))
 
@@ -204,8 +219,9 @@ def json_envelope(messages: DataFrame, fields: Mapping[str, str], raw: str = "ra
 class Fanout:
     """A ``foreachBatch`` function that decodes once and writes every target.
 
-    Rows that decoding gave a ``reason`` go to the dead letters alone. The decoded batch is kept in
-    memory and on disk only while several frames are written from it.
+    Rows that decoding gave a ``reason`` go to the dead letters alone. The decoded batch is
+    written to the shared folder, and removed again, only where several frames are made from it: a lost
+    executor does not decode it a second time.
     A failed write raises, so the batch is replayed and targets must tolerate repeats (a keyed table,
     or a folder named by batch id). With ``isolate`` one target's failure does not stop the others,
     and is raised after them. ``dry_run`` counts without writing.
@@ -221,8 +237,8 @@ class Fanout:
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         decoded = self.decode(batch)
-        if len(self.targets) + (self.dead_letters is not None) > 1:
-            decoded = decoded.persist()
+        several = len(self.targets) + (self.dead_letters is not None) > 1
+        decoded = durable(decoded) if several else decoded
         good = decoded.where(F.col("reason").isNull()).drop("reason") if "reason" in decoded.columns else decoded
         frames = {name: make(good) for name, make in self.targets.items()}
         if self.dead_letters is not None:
@@ -243,7 +259,8 @@ class Fanout:
                         raise
                     failures.append(error)
         finally:
-            decoded.unpersist()
+            if several:
+                discard(decoded.sparkSession, [decoded])
         if failures:
             raise failures[0]
 

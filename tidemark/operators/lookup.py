@@ -5,15 +5,16 @@ partitions of hot probe keys."""
 from __future__ import annotations
 
 import time
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from datetime import date, datetime
 from decimal import Decimal
 
-from pyspark.sql import DataFrame, functions as F
+import pandas as pd
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from tidemark.operators.latest import latest_by_key
 from tidemark.operators.ordered import hot_keys
-from tidemark.session import durable
+from tidemark.session import discard, durable
 
 BROADCAST_BYTES = 64 << 20
 BROADCAST_ROWS = 500_000  # of hot keys, which are a key wide
@@ -109,6 +110,31 @@ def fetch_from_table(table: DataFrame, key: str) -> Callable[[DataFrame], DataFr
     return lambda missing: table.join(missing, key, "left_semi")
 
 
+def fetch_in_tasks(
+    ask: Callable[[list], pd.DataFrame], schema: str, keys_per_call: int = 1000
+) -> Callable[[DataFrame], DataFrame]:
+    """Ask a remote store for the missing keys from within the tasks, ``keys_per_call`` at a time.
+
+    No key comes to the driver, and the way is the same for any number of keys. ``ask`` gets a list of
+    distinct keys and returns the rows it has for them, with the columns of ``schema`` and any others; it is pickled, so it opens
+    its connection itself. A key is asked for by one task; a task that is run again asks again. Returned rows of keys that were not asked for
+    are the caller's error and would be joined as well.
+    """
+
+    def fetch(missing: DataFrame) -> DataFrame:
+        names = T.StructType.fromDDL(schema).names
+
+        def work(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+            for batch in batches:
+                keys = batch.iloc[:, 0].tolist()
+                for begin in range(0, len(keys), keys_per_call):
+                    yield ask(keys[begin:begin + keys_per_call])[names]
+
+        return missing.mapInPandas(work, schema)
+
+    return fetch
+
+
 def sql_key(value: object) -> str | None:
     """A key as SQL text that any dialect reads the same; None where there is no such text."""
     if isinstance(value, bool):
@@ -149,7 +175,7 @@ def fetch_by_key_list(
 class RefreshingLookup:
     """A dimension for ``foreachBatch`` jobs, reloaded when older than ``lifetime`` seconds.
 
-    ``lifetime=None`` never reloads.
+    It is held in the shared folder; a reload removes the one before. ``lifetime=None`` never reloads.
     """
 
     def __init__(
@@ -165,8 +191,8 @@ class RefreshingLookup:
     def get(self) -> DataFrame:
         age = self._clock() - self._loaded_at
         if self._frame is None or (self._lifetime is not None and age >= self._lifetime):
-            if self._frame is not None:
-                self._frame.unpersist()
-            self._frame = self._load().persist()
+            before, self._frame = self._frame, durable(self._load())
+            if before is not None:
+                discard(before.sparkSession, [before])
             self._loaded_at = self._clock()
         return self._frame

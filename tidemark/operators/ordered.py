@@ -10,7 +10,7 @@ samples. Without hot keys the plan is the plain window.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -68,14 +68,16 @@ def cut_into_chunks(
     keys: Sequence[str],
     order: Sequence[str],
     rows_per_chunk: int = ROWS_PER_CHUNK,
+    largest: int | None = None,
 ) -> Chunked:
     """Add a chunk number that grows with ``order`` inside each key; 0 for keys that are not hot.
 
     ``order`` must be unique inside a key (end it with a sequence column). Cut points are order
-    statistics of a hash-selected subset of a hot key, so a rerun task picks the same ones.
+    statistics of a hash-selected subset of a hot key, so a rerun task picks the same ones. ``largest``
+    is the number of rows of the largest key, where that is known: hot keys are then looked for only if there are any.
     """
-    hot = hot_keys(df, keys, rows_per_chunk)
-    if hot.isEmpty():
+    hot = None if largest is not None and largest <= rows_per_chunk else hot_keys(df, keys, rows_per_chunk)
+    if hot is None or hot.isEmpty():
         return Chunked(df.withColumns({CHUNK: F.lit(0), HOT: F.lit(False)}), split=False)
 
     chunks = F.least(F.ceil(F.col("_rows") / rows_per_chunk), F.lit(MAX_CHUNKS)).cast("int")
@@ -154,12 +156,34 @@ def running(
     order: Sequence[str],
     columns: dict[str, Running],
     rows_per_chunk: int = ROWS_PER_CHUNK,
+    largest: int | None = None,
 ) -> DataFrame:
     """Add running aggregates per key in ``order``; ``keys`` may be empty for the whole table."""
+    return running_steps(df, keys, order, [columns], rows_per_chunk, largest)
+
+
+def running_steps(
+    df: DataFrame,
+    keys: Sequence[str],
+    order: Sequence[str],
+    steps: Sequence[dict[str, Running]],
+    rows_per_chunk: int = ROWS_PER_CHUNK,
+    largest: int | None = None,
+) -> DataFrame:
+    """Running aggregates in several steps over rows cut once: a step may use the columns of those before it."""
     if not keys:
         whole = df.withColumn(WHOLE, F.lit(0))
-        return running(whole, [WHOLE], order, columns, rows_per_chunk).drop(WHOLE)
-    chunked = cut_into_chunks(df, keys, order, rows_per_chunk)
+        return running_steps(whole, [WHOLE], order, steps, rows_per_chunk, largest).drop(WHOLE)
+    chunked = cut_into_chunks(df, keys, order, rows_per_chunk, largest)
+    rows = chunked.df
+    for columns in steps:
+        rows = _running_step(replace(chunked, df=rows), keys, order, columns)
+    return rows.drop(CHUNK, HOT)
+
+
+def _running_step(
+    chunked: Chunked, keys: Sequence[str], order: Sequence[str], columns: dict[str, Running]
+) -> DataFrame:
     rows, cells = chunked.df, [*keys, CHUNK]
     window = Window.partitionBy(*cells).orderBy(*order)
 
@@ -168,7 +192,7 @@ def running(
         return run.aggregate().over(window.rowsBetween(Window.unboundedPreceding, end))
 
     if not chunked.split:
-        return rows.withColumns({n: local(r) for n, r in columns.items()}).drop(CHUNK, HOT)
+        return rows.withColumns({n: local(r) for n, r in columns.items()})
 
     totals = rows.where(HOT).groupBy(*cells).agg(
         *[r.aggregate().alias(f"_t_{n}") for n, r in columns.items()]
@@ -182,7 +206,7 @@ def running(
     joined = null_safe_join(rows, chunked.one_per_chunk(carry), cells, "left")
     return joined.withColumns(
         {n: r.combine(F.col(f"_c_{n}"), F.col(f"_l_{n}")) for n, r in columns.items()}
-    ).drop(CHUNK, HOT, *[f"_{p}_{n}" for n in columns for p in ("c", "l")])
+    ).drop(*[f"_{p}_{n}" for n in columns for p in ("c", "l")])
 
 
 def previous(
