@@ -291,14 +291,15 @@ r AS (SELECT *, row_number() OVER (PARTITION BY user_id, date_trunc('day', close
 SELECT user_id, batch, n, first_ts, close_ts, payload FROM r JOIN p USING (user_id, batch) WHERE k = 1"""
 
 
-def _in_time_order(t: Tables, rows: DataFrame, at: str, name: str, files: int) -> str:
-    """The rows as files of consecutive times, and a last one whose row lets the watermark pass all others."""
+def _with_a_last_row(t: Tables, rows: DataFrame, at: str, name: str) -> str:
+    """The rows as files, written in as many tasks as read them, and a last file whose row lets the watermark pass all others.
+
+    A stream without ``files_per_batch`` takes all files in one micro-batch, so their order does not matter."""
     path = scratch_path(t.spark, name)
     later = rows.agg(F.max(at).alias("_last")).select(*[
         (F.col("_last") + F.expr("INTERVAL 60 DAYS")).alias(f.name) if f.dataType.typeName() == "timestamp"
         else F.lit(None).cast(f.dataType).alias(f.name) for f in rows.schema])
-    rows.repartitionByRange(files, at).write.parquet(path)
-    # modification times, by which a stream takes files, follow the parts' numbers only within a write
+    rows.write.parquet(path)
     later.write.mode("append").parquet(path)
     return path
 
@@ -308,7 +309,7 @@ def alert_stream_payload(t: Tables) -> DataFrame:
     """Alerts of each user on a stream: batches of five events or four hours with their payload, one a day."""
     rows = t.events.select("user_id", "event_id", F.col("ts").cast("timestamp").alias("ts")).withColumn(
         "cluster", F.concat(F.lit("c"), F.col("event_id") % 2))
-    path = _in_time_order(t, rows, "ts", "alerts", 1)
+    path = _with_a_last_row(t, rows, "ts", "alerts")
     stream = stream_table(t.spark, path, rows.schema)
     closed = acting_alerts(stream, "user_id", "ts", "event_id", ["cluster", "event_id"], 5, 4 * HOUR_US, 24 * HOUR_US)
     sent = closed.where("allowed AND key IS NOT NULL").select(
@@ -319,11 +320,11 @@ def alert_stream_payload(t: Tables) -> DataFrame:
 
 @query("trace_groups_stream", f"SELECT *, CAST(0 AS BIGINT) AS part FROM ({_GROUPS} SELECT * FROM c WHERE span_ms > {_MAXSPAN_MS})")
 def trace_groups_stream(t: Tables) -> DataFrame:
-    """The same traces from a stream whose files mix up the rows of a day."""
+    """The same traces from a stream."""
     times = {c: F.col(c).cast("timestamp") for c in ("start_time", "end_time")}
     rows = _spans(t.events).withColumns(times).select(
         "user_id", "event_id", "start_time", "end_time", json_encode("event_id", "event_type").alias("event"))
-    path = _in_time_order(t, rows, "end_time", "traces", 1)
+    path = _with_a_last_row(t, rows, "end_time", "traces")
     stream = stream_table(t.spark, path, rows.schema)
     groups = group_traces(stream, "user_id", "start_time", "end_time", "event_id", 6 * HOUR_US, F.col("event"), _MAXSPAN_MS)
     log = run_to_end(groups.where("user_id IS NOT NULL"), name="traces").drop("batch_id")

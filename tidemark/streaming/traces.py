@@ -2,85 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Sequence
-
-import numpy as np
-import pandas as pd
-from pyspark.sql import Column, DataFrame, functions as F, types as T
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-
-
-class _OpenGroups(StatefulProcessor):
-    """Events of a key by the slice of the timeout their end falls in, so that new ones are added without reading the others.
-
-    A timer stands at the end of each new latest event. When it fires, events are put in order and cut at gaps over
-    the timeout; groups that the watermark has passed leave, the others stay with a timer of their own.
-    """
-
-    def __init__(self, timeout_us: int, per_part: int) -> None:
-        self.timeout_us, self.per_part = timeout_us, per_part
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.events = handle.getMapState(
-            "events", "slice BIGINT", "starts ARRAY<BIGINT>, ends ARRAY<BIGINT>, seqs ARRAY<BIGINT>, items ARRAY<STRING>")
-
-    def _arm(self, last_end: int) -> None:
-        self.handle.registerTimer(-(-(last_end + self.timeout_us) // 1000) + 1)
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        for pdf in rows:
-            for slice_, part in pdf.groupby(pdf["end_us"] // self.timeout_us, sort=False):
-                held = [list(c) for c in self.events.getValue((int(slice_),))] if self.events.containsKey((int(slice_),)) else [[], [], [], []]
-                for column, name in zip(held, ("start_us", "end_us", "seq", "item")):
-                    column.extend(part[name].tolist())
-                self.events.updateValue((int(slice_),), tuple(held))
-            self._arm(int(pdf["end_us"].max()))
-        yield from ()
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        watermark = timerValues.getCurrentWatermarkInMs() * 1000
-        slices = sorted(int(k[0]) for k in self.events.keys())
-        run: list[int] = []  # neighbouring slices; a group never reaches over an empty one
-        for k in [*slices, None]:
-            if run and (k is None or k > run[-1] + 1):
-                yield from self._settle(key, run, watermark)
-                run = []
-            run.append(k)
-
-    def _settle(self, key: tuple, run: list[int], watermark: int) -> Iterator[pd.DataFrame]:
-        columns: list[list] = [[], [], [], []]
-        for k in run:
-            for column, more in zip(columns, self.events.getValue((k,))):
-                column.extend(more)
-        ends = np.array(columns[1], dtype=np.int64)
-        order = np.lexsort((np.array(columns[2], dtype=np.int64), ends))
-        ends = ends[order]
-        cuts = [0, *(np.flatnonzero(np.diff(ends) > self.timeout_us) + 1).tolist(), len(ends)]
-        kept: list[int] = []
-        gone = False
-        for a, b in zip(cuts, cuts[1:]):
-            if ends[b - 1] + self.timeout_us >= watermark:
-                kept.extend(order[a:b].tolist())
-                continue
-            gone = True
-            start, end = min(columns[0][i] for i in order[a:b]), int(ends[b - 1])
-            for part, begin in enumerate(range(a, b, self.per_part)):
-                yield pd.DataFrame([{
-                    "key": key[0], "part": part, "start_us": start, "end_us": end, "n": b - a,
-                    "trace_events": [columns[3][i] for i in order[begin:min(b, begin + self.per_part)]]}])
-        if gone:
-            left: dict[int, list[int]] = {}
-            for i in kept:
-                left.setdefault(int(columns[1][i]) // self.timeout_us, []).append(i)
-            for k in run:
-                if k in left:
-                    self.events.updateValue((k,), tuple([column[i] for i in left[k]] for column in columns))
-                else:
-                    self.events.removeKey((k,))
-
-    def close(self) -> None:
-        pass
+from pyspark.sql import Column, DataFrame, functions as F
 
 
 def trace_groups_stream(
@@ -89,28 +11,26 @@ def trace_groups_stream(
 ) -> DataFrame:
     """Expired groups with their events as an ordered array, in append mode; columns as of ``operators.expire.trace_groups``.
 
-    Rows may come in any order within ``lateness``; later ones are dropped by the watermark. A group leaves when the watermark
+    Rows may come in any order within ``lateness``; a later one is dropped by the watermark unless it falls into a group that
+    is still open, or could have been. A group leaves when the watermark
     passes its last end by the timeout. A group of more than ``events_per_part`` events comes in numbered parts. With
     ``maxspan_ms`` only groups of a longer span are given. Rows without an end are left out. The events of an open
-    group are kept in the state of its key, so a key whose group never closes keeps growing: bound it by
-    a span where sources may do that.
+    group are kept as one value in Spark's session window and written anew when more come, so a group that never closes keeps
+    growing: bound it by a span where sources may do that.
     """
-    schema = T.StructType([
-        T.StructField("key", T.StringType()), T.StructField("part", T.LongType()), T.StructField("start_us", T.LongType()),
-        T.StructField("end_us", T.LongType()), T.StructField("n", T.LongType()),
-        T.StructField("trace_events", T.ArrayType(T.StringType())),
-    ])
-    # keys travel as text: a null among numbers would turn all of a batch into floating-point ones
+    # events are put in order when the group leaves, by end and sequence
+    one = F.struct(F.unix_micros(end).alias("end_us"), F.coalesce(F.col(seq).cast("long"), F.lit(0)).alias("seq"), event.alias("item"))
     narrow = df.where(F.col(end).isNotNull()).withWatermark(end, lateness).select(
-        F.col(key).cast("string").alias("key"), F.col(end), F.unix_micros(F.coalesce(start, end)).alias("start_us"), F.unix_micros(end).alias("end_us"),
-        F.coalesce(F.col(seq).cast("long"), F.lit(0)).alias("seq"), event.alias("item"),
-    )
-    groups = narrow.groupBy("key").transformWithStateInPandas(
-        statefulProcessor=_OpenGroups(timeout_us, events_per_part), outputStructType=schema, outputMode="Append", timeMode="EventTime",
-    )
+        F.col(key).alias("key"), F.col(end), F.unix_micros(F.coalesce(start, end)).alias("start_us"), one.alias("one"))
+    # the key that is given is an aggregate: a filter on it stays above the watermark, which passes by the rows of all keys
+    groups = narrow.groupBy("key", F.session_window(end, f"{timeout_us} microseconds")).agg(
+        F.any_value("key").alias("of"), F.min("start_us").alias("start_us"), F.max("one.end_us").alias("end_us"), F.count("*").alias("n"), F.collect_list("one").alias("held"))
     span = F.expr("(end_us - start_us) div 1000")
     if maxspan_ms is not None:
         groups = groups.where(span > maxspan_ms)
-    return groups.select(
-        F.col("key").cast(df.schema[key].dataType).alias(key), "part", F.timestamp_micros("start_us").alias("start_ts"), F.timestamp_micros("end_us").alias("end_ts"),
-        span.alias("span_ms"), "n", "trace_events")
+    ordered = groups.select("of", "start_us", "end_us", "n", F.transform(F.array_sort("held"), lambda e: e["item"]).alias("held"))
+    last = (F.col("n") - 1) / events_per_part
+    parts = ordered.select("*", F.explode(F.sequence(F.lit(0).cast("long"), F.floor(last))).alias("part"))
+    return parts.select(
+        F.col("of").alias(key), "part", F.timestamp_micros("start_us").alias("start_ts"), F.timestamp_micros("end_us").alias("end_ts"),
+        span.alias("span_ms"), "n", F.slice("held", (F.col("part") * events_per_part + 1).cast("int"), F.lit(events_per_part)).alias("trace_events"))
