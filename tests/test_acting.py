@@ -69,6 +69,24 @@ def test_streaming_alerts_carry_what_the_batch_form_says(spark, folder):
     assert 0 < told[0] <= told[1]
 
 
+def test_streaming_alerts_keep_many_keys_in_a_bucket(spark, folder):
+    rng, at, rows = random.Random(4), 0, []
+    for seq in range(400):
+        at += rng.choice([0, 1, 1, 2, 5, 30])
+        rows.append((rng.choice([*range(12), None]), START + dt.timedelta(seconds=at), seq, rng.choice(["a", "b"])))
+    for k in range(0, 400, 80):
+        add_file(spark, f"{folder}/in", rows[k:k + 80], ALERTS)
+    add_file(spark, f"{folder}/in", later(99), ALERTS)
+    stream = stream_table(spark, f"{folder}/in", spark.createDataFrame([], ALERTS).schema, files_per_batch=1)
+    whole = alerts.alert_batches(spark.createDataFrame(rows, ALERTS), ["k"], "ts", "seq", 4, 20 * SECOND)
+    for buckets in (2, 4096):
+        sent = acting_alerts(stream, "k", "ts", "seq", ["cluster", "seq"], 4, 20 * SECOND, buckets=buckets)
+        # no processor that asks for the state of each key by itself
+        assert "transformwithstate" not in sent._jdf.queryExecution().analyzed().toString().lower()
+        got = run_to_end(sent).where("key is null or key < 99").select("key", "batch", "n", "first_ts", "close_ts")
+        assert sorted_rows(got) == sorted_rows(whole) and got.count() > 100
+
+
 def test_the_action_is_called_once_through_restart_and_replay(spark, folder):
     calls = f"{folder}/calls"
     os.mkdir(calls)

@@ -1,122 +1,129 @@
 """Streaming alerts that carry their rows, keep to a rate, and call something once.
 
-The state of a key is the open batch with its rows, and the period of its last alert. A closed batch leaves as
+The state of a key is the open batch with its rows, and the period of its last alert; it is kept by buckets of keys. A closed batch leaves as
 one row with the rows as JSON texts; what is made of them is left to column expressions.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Iterator, Sequence
+from itertools import islice
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F, types as T
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tidemark.sources.paths import exists
 
 
-class _ActingBatches(StatefulProcessor):
-    """Open batch of a key with its rows. It closes when full, before the first row beyond its time, or by timer;
-    the first to close in a period is allowed."""
+# what is kept of a bucket's keys, side by side: number, first time and rows of the open batch, the period of the last alert,
+# batches held back since
+_OPEN = ("keys ARRAY<STRING>, batch ARRAY<BIGINT>, first_us ARRAY<BIGINT>, period ARRAY<BIGINT>, suppressed ARRAY<BIGINT>, "
+         "items ARRAY<ARRAY<STRING>>")
+_ALERTS_A_FRAME = 10_000
 
-    def __init__(self, size: int, timeout_us: int, period_us: int | None) -> None:
-        self.size, self.timeout_us, self.period_us = size, timeout_us, period_us
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.open = handle.getValueState("open", "batch BIGINT, n BIGINT, first_us BIGINT")
-        self.rows = handle.getListState("rows", "item STRING")
-        self.rate = handle.getValueState("rate", "period BIGINT, suppressed BIGINT")
+def _acting_batches(size: int, timeout_us: int, period_us: int | None) -> Callable[..., Iterator[pd.DataFrame]]:
+    """Open batches of a bucket's keys with their rows. One closes when full, before the first row beyond its time, or by
+    timeout; the first to close in a period is allowed."""
 
-    def _alert(self, key: tuple, batch: int, first: int, close: int, items: list[str]) -> dict:
+    def timer(first: int) -> int:
+        return -(-(first + timeout_us) // 1000) + 1
+
+    def alert(key: str | None, kept: list, close: int) -> tuple:
+        """The row for the open batch, which is then the next one."""
+        batch, first, last, held_back, items = kept
         allowed, suppressed = True, 0
-        if self.period_us is not None:
-            period = close // self.period_us
-            last, held_back = self.rate.get() if self.rate.exists() else (None, 0)
+        if period_us is not None:
+            period = close // period_us
             allowed = last is None or period > last
-            suppressed = int(held_back) if allowed else 0
-            self.rate.update((period, 0) if allowed else (last, int(held_back) + 1))
-        return {"key": key[0], "batch": batch, "n": len(items), "first_ts": pd.Timestamp(first, unit="us"),
-                "close_ts": pd.Timestamp(close, unit="us"), "items": items, "allowed": allowed, "suppressed": suppressed}
-
-    def _arm(self, first: int | None) -> None:
-        for timer in list(self.handle.listTimers()):
-            self.handle.deleteTimer(timer[0] if isinstance(timer, tuple) else timer)
-        if first is not None:
-            self.handle.registerTimer(-(-(first + self.timeout_us) // 1000) + 1)
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        state = self.open.get() if self.open.exists() else (0, 0, 0)
-        batch, n, first = (int(v) for v in state)
-        pdf = pd.concat(list(rows)).sort_values(["at_us", "seq"], kind="stable")
-        at, items = pdf["at_us"].to_numpy(), pdf["item"].tolist()
-        held = [r[0] for r in self.rows.get()] if n else []
-        out, k = [], 0
+            suppressed, last, held_back = (held_back, period, 0) if allowed else (0, last, held_back + 1)
+        kept[:] = batch + 1, 0, last, held_back, []
+        return key, batch, len(items), first, close, items, allowed, suppressed
+
+    def add(key: str | None, kept: list, at: np.ndarray, items: list[str]) -> Iterator[tuple]:
+        k = 0
         while k < len(at):  # a step for each batch, not for each row
-            if n == 0:
-                first, held = int(at[k]), []
-            fits = min(k + self.size - n, int(np.searchsorted(at, first + self.timeout_us, side="right")))
-            held += items[k:fits]
-            n, k = n + fits - k, fits
-            if n == self.size:
-                out.append(self._alert(key, batch, first, int(at[k - 1]), held))
+            if not kept[4]:
+                kept[1] = int(at[k])
+            fits = min(k + size - len(kept[4]), int(np.searchsorted(at, kept[1] + timeout_us, side="right")))
+            kept[4] += items[k:fits]
+            k = fits
+            if len(kept[4]) == size:
+                yield alert(key, kept, int(at[k - 1]))
             elif k < len(at):
-                out.append(self._alert(key, batch, first, first + self.timeout_us, held))
-            else:
-                break
-            batch, n = batch + 1, 0
-        self.open.update((batch, n, first))
-        if n:
-            self.rows.put([(item,) for item in held])
-        else:
-            self.rows.clear()
-        self._arm(first if n else None)
-        if out:
-            yield pd.DataFrame(out)
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        batch, n, first = (int(v) for v in self.open.get())
-        if n:
-            held = [r[0] for r in self.rows.get()]
-            self.open.update((batch + 1, 0, 0))
-            self.rows.clear()
-            yield pd.DataFrame([self._alert(key, batch, first, first + self.timeout_us, held)])
-
-    def close(self) -> None:
-        pass
+                yield alert(key, kept, kept[1] + timeout_us)
+
+    def close(bucket: tuple, rows: Iterator[pd.DataFrame], state: GroupState) -> Iterator[tuple]:
+        held = {key: [batch, first, last, held_back, list(items)] for key, batch, first, last, held_back, items
+                in zip(*state.get)} if state.exists else {}
+        if not state.hasTimedOut:
+            parts = list(rows)
+            at, seq, keys, items = (np.concatenate([p[c].to_numpy() for p in parts]) for c in ("at_us", "seq", "key", "item"))
+            codes, names = pd.factorize(keys, use_na_sentinel=False)
+            order = np.lexsort((seq, at, codes))
+            at, items, codes = at[order], items[order], codes[order]
+            begins = [0, *(np.flatnonzero(np.diff(codes)) + 1).tolist(), len(codes)]
+            for a, b in zip(begins, begins[1:]):
+                name = names[codes[a]]
+                key = name if isinstance(name, str) else None
+                yield from add(key, held.setdefault(key, [0, 0, None, 0, []]), at[a:b], items[a:b].tolist())
+        watermark = state.getCurrentWatermarkMs()
+        for key, kept in held.items():
+            if kept[4] and timer(kept[1]) < watermark:
+                yield alert(key, kept, kept[1] + timeout_us)
+        state.update((list(held), *(list(column) for column in zip(*held.values()))))
+        timers = [timer(kept[1]) for kept in held.values() if kept[4]]
+        if timers:
+            state.setTimeoutTimestamp(min(timers))
+
+    def run(bucket: tuple, rows: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        closed = close(bucket, rows, state)
+        while some := list(islice(closed, _ALERTS_A_FRAME)):
+            yield pd.DataFrame(dict(zip(_COLUMNS, map(list, zip(*some)))))
+
+    return run
+
+
+_COLUMNS = ("key", "batch", "n", "first_us", "close_us", "items", "allowed", "suppressed")
 
 
 def acting_alerts(
     df: DataFrame, key: str, ts: str, seq: str, columns: Sequence[str], size: int, timeout_us: int,
-    period_us: int | None = None, lateness: str = "0 seconds",
+    period_us: int | None = None, lateness: str = "0 seconds", buckets: int = 4096,
 ) -> DataFrame:
     """Alert batches per key in append mode, each with its rows: ``key``, ``batch``, ``n``, ``first_ts``, ``close_ts``, ``items``
     (a struct of ``columns`` for each row, in order), ``allowed`` and ``suppressed``.
 
     With ``period_us`` only the first batch to close in each period of that length is allowed; it tells how many were held back
     before it. An array is at most ``size`` long. Rows must come in event-time order across micro-batches.
+
+    The state is kept for ``buckets`` of keys, as Python is called once for each group with new rows, at some milliseconds. What is kept of
+    a bucket is written anew when one of its keys has rows, and a bucket's rows of a micro-batch are put in order in
+    memory: choose the number for the keys and rows that will come. A started stream keeps it.
     """
     fields = {f.name: f for f in df.schema}
     schema = T.StructType([
         T.StructField("key", T.StringType()), T.StructField("batch", T.LongType()), T.StructField("n", T.LongType()),
-        T.StructField("first_ts", T.TimestampType()), T.StructField("close_ts", T.TimestampType()),
+        T.StructField("first_us", T.LongType()), T.StructField("close_us", T.LongType()),
         T.StructField("items", T.ArrayType(T.StringType())), T.StructField("allowed", T.BooleanType()),
         T.StructField("suppressed", T.LongType()),
     ])
     # keys travel as text: a null among numbers would turn all of a batch into floating-point ones
     narrow = df.withWatermark(ts, lateness).select(
-        F.col(key).cast("string").alias("key"), F.col(ts), F.unix_micros(F.col(ts).cast("timestamp")).alias("at_us"),
+        F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(buckets)).alias("bucket"), F.col(key).cast("string").alias("key"), F.col(ts), F.unix_micros(F.col(ts).cast("timestamp")).alias("at_us"),
         F.coalesce(F.col(seq).cast("long"), F.lit(0)).alias("seq"), F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}).alias("item"),
     )
-    alerts = narrow.groupBy("key").transformWithStateInPandas(
-        statefulProcessor=_ActingBatches(size, timeout_us, period_us), outputStructType=schema,
-        outputMode="Append", timeMode="EventTime",
-    )
+    # state travels with the rows, many groups in an Arrow batch: processors with handles ask the JVM several times for each group
+    alerts = narrow.groupBy("bucket").applyInPandasWithState(
+        _acting_batches(size, timeout_us, period_us), schema, _OPEN, "append", GroupStateTimeout.EventTimeTimeout)
     item = T.StructType([fields[c] for c in columns])
-    return alerts.withColumns({"key": F.col("key").cast(fields[key].dataType),
-                               "items": F.transform("items", lambda i: F.from_json(i, item))})
+    return alerts.select(
+        F.col("key").cast(fields[key].dataType).alias("key"), "batch", "n", F.timestamp_micros("first_us").alias("first_ts"),
+        F.timestamp_micros("close_us").alias("close_ts"), F.transform("items", lambda i: F.from_json(i, item)).alias("items"),
+        "allowed", "suppressed")
 
 
 def payload_of(items: Column | str, cluster: str, node: str) -> Column:
