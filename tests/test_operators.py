@@ -15,6 +15,7 @@ from pyspark.sql import functions as F, types as T
 from tidemark.functions import json as J, scalars as S
 from tidemark.operators import alerts, fanout as X, keyed, latest, lookup, reports, retention
 from tidemark.operators.rename import rename_chain
+from tidemark.plans import QUERIES
 from tidemark.sinks import files as out, messages
 from tidemark.sources import files, generate, jdbc, logs
 
@@ -665,3 +666,11 @@ def test_arrow_file_is_standard(spark, folder):
     name = next(n for n in os.listdir(f"{folder}/a") if n.endswith(".arrow"))
     with pa.ipc.open_file(f"{folder}/a/{name}") as reader:
         assert reader.read_all().num_rows == 10
+
+
+def test_sizes_beyond_64_bits(spark, folder):
+    rows = [(9_000_000, 900_000), (3, 5), (2 ** 62, 2 ** 62), (None, 1)]
+    spark.createDataFrame(rows, "o_orderkey BIGINT, o_custkey BIGINT").write.parquet(f"{folder}/orders.parquet")
+    got = {r.o_orderkey: r.size for r in QUERIES["fn_readable_size"](spark, folder).collect()}
+    assert got[9_000_000] == f"{9_000_000 ** 2 * 900_000 / 1024 ** 4:.2f} TiB" and got[3] == "45.00 B" and got[None] is None
+    assert got[2 ** 62].startswith("892029807941") and got[2 ** 62].endswith(" TiB")

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import reduce
+from operator import mul
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
@@ -56,6 +58,16 @@ def readable_size(size: Column | str) -> Column:
     return F.when(value.isNotNull(), text)
 
 
+def product_as_double(*factors: Column | str) -> Column:
+    """Product of whole numbers, rounded once to a double; of any size, where 64 bits would overflow.
+
+    It is exact up to 38 digits before it is rounded; a longer one is a product of doubles.
+    """
+    exact, rough = (reduce(multiply, (_col(f).cast(kind) for f in factors))
+                    for multiply, kind in ((F.try_multiply, "decimal(38,0)"), (mul, "double")))
+    return F.coalesce(exact.cast("double"), rough)
+
+
 def ratio(part: Column, whole: Column, digits: int = 2) -> Column:
     """Rounded quotient; NULL when the divisor is zero."""
     return F.round(F.try_divide(part.cast("double"), whole.cast("double")), digits)

@@ -234,7 +234,7 @@ SELECT o_orderkey, CASE WHEN b < 1024 THEN printf('%.2f B', round(b, 2))
   ELSE printf('%.2f TiB', round(b / 1099511627776.0::DOUBLE, 2)) END AS size
 FROM (SELECT o_orderkey, CAST(o_orderkey * o_orderkey * o_custkey AS DOUBLE) AS b FROM orders)""")
 def fn_readable_size(t: Tables) -> DataFrame:
-    size = F.col("o_orderkey") * F.col("o_orderkey") * F.col("o_custkey")
+    size = S.product_as_double("o_orderkey", "o_orderkey", "o_custkey")
     return t.orders.select("o_orderkey", S.readable_size(size).alias("size"))
 
 
