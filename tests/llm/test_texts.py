@@ -575,6 +575,21 @@ def test_rows_of_one_id_are_packed_in_many_tasks(spark):
     assert sum(r.start == 0 for r in found) == 2000
 
 
+@pytest.mark.parametrize("text, spaces", [
+    ("One. Two, grün!\nThree? 4 😀 five. " * 50, "single"), ("One.  Two, grün!\n\nThree? 4 😀\x1c\x85 five. " * 50, "fast")])
+def test_a_text_is_encoded_in_one_call_and_cut_at_its_sentences(text, spaces):
+    tokens, calls = packing.Tokens(packing._definition(BYTES)), []
+    encode = getattr(tokens, spaces)
+    begin, ids, cuts = 0, [], []
+    for end in [*(m.end() for m in packing.SENTENCE_END.finditer(text)), len(text)]:
+        ids += tokens._slow(text[begin:end])
+        cuts.append(len(ids))
+        begin = end
+    setattr(tokens, spaces, lambda t: calls.append(t) or encode(t))
+    found, places = tokens.encode(text)
+    assert calls == [text] and np.frombuffer(found, "<u4").tolist() == ids and places == cuts and len(cuts) > 100
+
+
 def test_digests_of_the_packing_query(spark):
     from tidemark.llm.queries import QUERIES
     row = QUERIES["op2_packing"](spark, SMALL).where("doc_id = 0 and start = 0").first()

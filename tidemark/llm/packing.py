@@ -30,12 +30,17 @@ AHEAD, HELD_BACK = 96, 8  # windows decided together, and of those the last ones
 
 # Where a sentence ends and the text can be cut without changing its tokens: the tokenizer's pattern
 # takes a single space between two other characters to what follows, and a lone line break by itself.
-SENTENCE_END = re.compile(r"[.!?](?= \S)|(?<=\S)\n(?=\S)")
-LONG_WORD = re.compile(r"\S{1024}")
+# The pattern begins with the few characters that may end a sentence, so that the search skips to them.
+SENTENCE_END = re.compile(r"[.!?\n](?:(?<=[.!?])(?= \S)|(?<=\S\n)(?=\S))")
+LONG = 1024
+LONG_WORD = re.compile(rf"\S{{{LONG}}}")
 
 # The word pattern of byte-level tokenizers, and the characters that stand for bytes in
 # their vocabularies (printable ones for themselves, the others from U+0100 on).
 PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+# Where no two white spaces meet, the branch that looks ahead finds what the last one finds; without it the search needs no backtracking.
+SINGLE_SPACES = PATTERN.replace(r"|\s+(?!\S)", "")
+SPACES = re.compile(r"\s\s")
 PRINTABLE = [*range(33, 127), *range(161, 173), *range(174, 256)]
 
 PIECE = StructType([
@@ -81,7 +86,12 @@ class Tokens:
         if ranks is not None:
             from tiktoken import Encoding
 
-            self.fast = Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+            self.fast, self.single = (
+                Encoding("ranks", pat_str=pattern, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+                for pattern in (PATTERN, SINGLE_SPACES))
+            self.sizes = np.zeros(max(ranks.values()) + 1, dtype=np.int64)  # bytes of each token
+            for token, rank in ranks.items():
+                self.sizes[rank] = len(token)
 
     def _slow(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
@@ -90,12 +100,27 @@ class Tokens:
         """Ids of the text and the token offsets at which a sentence ends."""
         if not text:
             return b"", []
-        fast = None if any(name in text for name in self.special) else self.fast
+        ends = [*(match.end() for match in SENTENCE_END.finditer(text)), len(text)]
+        if self.fast is None or any(name in text for name in self.special):
+            return self._in_parts(text, ends, False)
+        if len(text) > LONG and any(
+                b - a > LONG and LONG_WORD.search(text, a, b) for a, b in zip([0, *ends], ends)):
+            return self._in_parts(text, ends, True)
+        # the whole text in one call; a sentence ends at the token that reaches its last byte
+        fast = self.fast if SPACES.search(text) else self.single
+        ids = np.array(fast(text), dtype="<u4")
+        if not text.isascii():
+            data = np.frombuffer(text.encode(), dtype=np.uint8)
+            ends = np.append(np.flatnonzero((data & 0xC0) != 0x80), len(data))[ends]
+        return ids.tobytes(), (np.searchsorted(np.cumsum(self.sizes[ids]), ends) + 1).tolist()
+
+    def _in_parts(self, text: str, ends: list[int], fast: bool) -> tuple[bytes, list[int]]:
+        """A sentence at a time, those with a long word, or all if not ``fast``, by the tokenizer itself."""
         ids, cuts, begin = array("I"), [], 0
-        for end in [*(match.end() for match in SENTENCE_END.finditer(text)), len(text)]:
+        for end in ends:
             part = text[begin:end]
-            slow = fast is None or end - begin > 1024 and LONG_WORD.search(part)
-            ids.extend(self._slow(part) if slow else fast(part))
+            slow = not fast or end - begin > LONG and LONG_WORD.search(part)
+            ids.extend(self._slow(part) if slow else self.fast(part))
             cuts.append(len(ids))
             begin = end
         if sys.byteorder == "big":
